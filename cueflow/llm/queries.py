@@ -2,15 +2,25 @@
 
 from __future__ import annotations
 
+from cueflow.llm.quality_classifier import quality_scores
 from cueflow.llm.shared import documents
 from cueflow.llm.token_counts import token_counts
+from cueflow.llm.toxicity import toxicity_scores
 
 QUERIES: dict = {}
 ORACLE: dict = {}
 
 
+def op8_quality_classifier(spark, sf_dir):
+    return quality_scores(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
+def op9_toxicity(spark, sf_dir):
+    return toxicity_scores(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
 def op10_token_counts(spark, sf_dir):
     return token_counts(documents(spark, sf_dir))
 
 
-QUERIES |= {"op10_token_counts": op10_token_counts}
+QUERIES |= {"op8_quality_classifier": op8_quality_classifier, "op9_toxicity": op9_toxicity, "op10_token_counts": op10_token_counts}
