@@ -1,7 +1,7 @@
 """Quality classifier: a linear hinge-loss model over n-gram indicators scaled by class log-count ratios.
 
 Features are the distinct words, word pairs and byte triples of a whole text, hashed into ``DIMENSIONS`` indicators.
-Each is scaled by its log-count ratio between the classes (naive Bayes), rows are brought to unit length, and dual coordinate descent fits
+Each is scaled by its log-count ratio between the classes (naive Bayes), rows are brought to about unit length, and dual coordinate descent fits
 the linear model (Wang and Manning, 2012; Hsieh et al., 2008).  A logistic curve turns its margin into a probability.
 
 A null or empty text has no features and gets the score of a zero margin; without rows of both classes all scores are
@@ -21,6 +21,8 @@ from cueflow.llm.labelled import ROWS_PER_CLASS, labelled_sample, remainder
 from cueflow.llm.words import Piece, pieces
 
 DIMENSIONS = 1 << 16
+#: Added to a row's squared length, so that a few features alone decide little.
+REST = 200.0
 
 
 def features(piece: Piece) -> tuple[np.ndarray, np.ndarray]:
@@ -41,8 +43,11 @@ def features(piece: Piece) -> tuple[np.ndarray, np.ndarray]:
     return (found & 0xFFFF).astype(np.uint16), np.searchsorted(found, np.arange(piece.n + 1) << 16)
 
 
-def fit(rows: list[np.ndarray], labels: np.ndarray, penalty: float = 1.0, rounds: int = 30) -> tuple[np.ndarray, float, float]:
-    """Scaled weights per feature (ratio times weight), the ratios' squares, and the logistic curve's slope and shift."""
+def fit(rows: list[np.ndarray], labels: np.ndarray, odds: float = 1.0, penalty: float = 1.0, rounds: int = 30) -> tuple[np.ndarray, float, float]:
+    """Scaled weights per feature (ratio times weight), the ratios' squares, and the logistic curve's slope and shift.
+
+    ``odds`` are those of label 1 among all rows that may be learned from; the sample has as many of either.
+    """
     zero = np.zeros(DIMENSIONS)
     if len(set(labels.tolist())) < 2:
         return np.stack([zero, zero]), 0.0, 0.0
@@ -51,7 +56,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, penalty: float = 1.0, rounds
         counts[label, row] += 1
     ratio = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
     sign = np.where(labels == 1, 1.0, -1.0)
-    scaled = [ratio[row] / max(np.sqrt((ratio[row] ** 2).sum()), 1e-12) for row in rows]
+    scaled = [ratio[row] / np.sqrt((ratio[row] ** 2).sum() + REST) for row in rows]
     weight, bias, alpha = np.zeros(DIMENSIONS), 0.0, np.zeros(len(rows))
     order, rng = np.arange(len(rows)), np.random.default_rng(7)
     share = np.array([(labels == 0).mean(), (labels == 1).mean()])
@@ -63,7 +68,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, penalty: float = 1.0, rounds
             if not len(rows[i]):
                 continue
             gradient = sign[i] * (weight[rows[i]] @ scaled[i] + bias) - 1
-            new = min(max(alpha[i] - gradient / 2.0, 0.0), bound[i])  # a unit row and the bias: squared length 2
+            new = min(max(alpha[i] - gradient / 2.0, 0.0), bound[i])  # a row of at most unit length and the bias: squared length 2 at most
             if (step := (new - alpha[i]) * sign[i]) != 0:
                 weight[rows[i]] += step * scaled[i]
                 bias += step
@@ -83,7 +88,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, penalty: float = 1.0, rounds
         slope, shift = slope - d[0], shift - d[1]
         if np.abs(d).max() < 1e-8:
             break
-    return np.stack([weight * ratio, ratio**2]), slope, slope * bias + shift
+    return np.stack([weight * ratio, ratio**2]), slope, slope * bias + shift + np.log(odds)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, rows: int = ROWS_PER_CLASS) -> DataFrame:
@@ -102,9 +107,12 @@ def quality_scores(docs: DataFrame, labels: DataFrame, rows: int = ROWS_PER_CLAS
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(lists, pa.binary())], ["doc_id", "label", "ids"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    sample = labelled_sample(docs, labels, "quality", remainder(F.col("doc_id"), 3) != 1, rows)
+    allowed = remainder(F.col("doc_id"), 3) != 1
+    sample = labelled_sample(docs, labels, "quality", allowed, rows)
     got = sorted(sample.mapInArrow(collect, f"doc_id {kind}, label int, ids binary").collect(), key=lambda r: (r["doc_id"], r["label"], bytes(r["ids"])))
-    table, slope, shift = fit([np.frombuffer(r["ids"], np.uint16) for r in got], np.array([r["label"] for r in got], dtype=int))
+    share = labels.filter(allowed).agg(F.sum(F.col("quality").isin(1).cast("int")), F.sum(F.col("quality").isin(0).cast("int"))).first()
+    odds = (share[0] or 1) / (share[1] or 1)
+    table, slope, shift = fit([np.frombuffer(r["ids"], np.uint16) for r in got], np.array([r["label"] for r in got], dtype=int), odds)
     shared = spark.sparkContext.broadcast(table)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,8 +122,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, rows: int = ROWS_PER_CLAS
             for piece in pieces(batch.column(2)):
                 ids, at = features(piece)
                 sums = [np.concatenate([[0.0], np.cumsum(v[ids])])[at] for v in (weight, squares)]
-                norm = np.sqrt(np.diff(sums[1]))
-                margin = np.where(norm > 1e-9, np.diff(sums[0]) / np.maximum(norm, 1e-9), 0.0)
+                margin = np.diff(sums[0]) / np.sqrt(np.maximum(np.diff(sums[1]), 0) + REST)
                 out.append(1 / (1 + np.exp(-(slope * margin + shift))))
             p = np.concatenate(out)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(p), pa.array((p >= 0.5).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from cueflow.llm.mixing import mix
 from cueflow.llm.quality_classifier import quality_scores
+from cueflow.llm.quality_rules import quality_rules
 from cueflow.llm.shared import documents
+from cueflow.llm.substring_dedup import remove_repeats
 from cueflow.llm.token_counts import token_counts
 from cueflow.llm.toxicity import toxicity_scores
+from cueflow.llm.url_filters import url_filters
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -24,3 +30,26 @@ def op10_token_counts(spark, sf_dir):
 
 
 QUERIES |= {"op8_quality_classifier": op8_quality_classifier, "op9_toxicity": op9_toxicity, "op10_token_counts": op10_token_counts}
+
+
+def op2_mixing(spark, sf_dir):
+    return mix(documents(spark, sf_dir))
+
+
+def op3_quality_rules(spark, sf_dir):
+    return quality_rules(documents(spark, sf_dir))
+
+
+def op6_url_filters(spark, sf_dir):
+    return url_filters(documents(spark, sf_dir, "pages"))
+
+
+QUERIES |= {"op2_mixing": op2_mixing, "op3_quality_rules": op3_quality_rules, "op6_url_filters": op6_url_filters}
+
+
+def op7_substring_dedup(spark, sf_dir):
+    found = remove_repeats(documents(spark, sf_dir))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+QUERIES |= {"op7_substring_dedup": op7_substring_dedup}

@@ -1,7 +1,8 @@
 """Toxicity: subword-bag embeddings averaged into a linear softmax.
 
 A word is the bag of its byte n-grams of 3 to 6, with marks at both ends, and of itself, each hashed to an embedding; its vector is their
-mean, a document's the mean of its words' (ASCII letters in lower case).  Embeddings and softmax are trained jointly in numpy by Adam (after Joulin et al.,
+mean, a document's the mean over its distinct words and ``REST`` zero vectors, so a few words alone decide little (ASCII letters in
+lower case).  Embeddings and softmax are trained jointly in numpy by Adam (after Joulin et al.,
 2017), so an unseen misspelling shares most vectors with the word it comes from.  As the model is linear in the bag,
 scoring needs one number a bucket: the embedding's part in the difference of the two logits.
 
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from cueflow.llm.labelled import ROWS_PER_CLASS, labelled_sample, remainder
 from cueflow.llm.words import Piece, pieces
 
-BUCKETS, WIDTH = 1 << 18, 4
+BUCKETS, WIDTH, REST = 1 << 18, 4, 30
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -63,9 +64,9 @@ def fit(piece: Piece | None, labels: np.ndarray, rounds: int = 60, rate: float =
     used, ids = np.unique(ids, return_inverse=True)
     each = 1 / np.bincount(bags, minlength=n_words)
     owner = np.repeat(np.arange(piece.n), np.diff(piece.at))
-    key, count = np.unique(owner * n_words + words, return_counts=True)
+    key = np.unique(owner * n_words + words)
     doc, word = key // n_words, key % n_words
-    share = count / np.maximum(np.diff(piece.at), 1)[doc]
+    share = 1 / (np.bincount(doc, minlength=piece.n) + REST)[doc]
     rng = np.random.default_rng(11)
     table, soft, bias = rng.normal(0, 0.1, (WIDTH, len(used))), rng.normal(0, 0.5, (WIDTH, 2)), np.zeros(2)
     params = [table, soft, bias]
@@ -98,8 +99,9 @@ def margins(piece: Piece, part: np.ndarray, bias: float) -> np.ndarray:
     """The difference of the two logits for each document of a piece."""
     ids, bags, words, n = subwords(piece)
     value = np.bincount(bags, part[ids], int(n)) / np.maximum(np.bincount(bags, minlength=int(n)), 1)
-    total = np.concatenate([[0.0], np.cumsum(value[words])])
-    return np.diff(total[piece.at]) / np.maximum(np.diff(piece.at), 1) + bias
+    key = np.unique(np.repeat(np.arange(piece.n), np.diff(piece.at)) * int(n) + words)
+    doc, word = key // max(int(n), 1), key % max(int(n), 1)
+    return np.bincount(doc, value[word], piece.n) / (np.bincount(doc, minlength=piece.n) + REST) + bias
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, rows: int = ROWS_PER_CLASS) -> DataFrame:

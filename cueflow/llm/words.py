@@ -90,13 +90,12 @@ class Piece:
         """Hash of the n-word window at each word, and whether it lies within one document."""
         total = len(words)
         out, fits = np.zeros(total, dtype=U), np.zeros(total, bool)
-        if total >= n:
-            whole = total - n + 1
-            for k in range(n):
-                out[:whole] += words[k : k + whole] * _ODD[k]
-            out = mix(out)
-            last = np.repeat(self.at[1:], np.diff(self.at))
-            fits = np.arange(total) + n <= last
+        whole = total - n + 1
+        if whole > 0:
+            sums = np.zeros(total + 1, dtype=U)
+            np.cumsum(words * powers(_BASE, total), out=sums[1:])
+            out[:whole] = mix((sums[n:] - sums[:whole]) * powers(_INVERSE, whole) + _ODD[n % 63])
+            fits = np.arange(n, total + n) <= np.repeat(self.at[1:], np.diff(self.at))
         return out, fits
 
 
