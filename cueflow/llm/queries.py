@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cueflow.llm.jaccard_join import jaccard_components
 from cueflow.llm.mixing import mix
 from cueflow.llm.quality_classifier import quality_scores
 from cueflow.llm.quality_rules import quality_rules
 from cueflow.llm.shared import documents
 from cueflow.llm.substring_dedup import remove_repeats
+from cueflow.llm.suffix_dedup import remove_long_repeats
 from cueflow.llm.token_counts import token_counts
 from cueflow.llm.toxicity import toxicity_scores
 from cueflow.llm.url_filters import url_filters
@@ -53,3 +55,18 @@ def op7_substring_dedup(spark, sf_dir):
 
 
 QUERIES |= {"op7_substring_dedup": op7_substring_dedup}
+
+
+def op5_suffix_dedup(spark, sf_dir):
+    found = remove_long_repeats(documents(spark, sf_dir))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES |= {"op5_suffix_dedup": op5_suffix_dedup}
+
+
+def op4_jaccard_join(spark, sf_dir):
+    return jaccard_components(documents(spark, sf_dir))
+
+
+QUERIES |= {"op4_jaccard_join": op4_jaccard_join}
