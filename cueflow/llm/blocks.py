@@ -13,7 +13,7 @@ passes depend on a block's contents only, not on the order of its rows.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -29,13 +29,13 @@ PACKED = "part int, block int, a binary, b binary, c binary"
 REPLY = "block int, part int, kind int, a binary, b binary"
 
 
-def dealt(docs: DataFrame) -> tuple[DataFrame, int]:
-    """(doc_id long, text, block), shuffled once by block, and the number of blocks."""
+def dealt(docs: DataFrame, carry: Sequence[str] = ()) -> tuple[DataFrame, int]:
+    """(doc_id long, text, block, and the columns to carry along), shuffled once by block, and the number of blocks."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     n = max(math.ceil(total / BLOCK_BYTES), partitions)
     block = F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), block.alias("block")), n
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), block.alias("block"), *carry), n
 
 
 def edges(parts: int) -> np.ndarray:

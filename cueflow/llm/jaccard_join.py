@@ -260,12 +260,39 @@ def link_groups(found: DataFrame) -> DataFrame:
     return dealt_to.select("root", "node", "tokens", F.explode(task).alias("task")).groupBy("task").applyInArrow(linked, "a long, b long")
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id."""
+def rooted(docs: DataFrame) -> DataFrame:
+    """Per document: doc_id, n_shingles, node, block and root, the name of its component; null for empty sets."""
     found = sift(docs, SAMPLE)
     if not found.filter("bare").isEmpty():  # with whole sets no sample is too small
         found = sift(docs, 1.0)
     roots = components(link_groups(found))
-    own = found.select("doc_id", "n_shingles", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    own = found.select("doc_id", "n_shingles", "node", "block").join(roots, "node", "left")
+    return own.withColumn("root", F.coalesce("root", "node"))
+
+
+def jaccard_components(docs: DataFrame) -> DataFrame:
+    """Per document: doc_id, n_shingles, component_id."""
+    own = rooted(docs)
     least = own.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return own.join(least, "root", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, but of each component only one with the smallest doc_id; rows with an empty set all stay."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node", "block")).alias("first")
+    stay = rooted(docs).filter("root IS NOT NULL").groupBy("root").agg(first).select("first.doc_id", "first.node", "first.block")
+    carry = [c for c in docs.columns if c not in ("doc_id", "text")]
+    blocks, _ = dealt(docs, carry)
+
+    def keep(block: int, table: pa.Table, back: pa.Table) -> pa.Table:
+        wanted = set(zip(back["doc_id"].to_pylist(), back["node"].to_pylist()))
+        sets, names, _ = classes(table)
+        rows = []
+        for i, (doc, name, own) in enumerate(zip(table["doc_id"].to_pylist(), names, sets)):
+            if not len(own) or (doc, name) in wanted:
+                wanted.discard((doc, name))
+                rows.append(i)
+        return table.select(docs.columns).take(pa.array(rows, pa.int64()))
+
+    kinds = {"doc_id": "bigint", "text": "string"}
+    return with_replies(blocks, stay, keep, ", ".join(f"`{f.name}` {kinds.get(f.name, f.dataType.simpleString())}" for f in docs.schema))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cueflow.llm.decontamination import contaminated
 from cueflow.llm.jaccard_join import jaccard_components
 from cueflow.llm.mixing import mix
 from cueflow.llm.quality_classifier import quality_scores
@@ -70,3 +71,10 @@ def op4_jaccard_join(spark, sf_dir):
 
 
 QUERIES |= {"op4_jaccard_join": op4_jaccard_join}
+
+
+def op1_decontamination(spark, sf_dir):
+    return contaminated(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {"op1_decontamination": op1_decontamination} | QUERIES

@@ -16,7 +16,7 @@ part of the hash space.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -190,9 +190,14 @@ def answer_repeats(table: pa.Table) -> pa.Table:
     return replies(rows)
 
 
-def remove_long_repeats(docs: DataFrame) -> DataFrame:
-    """Per document: doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept (the bytes left)."""
-    blocks, parts = dealt(docs)
+def remove_long_repeats(docs: DataFrame, carry: Sequence[str] = (), as_text: bool = False) -> DataFrame:
+    """Per document: doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept (the bytes left), and the columns to carry along.
+
+    ``as_text``: kept is a string, without the characters that a removal cut in two.
+    """
+    blocks, parts = dealt(docs, carry)
+    extra = docs.select(*carry).schema.fields
+    out = OUT.replace("binary", "string" if as_text else "binary") + "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in extra)
 
     def send_anchors(block: int, table: pa.Table) -> pa.Table:
         return send_keys(block, parts, Anchors(table).key)
@@ -240,8 +245,11 @@ def remove_long_repeats(docs: DataFrame) -> DataFrame:
         left = anchors.data[~gone[:-1]]
         stays = np.concatenate([[0], np.cumsum(np.diff(anchors.bounds) - removed)])
         kept = pa.Array.from_buffers(pa.large_binary(), len(removed), [None, pa.py_buffer(stays.astype(np.int64)), pa.py_buffer(left)]).cast(pa.binary())
-        return pa.table([table["doc_id"], pa.array(np.diff(anchors.bounds)), pa.array(removed), pa.array(spans), kept], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+        if as_text:
+            kept = pa.array([v.decode("utf-8", "ignore") for v in kept.to_pylist()], pa.string())
+        columns = [table["doc_id"], pa.array(np.diff(anchors.bounds)), pa.array(removed), pa.array(spans), kept, *(table[c] for c in carry)]
+        return pa.table(columns, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", *carry])
 
     repeated = by_part(by_block(blocks, send_anchors, PACKED), answer_repeated)
     covered = by_part(with_replies(blocks, repeated, send_contexts, PACKED), answer_repeats, REPLY)
-    return with_replies(blocks, repeated.unionByName(covered), cut, OUT)
+    return with_replies(blocks, repeated.unionByName(covered), cut, out)

@@ -104,24 +104,42 @@ def margins(piece: Piece, part: np.ndarray, bias: float) -> np.ndarray:
     return np.bincount(doc, value[word], piece.n) / (np.bincount(doc, minlength=piece.n) + REST) + bias
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, rows: int = ROWS_PER_CLASS) -> DataFrame:
-    """Per document: doc_id, held_out, score, predicted.  Fitted on at most ``rows`` labelled documents a class.
+def trained(docs: DataFrame, labels: DataFrame, rows: int = ROWS_PER_CLASS):
+    """The broadcast (part, bias) of a model fitted on at most ``rows`` labelled documents a class.
 
-    The sample's texts (see :mod:`cueflow.llm.labelled` for the bounds) go to the driver; scoring is one scan without a shuffle, with the
-    model, of fixed size, broadcast.
+    The sample's texts (see :mod:`cueflow.llm.labelled` for the bounds) go to the driver.
     """
     sample = labelled_sample(docs, labels, "toxic", remainder(F.col("doc_id"), 5) != 0, rows)
     got = sorted(sample.collect(), key=lambda r: (r["doc_id"], r["label"], r["text"]))
     whole = next(pieces(pa.array([r["text"] for r in got], pa.large_string()), 1 << 62), None) if got else None
-    part, bias = fit(whole, np.array([r["label"] for r in got], dtype=int))
-    shared = docs.sparkSession.sparkContext.broadcast(part)
+    return docs.sparkSession.sparkContext.broadcast(fit(whole, np.array([r["label"] for r in got], dtype=int)))
+
+
+def probabilities(texts: pa.Array, model: tuple[np.ndarray, float]) -> np.ndarray:
+    margin = np.concatenate([np.zeros(0), *(margins(piece, *model) for piece in pieces(texts))])
+    return 1 / (1 + np.exp(-np.clip(margin, -50, 50)))
+
+
+def toxicity_scores(docs: DataFrame, labels: DataFrame, rows: int = ROWS_PER_CLASS) -> DataFrame:
+    """Per document: doc_id, held_out, score, predicted.  Scoring is one scan without a shuffle, with the model, of fixed size, broadcast."""
+    shared = trained(docs, labels, rows)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            margin = np.concatenate([np.zeros(0), *(margins(piece, shared.value, bias) for piece in pieces(batch.column(2)))])
-            p = 1 / (1 + np.exp(-np.clip(margin, -50, 50)))
+            p = probabilities(batch.column(2), shared.value)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(p), pa.array((p >= 0.5).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     source = docs.select("doc_id", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"), docs["text"])
     return source.mapInArrow(score, f"doc_id {kind}, held_out boolean, score double, predicted int")
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, rows: int = ROWS_PER_CLASS) -> DataFrame:
+    """The rows of ``docs`` that are not predicted toxic, in one scan."""
+    shared, place = trained(docs, labels, rows), docs.columns.index("text")
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(probabilities(batch.column(place), shared.value) < 0.5))
+
+    return docs.mapInArrow(clean, docs.schema)
