@@ -174,17 +174,16 @@ def answer_repeats(table: pa.Table) -> pa.Table:
             inside = at < size[s, None]
             place = anchor[s, None] + (at if sign > 0 else -1 - at)
             rows[s][inside] = text[place[inside]]
-    marks = [m for m in repeats_around(right_rows, left_rows, right, left)]
-    which = np.concatenate([m[0] for m in marks]) if marks else np.zeros(0, np.int64)
-    reach = np.concatenate([m[1] for m in marks]) if marks else which
-    deep = np.concatenate([m[2] for m in marks]) if marks else which
-    order = np.argsort(which, kind="stable")
-    which, reach, deep = which[order], reach[order], deep[order]
+    # all repeats of a context hold its anchor, so together they cover from the furthest left to the furthest right
+    far_left, far_right = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    for member, reach, deep in repeats_around(right_rows, left_rows, right, left):
+        np.maximum.at(far_left, member, reach)
+        np.maximum.at(far_right, member, deep)
     rows, base = [], 0
     for block, part, own in zip(table["block"].to_pylist(), table["part"].to_pylist(), heads):
-        i, j = np.searchsorted(which, [base, base + len(own)])
-        out = np.empty(j - i, MARK)
-        out["which"], out["left"], out["right"] = which[i:j] - base, reach[i:j], deep[i:j]
+        which = np.flatnonzero(far_right[base : base + len(own)])
+        out = np.empty(len(which), MARK)
+        out["which"], out["left"], out["right"] = which, far_left[base + which], far_right[base + which]
         rows.append((block, part, 2, out.tobytes(), None))
         base += len(own)
     return replies(rows)
