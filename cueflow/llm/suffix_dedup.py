@@ -23,12 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from cueflow.llm.blocks import PACKED, REPLY, answer_repeated, by_block, by_part, dealt, heard, ordered, packed, ranges, replies, send_keys, with_replies
-from cueflow.llm.words import Prefix, pieces, text_buffers
+from cueflow.llm.words import Prefix, mix, pieces, text_buffers
 
 LENGTH, GRAM = 200, 50
 BEFORE = LENGTH - GRAM
 _SLICE = 1 << 22
 _PLACE = np.uint64((1 << 24) - 1)
+_ODD_KEY = np.uint64(0x5851F42D4C957F2D)
 CONTEXT = np.dtype([("key", np.uint64), ("left", np.uint16), ("right", np.uint16)])
 MARK = np.dtype([("which", np.uint32), ("left", np.uint16), ("right", np.uint16)])
 OUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
@@ -71,7 +72,7 @@ class Anchors:
             first = piece.bounds[np.searchsorted(piece.bounds, at, side="right") - 1]
             left, right = np.minimum(BEFORE, at - first), np.minimum(LENGTH, ends[at] - at)
             found[0].append(at + base)
-            found[1].append(hashes.ranges(at, at + GRAM))
+            found[1].append(mix(hashes.ranges(at, at + GRAM) ^ _ODD_KEY))  # as anchors have small hashes, keys need others
             found[2].append(hashes.ranges(at - left, at + right) ^ (left.astype(np.uint64) << np.uint64(8)))
         self.place, self.key, self.code = map(np.concatenate, found)
         self.doc = np.searchsorted(self.bounds, self.place, side="right") - 1
