@@ -28,11 +28,11 @@ from pyspark.sql import functions as F
 
 from cueflow.llm.words import Piece, pieces
 
-THRESHOLD, OVERLAP = 0.5, 0.6
+THRESHOLD, OVERLAP = 0.6, 0.6
 K1, B = 1.2, 0.75
 BLOCK, SHARD_BYTES, LEAST_PASSAGE = 4, 16_000_000, 128
 #: What the terms that are left out of the first bound can bring together, at most.
-SLACK = 0.2
+SLACK = 0.05
 OUT = "item_id long, score double, question_overlap double, answer_overlap double"
 _SEPARATORS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
@@ -73,8 +73,8 @@ class Statistics:
 class Index:
     """The inverted index of one shard.
 
-    ``terms`` are sorted hashes.  Of term t, ``items[at[t]:at[t + 1]]`` ascend, with ``impacts``; ``blocks`` and ``tops``, from
-    ``block_at[t]`` on, are the blocks of ``BLOCK`` items it occurs in and its largest impact in each.
+    ``terms`` are sorted hashes.  Of term t, ``items[at[t]:at[t + 1]]`` ascend, with ``impacts``; ``block_top[t]`` has its largest impact
+    in each block of ``BLOCK`` items it occurs in, and ``most[t]`` its largest.
     """
 
     def __init__(self, ids: list, texts: list[str | None], stats: Statistics):
@@ -95,18 +95,15 @@ class Index:
         self.at = np.concatenate([[0], np.cumsum([len(p) for p in lists])]).astype(np.int64)
         self.items = [i for p in lists for i, _ in p]
         self.impacts = [w for p in lists for _, w in p]
+        self.posting_items, self.posting_impacts = np.array(self.items, dtype=np.int64), np.array(self.impacts)
         tops: list[dict[int, float]] = []
         for p in lists:
             own: dict[int, float] = {}
             for item, w in p:
                 own[item // BLOCK] = max(own.get(item // BLOCK, 0.0), w)
             tops.append(own)
-        self.block_at = np.concatenate([[0], np.cumsum([len(t) for t in tops])]).astype(np.int64)
-        self.blocks = np.array([b for t in tops for b in t], dtype=np.int64)
-        self.tops = np.array([w for t in tops for w in t.values()])
         self.block_top = tops
         self.most = [max(t.values()) for t in tops]
-        self.n_blocks = len(ids) // BLOCK + 1
         order = np.argsort(self.most)
         self.rare = np.ones(len(lists), bool)
         self.rare[order[np.cumsum(np.array(self.most)[order]) <= SLACK]] = False
@@ -177,7 +174,7 @@ class Index:
         return shares[0], shares[1]
 
     def passages(self, piece: Piece, words: np.ndarray, half: int, threshold: float) -> list[tuple[int, int, int]]:
-        """(document, first word, end) of the passages in which some block's bound reaches the threshold."""
+        """(document, first word, end) of the passages in which some item's bound reaches the threshold."""
         rough = np.flatnonzero(self.maybe[(words >> np.uint64(44)).astype(np.int64)])
         hit, term = self.find(words[rough])
         hit, keep = rough[hit], self.rare[term]
@@ -190,19 +187,19 @@ class Index:
         # a term counts once in a half
         once = np.unique(unit * len(self.terms) + term) if len(hit) else hit
         unit, term = once // max(len(self.terms), 1), once % max(len(self.terms), 1)
-        size = self.block_at[term + 1] - self.block_at[term]
-        place = np.repeat(self.block_at[term] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-        key, top = np.repeat(unit, size) * self.n_blocks + self.blocks[place], self.tops[place]
+        size, n = self.at[term + 1] - self.at[term], max(len(self.ids), 1)
+        place = np.repeat(self.at[term] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+        key, part = np.repeat(unit, size) * n + self.posting_items[place], self.posting_impacts[place]
         if not len(key):
             return []
         order = np.argsort(key)
-        key, top = key[order], top[order]
+        key, part = key[order], part[order]
         new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        key, top = key[new], np.add.reduceat(top, new)
-        after = np.searchsorted(key, key + self.n_blocks)
+        key, part = key[new], np.add.reduceat(part, new)
+        after = np.searchsorted(key, key + n)
         after[after == len(key)] = 0
-        both = top + np.where(key[after] == key + self.n_blocks, top[after], 0.0)
-        starts = np.unique(np.concatenate([key[both >= threshold - SLACK], key[top >= threshold - SLACK] - self.n_blocks]) // self.n_blocks)
+        both, enough = part + np.where(key[after] == key + n, part[after], 0.0), threshold - SLACK - 1e-9
+        starts = np.unique(np.concatenate([key[both >= enough], key[part >= enough] - n]) // n)
         out = []
         for u in starts[starts >= 0].tolist():
             d = int(np.searchsorted(base, u, side="right")) - 1
