@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def token_count(text: Column) -> Column:
@@ -46,13 +47,13 @@ def peak_normalised(samples: np.ndarray, headroom_db: float = 0.1) -> np.ndarray
     return samples * (10 ** (-headroom_db / 20) / peak) if peak > 0 else samples
 
 
-@F.pandas_udf("array<float>")
+@F.pandas_udf(T.ArrayType(T.FloatType()))
 def decode_wav(content: pd.Series) -> pd.Series:
     """Mono, 16 kHz, peak-normalised samples of wave files' contents."""
     return content.map(lambda data: peak_normalised(resampled(*wav_samples(bytes(data)), 16_000)), na_action="ignore")
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def wav_duration_ms(content: pd.Series) -> pd.Series:
     def one(data: bytes) -> int:
         samples, rate = wav_samples(bytes(data))
@@ -61,7 +62,7 @@ def wav_duration_ms(content: pd.Series) -> pd.Series:
     return content.map(one, na_action="ignore").astype("Int64")
 
 
-@F.pandas_udf("array<float>")
+@F.pandas_udf(T.ArrayType(T.FloatType()))
 def concatenate_overlaid(clips: pd.Series, overlaps_ms: pd.Series) -> pd.Series:
     """16 kHz clips end to end, each laid over the last ``overlap`` milliseconds of what is there."""
 
@@ -85,7 +86,7 @@ def cut_samples(samples: Column, start_ms: Column, end_ms: Column, rate: int = 1
     return F.slice(samples, (start_ms * per_ms + 1).cast("int"), F.greatest((end_ms - start_ms) * per_ms, F.lit(0)).cast("int"))
 
 
-@F.pandas_udf("struct<vad_start_ms:long,vad_end_ms:long>")
+@F.pandas_udf(T.StructType([T.StructField("vad_start_ms", T.LongType()), T.StructField("vad_end_ms", T.LongType())]))
 def energy_activity(samples: pd.Series) -> pd.DataFrame:
     """First and last time, in 30 ms frames, at which the level is over a hundredth of the loudest; both 0 where it never is."""
     rows = []

@@ -11,6 +11,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cueflow.functions import fixed
 
@@ -88,7 +89,7 @@ def join_groups(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, "[\u00a0\u202f]", " "), "(?U)(?<=\\d)[ '](?=\\d{3}\\b)", "")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _fractions(text: pd.Series) -> pd.Series:
     def value(match: re.Match) -> str:
         above, below = int(match[1]), int(match[2])
@@ -97,7 +98,7 @@ def _fractions(text: pd.Series) -> pd.Series:
     return text.map(lambda t: re.sub(r"(\d+)[⁄/](\d+)", value, t), na_action="ignore")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _grouped(text: pd.Series) -> pd.Series:
     whole = re.compile(r"\b(\d+)(\.\d+)?\b")
     return text.map(lambda t: whole.sub(lambda m: f"{int(m[1]):,}".replace(",", "'") + (m[2] or ""), t), na_action="ignore")
@@ -111,7 +112,7 @@ def numbers(text: Column) -> Column:
     return _grouped(comma_decimals(currencies(_fractions(join_groups(text)))))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfkc(text: pd.Series) -> pd.Series:
     return text.map(lambda t: t if t.isascii() else unicodedata.normalize("NFKC", t), na_action="ignore")
 
@@ -139,7 +140,7 @@ def collapsed(tokens: list[str], longest: int = 3) -> list[str]:
     return out
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _collapse(found: pd.Series) -> pd.Series:
     return found.map(lambda own: " ".join(collapsed(list(own))), na_action="ignore")
 
@@ -169,7 +170,7 @@ def without_tags(text: Column) -> Column:
     return F.regexp_replace(text, "<\\|[^|]+\\|>", "")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _ratio(text: pd.Series) -> pd.Series:
     return text.map(lambda t: len(t) / len(zlib.compress(t.encode())), na_action="ignore").astype("float64")
 

@@ -1,6 +1,378 @@
-"""Registry of the queries and of their DuckDB counterparts."""
+"""The queries: each operator over its input fixture, and the same as DuckDB SQL."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cueflow.functions import fixed, providers, text, times
+from cueflow.operators import assembly, cues, quality, segments, spans
+from cueflow.plans import duck, fixtures as fx
+from cueflow.plans.pipelines import Config, fuse_clips, split_recordings
+from cueflow.sources import subtitles, tables
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE: dict[str, str] = {}
+FORBIDDEN = ("the", "que", "zzz")
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def fixture(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
+    """A fixture's SQL over the tables of a folder."""
+    names = [n for n in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations") if f"FROM {n}" in sql]
+    for name in names:
+        sql = sql.replace(f"FROM {name}", f"FROM {{{name}}}")
+    return spark.sql(sql, **{n: table(spark, sf_dir, n) for n in names})
+
+
+def query(name: str, oracle: str | None = None):
+    def register(function):
+        QUERIES[name] = function
+        if oracle:
+            ORACLE[name] = oracle
+        return function
+
+    return register
+
+
+def dense(spark, d):
+    return fixture(spark, d, fx.CUES_DENSE)
+
+
+def messy(spark, d):
+    return fixture(spark, d, fx.CUES_MESSY)
+
+
+def blocked(spark, d):
+    return cues.divert_words(dense(spark, d), ["error"]).filter("matched_word IS NOT NULL")
+
+
+def tracks(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("track_id").agg(F.max("end_ms").alias("audio_ms"))
+
+
+# cues
+
+@query("repeat_run_drop", f"""WITH cues AS ({fx.CUES_MESSY}),
+a AS (SELECT *, CASE WHEN text IS NOT DISTINCT FROM lag(text) OVER w AND row_number() OVER w > 1 THEN 0 ELSE 1 END AS chg FROM cues WINDOW w AS (PARTITION BY track_id ORDER BY cue_idx)),
+b AS (SELECT *, sum(chg) OVER (PARTITION BY track_id ORDER BY cue_idx ROWS UNBOUNDED PRECEDING) AS run FROM a),
+c AS (SELECT *, count(*) OVER (PARTITION BY track_id, run) AS n FROM b) SELECT track_id, cue_idx, start_ms, end_ms, text FROM c WHERE n < 3""")
+def _(s, d):
+    return cues.drop_repeated_runs(messy(s, d))
+
+
+@query("blank_drop", f"SELECT doc_id, text FROM ({fx.RECORDS}) r WHERE length({duck.strip('text')}) > 0")
+def _(s, d):
+    return cues.drop_blank(fixture(s, d, fx.RECORDS)).select("doc_id", "text")
+
+
+@query("track_validity", f"""WITH cues AS ({fx.CUES_MESSY} UNION ALL SELECT concat('d', track_id), cue_idx, start_ms, end_ms, concat(text, CAST(cue_idx%2 AS string)) FROM ({fx.CUES_DENSE}) x),
+f AS (SELECT track_id, start_ms < 0 OR start_ms > end_ms OR coalesce(end_ms > lead(start_ms) OVER w, false) OR coalesce(text = lag(text) OVER w AND text = lag(text, 2) OVER w, false) AS wrong
+FROM cues WINDOW w AS (PARTITION BY track_id ORDER BY cue_idx)) SELECT track_id, NOT bool_or(wrong) AS valid FROM f GROUP BY 1""")
+def _(s, d):
+    other = dense(s, d).select(F.concat(F.lit("d"), "track_id").alias("track_id"), "cue_idx", "start_ms", "end_ms", F.concat("text", (F.col("cue_idx") % 2).cast("string")).alias("text"))
+    return cues.track_validity(messy(s, d).unionByName(other))
+
+
+_DIVERT = "CASE WHEN contains(lower(text), 'click') THEN 'Click' WHEN contains(lower(text), 'o 3') THEN 'o 3' END"
+
+
+@query("filter_word_divert", f"SELECT track_id, cue_idx, text, {_DIVERT} AS matched_word FROM ({fx.CUES_DENSE}) c")
+def _(s, d):
+    return cues.divert_words(dense(s, d), ["Click", "o 3"]).select("track_id", "cue_idx", "text", "matched_word")
+
+
+@query("filtered_by_word", f"SELECT matched_word, count(*) AS cues, CAST(sum(end_ms - start_ms) AS bigint) AS total_ms FROM (SELECT *, {_DIVERT} AS matched_word FROM ({fx.CUES_DENSE}) c) x WHERE matched_word IS NOT NULL GROUP BY 1")
+def _(s, d):
+    _, out = subtitles.split_diverted(dense(s, d), ["Click", "o 3"])
+    return out.groupBy("matched_word").agg(F.count("*").alias("cues"), F.sum(F.col("end_ms") - F.col("start_ms")).alias("total_ms"))
+
+
+@query("fuse_captions", duck.FUSED)
+def _(s, d):
+    return cues.fuse_captions(fixture(s, d, fx.CUES_CONV))
+
+
+@query("caption_overlap_fix", f"""SELECT track_id AS seq_id, cue_idx AS pos, round(CASE WHEN s <= p THEN p + 0.02 ELSE s END, 6) AS start_s, e AS end_s FROM (
+SELECT *, lag(e) OVER (PARTITION BY track_id ORDER BY cue_idx) AS p FROM (SELECT *, start_ms/1000.0::double AS s, end_ms/1000.0::double AS e FROM ({fx.CUES_MESSY}) c) x) y""")
+def _(s, d):
+    own = messy(s, d).select(F.col("track_id").alias("seq_id"), F.col("cue_idx").alias("pos"), (F.col("start_ms") / F.lit(1000.0)).alias("start_s"), (F.col("end_ms") / F.lit(1000.0)).alias("end_s"))
+    return cues.repair_overlaps(own).withColumn("start_s", F.round("start_s", 6))
+
+
+@query("sanitize_cues")
+def _(s, d):
+    return cues.sanitize_cues(messy(s, d))
+
+
+# spans
+
+@query("merge_blocked_intervals", f"WITH {duck.BLOCKED} SELECT * FROM blocked")
+def _(s, d):
+    return spans.merge_intervals(blocked(s, d))
+
+
+@query("safe_spans", f"WITH {duck.SPANS} SELECT * FROM spans")
+def _(s, d):
+    return spans.safe_spans(tracks(dense(s, d)), blocked(s, d))
+
+
+@query("span_containment", f"WITH {duck.SPANS} SELECT c.track_id, c.cue_idx, s.span_idx FROM cues c JOIN spans s ON c.track_id = s.track_id WHERE c.start_ms >= span_start AND c.end_ms <= span_end AND c.end_ms > span_start AND c.start_ms < span_end")
+def _(s, d):
+    own = dense(s, d)
+    return spans.contained_cues(own, spans.safe_spans(tracks(own), blocked(s, d))).select("track_id", "cue_idx", "span_idx")
+
+
+# segments
+
+def whole_tracks(s, d):
+    own = dense(s, d)
+    whole = own.join(tracks(own), "track_id").select("*", F.lit(0).cast("long").alias("span_idx"), F.lit(0).cast("long").alias("span_start"), F.col("audio_ms").alias("span_end"), F.lit("de").alias("language"))
+    return segments.positioned(whole)
+
+
+@query("segment_boundaries", f"{duck.SEGMENTS} SELECT * FROM segs")
+def _(s, d):
+    return segments.segment_boundaries(whole_tracks(s, d))
+
+
+def records_of(s, d):
+    own = whole_tracks(s, d)
+    return segments.segment_records(own, segments.segment_boundaries(own))
+
+
+@query("segment_records", f"{duck.RECORDS} SELECT track_id, seg_idx, seg_start, seg_end, text, tokens FROM recs")
+def _(s, d):
+    return records_of(s, d).select("track_id", "seg_idx", "seg_start", "seg_end", "text", "tokens")
+
+
+@query("segment_prompts", f"{duck.RECORDS} SELECT track_id, seg_idx, prompt FROM recs")
+def _(s, d):
+    return records_of(s, d).select("track_id", "seg_idx", "prompt")
+
+
+@query("token_budget", f"{duck.RECORDS} SELECT track_id, seg_idx, tokens FROM recs WHERE tokens <= 219")
+def _(s, d):
+    return records_of(s, d).filter("within").select("track_id", "seg_idx", "tokens")
+
+
+@query("cut_list", f"{duck.SEGMENTS} SELECT track_id, seg_start, seg_end, seg_start*16 AS start_sample, least(seg_end*16, seg_start*16 + 480000) AS end_sample FROM segs")
+def _(s, d):
+    return segments.cut_list(segments.segment_boundaries(whole_tracks(s, d)))
+
+
+# times
+
+_TIMES = "SELECT event_id, CASE event_id%5 WHEN 0 THEN concat('0', CAST(event_id%9 AS string), ':1', CAST(event_id%10 AS string), ':22,', CAST(event_id%1000 AS string)) WHEN 1 THEN concat('01:02:0', CAST(event_id%10 AS string), '.5') WHEN 2 THEN '12:30' WHEN 3 THEN concat(' 00:00:', CAST(10+event_id%50 AS string), ',010 ') ELSE 'x:1:2,3' END AS text FROM events"
+
+
+@query("parse_time", f"""SELECT event_id, CASE WHEN len(p) = 4 THEN CAST(((CAST(p[1] AS bigint)*60 + CAST(p[2] AS bigint))*60 + CAST(p[3] AS bigint))*1000 + CAST(p[4] AS bigint) AS bigint) END AS ms
+FROM (SELECT event_id, CASE WHEN regexp_full_match(trim(text), '\\d+:\\d+:\\d+[,.]\\d+') THEN regexp_extract_all(text, '\\d+') END AS p FROM ({_TIMES}) t) x""")
+def _(s, d):
+    return fixture(s, d, _TIMES).select("event_id", times.parse_time(F.col("text")).alias("ms"))
+
+
+@query("time_token", f"SELECT track_id, cue_idx, CASE WHEN end_ms - start_ms BETWEEN 0 AND 30000 THEN {duck.time_token('end_ms', 'start_ms')} END AS token FROM ({fx.CUES_MESSY}) c")
+def _(s, d):
+    return messy(s, d).select("track_id", "cue_idx", times.time_token(F.col("end_ms"), F.col("start_ms")).alias("token"))
+
+
+@query("srt_time_format", f"""SELECT track_id, cue_idx, format('{{:02d}}:{{:02d}}:{{:02d}}.{{:03d}}', (u // 3600000000) % 24, (u // 60000000) % 60, (u // 1000000) % 60, (u // 1000) % 1000) AS stamp
+FROM (SELECT track_id, cue_idx, (((start_ms*1000*37 - 5000000) % 86400000000) + 86400000000) % 86400000000 AS u FROM ({fx.CUES_DENSE}) c) x""")
+def _(s, d):
+    return dense(s, d).select("track_id", "cue_idx", times.srt_time((F.col("start_ms") * 37 - 5000) / F.lit(1000.0)).alias("stamp"))
+
+
+# texts
+
+def text_query(name: str, column: Callable, oracle: str | None, sql: str = fx.TEXTS):
+    query(name, f"SELECT doc_id, {oracle} AS result FROM ({sql}) t" if oracle else None)(lambda s, d: fixture(s, d, sql).select("doc_id", column(F.col("text")).alias("result")))
+
+
+text_query("remove_brackets", text.remove_bracketed, duck.brackets("text"))
+text_query("standardize_text", text.standardize, duck.standardize("text"))
+text_query("triple_dots", text.tidy_dots, duck.dots("text"))
+text_query("capitalization", text.fix_capitals, duck.capitals("text"))
+text_query("tokenize_text", lambda c: F.array_join(text.tokens(c), "|"), f"array_to_string(regexp_extract_all(text, '\\.\\.\\.|[^{duck._SP}]+'), '|')")
+text_query("currencies", text.currencies, duck.currencies("text"))
+text_query("comma_decimal", text.comma_decimals, duck.comma("text"))
+text_query("abbreviations", text.expand_abbreviations, duck.abbreviations("text"))
+text_query("number_grouping", text.numbers, duck.numbers("text"), fx.NUMBERS)
+text_query("normalize_text", text.normalize, duck.normalize("text"), fx.NUMBERS)
+text_query("normalize_documents", text.normalize, None)
+text_query("collapse_ngrams", text.collapse_repeats, None)
+text_query("compression_ratio", text.compression_ratio, None, "SELECT doc_id, text FROM documents")
+text_query("strip_text", text.strip, duck.strip("text"), "SELECT doc_id, concat(' ', CASE doc_id%3 WHEN 0 THEN chr(9) ELSE chr(10) END, substr(text,1,30), CASE doc_id%2 WHEN 0 THEN chr(160) ELSE '  ' END) AS text FROM documents")
+
+
+@query("leading_space", "SELECT doc_id, CASE WHEN lang IN ('zh', 'ja', 'th', 'lo', 'my') THEN substr(text,1,20) ELSE concat(' ', substr(text,1,20)) END AS result FROM (SELECT doc_id, text, CASE WHEN doc_id%4 = 0 THEN 'zh' ELSE lang END AS lang FROM documents) t")
+def _(s, d):
+    own = fixture(s, d, "SELECT doc_id, substr(text,1,20) AS text, CASE WHEN doc_id%4 = 0 THEN 'zh' ELSE lang END AS lang FROM documents")
+    return own.select("doc_id", text.leading_space(F.col("text"), F.col("lang")).alias("result"))
+
+
+_SENTENCES = "SELECT doc_id, CASE doc_id%4 WHEN 0 THEN concat('\"', substr(text,1,30), '\"') WHEN 1 THEN concat(substr(text,1,20), '?') WHEN 2 THEN '\"' ELSE substr(text,1,25) END AS text FROM documents"
+
+
+@query("sentence_punctuation", f"""SELECT doc_id, CASE WHEN length(b) > 0 AND right(b, 1) NOT IN ('.', '?', '!') THEN concat(b, '.') ELSE b END AS result FROM (
+SELECT doc_id, CASE WHEN starts_with(text, '"') AND ends_with(text, '"') THEN substr(text, 2, greatest(length(text) - 2, 0)) ELSE text END AS b FROM ({_SENTENCES}) t) x""")
+def _(s, d):
+    return fixture(s, d, _SENTENCES).select("doc_id", text.finish_sentence(F.col("text")).alias("result"))
+
+
+@query("sanitize_id", f"""SELECT page_id, coalesce(nullif({duck.sub(duck.sub("translate(" + duck.strip("url") + ", '/' || chr(92), '__')", "[^A-Za-z0-9._-]+", "_"), "^[._]+|[._]+$", "")}, ''), 'sample') AS result FROM (SELECT page_id, CASE WHEN page_id%7 = 0 THEN ' ._ ' ELSE url END AS url FROM pages) p""")
+def _(s, d):
+    return fixture(s, d, "SELECT page_id, CASE WHEN page_id%7 = 0 THEN ' ._ ' ELSE url END AS url FROM pages").select("page_id", text.safe_id(F.col("url")).alias("result"))
+
+
+@query("surrogate_tokens", f"SELECT doc_id, {duck.token_count('text')} AS tokens FROM documents")
+def _(s, d):
+    return table(s, d, "documents").select("doc_id", providers.token_count(F.col("text")).alias("tokens"))
+
+
+# quality
+
+@query("word_count_filter", f"SELECT doc_id, text FROM ({fx.RECORDS}) r WHERE len({duck.words('text')}) > 8")
+def _(s, d):
+    return fixture(s, d, fx.RECORDS).filter(~quality.few_words(F.col("text"))).select("doc_id", "text")
+
+
+@query("french_filter", f"SELECT doc_id FROM documents WHERE {duck.hints('text', fixed.FRENCH_WORDS, fixed.FRENCH_ELISIONS)} AND lang = 'fr'")
+def _(s, d):
+    return quality.french(table(s, d, "documents"), F.col("lang")).select("doc_id")
+
+
+@query("english_filter", f"SELECT doc_id FROM documents WHERE {duck.hints('text', fixed.ENGLISH_WORDS, fixed.ENGLISH_ELISIONS)} AND lang = 'en'")
+def _(s, d):
+    return quality.english(table(s, d, "documents"), F.col("lang")).select("doc_id")
+
+
+@query("record_filter_words", f"SELECT doc_id, CASE {' '.join(f'WHEN contains(upper(text), upper({duck.lit(w)})) THEN {duck.lit(w)}' for w in FORBIDDEN)} END AS word FROM ({fx.RECORDS}) r")
+def _(s, d):
+    return fixture(s, d, fx.RECORDS).select("doc_id", quality.first_word(F.col("text"), FORBIDDEN).alias("word"))
+
+
+@query("disposition_counts", f"""SELECT disposition, count(*) AS records FROM (SELECT CASE WHEN len({duck.words('text')}) <= 8 THEN 'bad_examples'
+WHEN {duck.hints('text', fixed.FRENCH_WORDS, fixed.FRENCH_ELISIONS)} AND lang = 'fr' THEN 'french_examples' WHEN {duck.hints('text', fixed.ENGLISH_WORDS, fixed.ENGLISH_ELISIONS)} AND lang = 'en' THEN 'english_examples'
+WHEN contains(upper(text), 'DER') THEN 'filtered_der_examples' ELSE 'kept' END AS disposition FROM ({fx.RECORDS}) r) x GROUP BY 1""")
+def _(s, d):
+    own = fixture(s, d, fx.RECORDS)
+    return quality.disposed(own, ["der"], F.col("lang"), bad=quality.few_words(F.col("text"))).groupBy("disposition").agg(F.count("*").alias("records"))
+
+
+@query("residual_check", f"SELECT doc_id FROM ({fx.RECORDS}) r WHERE NOT contains(upper(text), 'THE') AND contains(upper(text), 'THE')")
+def _(s, d):
+    kept = quality.disposed(fixture(s, d, fx.RECORDS), ["the"], bad=F.lit(False)).filter("disposition = 'kept'")
+    return kept.filter(quality.first_word(F.col("text"), ["the"]).isNotNull()).select("doc_id")
+
+
+@query("left_semi_ids", "SELECT doc_id, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 0)")
+def _(s, d):
+    return quality.allowed_only(table(s, d, "documents"), table(s, d, "labels").filter("toxic = 0").select("doc_id"), "doc_id").select("doc_id", "lang")
+
+
+# clips and tables
+
+@query("exact_fraction_sample", f"SELECT doc_id, source FROM (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY {duck.draw('doc_id', 1)}, doc_id) AS n, count(*) OVER (PARTITION BY source) AS a FROM documents) t WHERE n * 1000 <= a * 300 + 500")
+def _(s, d):
+    return assembly.exact_sample(table(s, d, "documents").select("doc_id", "source"), "doc_id", 300, partitions="source")
+
+
+@query("union_common_columns", "SELECT nationkey, phone_name FROM (SELECT c_nationkey AS nationkey, c_name AS phone_name FROM customer UNION ALL SELECT s_nationkey, s_name FROM supplier) t")
+def _(s, d):
+    one = table(s, d, "customer").withColumnsRenamed({"c_nationkey": "nationkey", "c_name": "phone_name"})
+    two = table(s, d, "supplier").withColumnsRenamed({"s_nationkey": "nationkey", "s_name": "phone_name"})
+    return tables.union_common([one, two])
+
+
+@query("best_transcript_per_stem", f"SELECT stem, format, file_id FROM (SELECT t.*, row_number() OVER (PARTITION BY stem ORDER BY format) AS n FROM ({fx.TRANSCRIPTS}) t JOIN ({fx.AUDIO}) a USING (stem)) x WHERE n = 1")
+def _(s, d):
+    found, _missing = subtitles.best_transcripts(fixture(s, d, fx.AUDIO), fixture(s, d, fx.TRANSCRIPTS))
+    return found.select("stem", F.col("transcript_format").alias("format"), F.col("transcript_file_id").alias("file_id"))
+
+
+@query("missing_transcripts", f"SELECT stem FROM ({fx.AUDIO}) a WHERE stem NOT IN (SELECT stem FROM ({fx.TRANSCRIPTS}) t WHERE CAST(stem AS bigint) < 20)")
+def _(s, d):
+    return subtitles.best_transcripts(fixture(s, d, fx.AUDIO), fixture(s, d, fx.TRANSCRIPTS).filter("CAST(stem AS bigint) < 20"))[1]
+
+
+@query("silence_subsample", f"SELECT doc_id, track_id, text FROM (SELECT *, row_number() OVER (PARTITION BY track_id, text = '' ORDER BY doc_id) AS n FROM ({fx.RECORDS}) r) x WHERE text <> '' OR (n - 1) % 3 = 0")
+def _(s, d):
+    return assembly.subsample_silence(fixture(s, d, fx.RECORDS), 3, ["doc_id"]).select("doc_id", "track_id", "text")
+
+
+_RUNS = f"""WITH clips AS ({fx.CLIPS}), a AS (SELECT *, {duck.draw('clip_id', 42)} AS h, CASE WHEN {duck.draw('clip_id', 43)} >= 500000 THEN 1 ELSE 0 END AS breaks FROM clips),
+b AS (SELECT *, row_number() OVER w AS nth FROM a WINDOW w AS (PARTITION BY client_id ORDER BY h, clip_id)),
+c AS (SELECT *, CAST(sum(CASE WHEN nth = 1 THEN 0 ELSE breaks END) OVER (PARTITION BY client_id ORDER BY nth ROWS UNBOUNDED PRECEDING) AS bigint) AS run FROM b),
+e AS (SELECT *, min(clip_id) OVER (PARTITION BY client_id, run) AS run_first FROM c), f AS (SELECT *, {duck.draw('run_first', 44)} AS run_key FROM e),
+g AS (SELECT *, row_number() OVER (PARTITION BY run_key % 64 ORDER BY run_key, run_first, client_id, nth) - 1 AS place FROM f)"""
+
+
+@query("speaker_runs", f"{_RUNS} SELECT clip_id, client_id, nth, run FROM g")
+def _(s, d):
+    return assembly.speaker_runs(fixture(s, d, fx.CLIPS), 500_000).select("clip_id", "client_id", "nth", "run")
+
+
+@query("chunk_sequences", f"{_RUNS} SELECT clip_id, concat(CAST(run_key % 64 AS varchar), '-', CAST(place // 8 AS varchar)) AS seq_id, CAST(place % 8 AS bigint) AS pos FROM g")
+def _(s, d):
+    return assembly.chunk_sequences(assembly.speaker_runs(fixture(s, d, fx.CLIPS), 500_000), 8).select("clip_id", "seq_id", "pos")
+
+
+@query("overlap_draw", f"""SELECT seq_id, pos, CAST(CASE WHEN pos > 0 AND {duck.draw('clip_id', 7)} < 600000 THEN CASE WHEN {duck.draw('clip_id', 8)} < 300000 THEN room ELSE floor(room * {duck.draw('clip_id', 9)} / 1000000.0) END ELSE 0 END AS bigint) AS overlap_ms
+FROM (SELECT *, lag(dur_ms - vad_end_ms) OVER (PARTITION BY seq_id ORDER BY pos) + vad_start_ms + 200 AS room FROM ({fx.SEQUENCES}) q) x""")
+def _(s, d):
+    return assembly.draw_overlaps(fixture(s, d, fx.SEQUENCES).drop("overlap_ms"), 600_000, 300_000, 200).select("seq_id", "pos", "overlap_ms")
+
+
+@query("fused_offsets", f"""SELECT seq_id, pos, CAST(off AS bigint) AS offset_ms, CAST(vad_start_ms - overlap_ms + off AS bigint) AS start_ms, CAST(off + vad_end_ms - overlap_ms AS bigint) AS end_ms
+FROM (SELECT *, coalesce(sum(dur_ms - overlap_ms) OVER (PARTITION BY seq_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM ({fx.SEQUENCES}) q) x""")
+def _(s, d):
+    out = assembly.fused_offsets(fixture(s, d, fx.SEQUENCES))
+    return out.select("seq_id", "pos", "offset_ms", F.col("start_ms").cast("long").alias("start_ms"), F.col("end_ms").cast("long").alias("end_ms"))
+
+
+@query("srt_text")
+def _(s, d):
+    own = fixture(s, d, fx.CUES_CONV).select(F.col("track_id").alias("seq_id"), F.col("cue_idx").alias("pos"), (F.col("start_ms") / F.lit(1000.0)).alias("start_s"), (F.col("end_ms") / F.lit(1000.0)).alias("end_s"), "text")
+    return assembly.srt_texts(own)
+
+
+# files
+
+
+
+@query("parse_subtitles", f"""WITH files AS ({fx.SRT_FILES}), l AS (SELECT track_id, format, string_split(CASE WHEN ends_with(content, chr(10)) THEN content[:-2] ELSE content END, chr(10)) AS lines FROM files),
+m AS (SELECT *, list_filter(range(1, len(lines) + 1), lambda i: contains(lines[i], ' --> ')) AS marks FROM l),
+c AS (SELECT track_id, format, lines, marks, unnest(range(1, len(marks) + 1)) AS k FROM m),
+t AS (SELECT track_id, format, CAST(k - 1 AS bigint) AS cue_idx, string_split(lines[marks[k]], ' --> ') AS p,
+  {duck.strip("array_to_string(list_transform(lines[marks[k] + 1 : coalesce(marks[k + 1], len(lines) + 1 + CASE WHEN format = 'srt' THEN 2 ELSE 1 END) - CASE WHEN format = 'srt' THEN 3 ELSE 2 END], lambda x: trim(x)), ' ')")} AS text FROM c)
+SELECT track_id, cue_idx, {' , '.join(f"CAST(((CAST(regexp_extract(p[{i}], '(\\d+):(\\d+):(\\d+)[,.](\\d+)', 1) AS bigint)*60 + CAST(regexp_extract(p[{i}], '(\\d+):(\\d+):(\\d+)[,.](\\d+)', 2) AS bigint))*60 + CAST(regexp_extract(p[{i}], '(\\d+):(\\d+):(\\d+)[,.](\\d+)', 3) AS bigint))*1000 + CAST(regexp_extract(p[{i}], '(\\d+):(\\d+):(\\d+)[,.](\\d+)', 4) AS bigint) AS bigint) AS {n}" for i, n in ((1, 'start_ms'), (2, 'end_ms')))}, text
+FROM t WHERE CASE WHEN format = 'srt' THEN length(text) > 1 ELSE text NOT IN ('', '.') END""")
+def _(s, d):
+    return subtitles.parse_cues(fixture(s, d, fx.SRT_FILES.replace("string_agg(concat(", "listagg(concat(").replace("chr(10) ORDER BY turn)", "chr(10)) WITHIN GROUP (ORDER BY turn)")))
+
+
+@query("series_sentences", f"SELECT track_id, string_agg(text, ' ' ORDER BY cue_idx) AS sentence FROM ({fx.CUES_CONV}) c GROUP BY 1")
+def _(s, d):
+    own = fixture(s, d, fx.CUES_CONV)
+    files = own.select("track_id").distinct().select("track_id", F.lit("a").alias("audio"), F.col("track_id").alias("series"), F.lit("s").alias("srt"), F.lit("de").alias("language"))
+    return tables.series(own, files).select(F.col("series").alias("track_id"), "sentence")
+
+
+# pipelines
+
+@query("pipeline_splitting")
+def _(s, d):
+    own = dense(s, d).unionByName(messy(s, d).withColumn("track_id", F.concat(F.lit("m"), "track_id")))
+    info = tracks(own).select("track_id", "audio_ms", F.concat(F.lit("dump/"), "track_id").alias("audio_path"), F.lit("de").alias("language"))
+    return split_recordings(own, info, Config(filter_words=["error"]), language=providers.hinted_language(text.french_hint(F.col("text")), text.english_hint(F.col("text"))))
+
+
+@query("pipeline_fusion")
+def _(s, d):
+    return fuse_clips(fixture(s, d, fx.CLIPS))

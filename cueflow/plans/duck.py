@@ -101,7 +101,7 @@ def time_token(t: str, start: str) -> str:
 def draw(key: str, seed: int) -> str:
     m = 2_147_483_647
     first = f"(((({key}) % {m}) + {seed}) * 48271 + 11) % {m}"
-    return f"((({first}) * 69621 + 7) % {m}) % 1000000"
+    return f"(((({first}) * 69621 + 7) % {m}) % 1000000)"
 
 
 #: Merged intervals of the cues that have a word.
@@ -149,6 +149,6 @@ o AS (SELECT *, row_number() OVER (PARTITION BY track_id ORDER BY cue_idx) AS i
 f AS (SELECT track_id, i, start_ms AS s, end_ms AS e, text AS t, CAST(0 AS bigint) AS g FROM o WHERE i = 1
   UNION ALL
   SELECT f.track_id, o.i, CASE WHEN fits THEN f.s ELSE o.start_ms END, o.end_ms, CASE WHEN fits THEN joined ELSE o.text END, CASE WHEN fits THEN f.g ELSE f.g + 1 END
-  FROM (SELECT f.*, o.start_ms, o.end_ms, o.text, concat(rtrim(f.t), ' ', ltrim(o.text)) AS joined, length(concat(rtrim(f.t), ' ', ltrim(o.text))) <= 42 AND o.end_ms - f.s <= 7000 AS fits
+  FROM (SELECT f.*, o.start_ms, o.end_ms, o.text, concat(regexp_replace(f.t, '\\s+$', ''), ' ', regexp_replace(o.text, '^\\s+', '')) AS joined, length(concat(regexp_replace(f.t, '\\s+$', ''), ' ', regexp_replace(o.text, '^\\s+', ''))) <= 42 AND o.end_ms - f.s <= 7000 AS fits
     FROM f JOIN o ON o.track_id = f.track_id AND o.i = f.i + 1) f JOIN o ON o.track_id = f.track_id AND o.i = f.i + 1)
 SELECT track_id, g AS cue_idx, max_by(s, i) AS start_ms, max_by(e, i) AS end_ms, max_by(t, i) AS text FROM f GROUP BY track_id, g"""
