@@ -32,9 +32,9 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A document of which nothing is left goes; one that was empty stays.
     """
-    found = remove_long_repeats(docs, [c for c in docs.columns if c not in ("doc_id", "text")], as_text=True)
-    found = found.filter("n_bytes = 0 OR kept != ''").withColumn("text", F.col("kept"))
-    return found.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    found = remove_long_repeats(docs, [c for c in docs.columns if c not in ("doc_id", "text")], as_text=True).filter("n_bytes = 0 OR kept != ''")
+    new = {"doc_id": F.col("doc_id"), "text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
+    return found.select(*(new.get(c, F.col("carried")[c]).alias(c) for c in docs.columns))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

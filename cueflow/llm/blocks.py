@@ -30,12 +30,12 @@ REPLY = "block int, part int, kind int, a binary, b binary"
 
 
 def dealt(docs: DataFrame, carry: Sequence[str] = ()) -> tuple[DataFrame, int]:
-    """(doc_id long, text, block, and the columns to carry along), shuffled once by block, and the number of blocks."""
+    """(doc_id long, text, block), shuffled once by block, and the number of blocks; columns to carry along are fields of ``carried``."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     n = max(math.ceil(total / BLOCK_BYTES), partitions)
     block = F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), block.alias("block"), *carry), n
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), block.alias("block"), *([F.struct(*carry).alias("carried")] if carry else [])), n
 
 
 def edges(parts: int) -> np.ndarray:

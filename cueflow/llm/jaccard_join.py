@@ -283,6 +283,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     stay = rooted(docs).filter("root IS NOT NULL").groupBy("root").agg(first).select("first.doc_id", "first.node", "first.block")
     carry = [c for c in docs.columns if c not in ("doc_id", "text")]
     blocks, _ = dealt(docs, carry)
+    more = ["carried"] if carry else []
 
     def keep(block: int, table: pa.Table, back: pa.Table) -> pa.Table:
         wanted = set(zip(back["doc_id"].to_pylist(), back["node"].to_pylist()))
@@ -292,7 +293,8 @@ def one_of_each(docs: DataFrame) -> DataFrame:
             if not len(own) or (doc, name) in wanted:
                 wanted.discard((doc, name))
                 rows.append(i)
-        return table.select(docs.columns).take(pa.array(rows, pa.int64()))
+        return table.select(["doc_id", "text", *more]).take(pa.array(rows, pa.int64()))
 
-    kinds = {"doc_id": "bigint", "text": "string"}
-    return with_replies(blocks, stay, keep, ", ".join(f"`{f.name}` {kinds.get(f.name, f.dataType.simpleString())}" for f in docs.schema))
+    schema = "doc_id long, text string" + "".join(f", {c} {blocks.schema[c].dataType.simpleString()}" for c in more)
+    kept = with_replies(blocks, stay, keep, schema)
+    return kept.select(*(F.col("carried")[c].alias(c) if c in carry else c for c in docs.columns))

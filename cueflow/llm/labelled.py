@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 #: Bounds of the sample: rows a class, and bytes of a text that may be in it.  They bound the driver's memory; scoring
 #: has no bound and reads every text whole.
-ROWS_PER_CLASS = 1500
+ROWS_PER_CLASS = 2500
 SAMPLE_BYTES = 100_000
 
 

@@ -191,13 +191,13 @@ def answer_repeats(table: pa.Table) -> pa.Table:
 
 
 def remove_long_repeats(docs: DataFrame, carry: Sequence[str] = (), as_text: bool = False) -> DataFrame:
-    """Per document: doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept (the bytes left), and the columns to carry along.
+    """Per document: doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept (the bytes left), and, if columns are to be carried along, ``carried`` with them.
 
     ``as_text``: kept is a string, without the characters that a removal cut in two.
     """
     blocks, parts = dealt(docs, carry)
-    extra = docs.select(*carry).schema.fields
-    out = OUT.replace("binary", "string" if as_text else "binary") + "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in extra)
+    more = ["carried"] if carry else []
+    out = OUT.replace("binary", "string" if as_text else "binary") + "".join(f", {c} {blocks.schema[c].dataType.simpleString()}" for c in more)
 
     def send_anchors(block: int, table: pa.Table) -> pa.Table:
         return send_keys(block, parts, Anchors(table).key)
@@ -247,8 +247,8 @@ def remove_long_repeats(docs: DataFrame, carry: Sequence[str] = (), as_text: boo
         kept = pa.Array.from_buffers(pa.large_binary(), len(removed), [None, pa.py_buffer(stays.astype(np.int64)), pa.py_buffer(left)]).cast(pa.binary())
         if as_text:
             kept = pa.array([v.decode("utf-8", "ignore") for v in kept.to_pylist()], pa.string())
-        columns = [table["doc_id"], pa.array(np.diff(anchors.bounds)), pa.array(removed), pa.array(spans), kept, *(table[c] for c in carry)]
-        return pa.table(columns, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", *carry])
+        columns = [table["doc_id"], pa.array(np.diff(anchors.bounds)), pa.array(removed), pa.array(spans), kept, *(table[c] for c in more)]
+        return pa.table(columns, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", *more])
 
     repeated = by_part(by_block(blocks, send_anchors, PACKED), answer_repeated)
     covered = by_part(with_replies(blocks, repeated, send_contexts, PACKED), answer_repeats, REPLY)
