@@ -61,7 +61,7 @@ def stem(path: Column) -> Column:
 
 def read_subtitles(spark: SparkSession, folder: str, glob: str = "*.{srt,vtt}") -> DataFrame:
     """(path, stem, format, content) of the subtitle files of a folder."""
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", glob).text(folder)
+    files = spark.read.option("pathGlobFilter", glob).text(folder, wholetext=True)
     path = F.input_file_name()
     return files.select(path.alias("path"), stem(path).alias("stem"), F.lower(F.regexp_extract(path, "\\.([^.]*)$", 1)).alias("format"), F.col("value").alias("content"))
 
