@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from cueflow.llm.decontamination import contaminated
 from cueflow.llm.jaccard_join import jaccard_components
 from cueflow.llm.mixing import mix
+from cueflow.llm.oracle import ORACLE  # noqa: F401
 from cueflow.llm.quality_classifier import quality_scores
 from cueflow.llm.quality_rules import quality_rules
 from cueflow.llm.shared import documents
@@ -17,7 +18,6 @@ from cueflow.llm.toxicity import toxicity_scores
 from cueflow.llm.url_filters import url_filters
 
 QUERIES: dict = {}
-ORACLE: dict = {}
 
 
 def op8_quality_classifier(spark, sf_dir):
@@ -40,7 +40,7 @@ def op2_mixing(spark, sf_dir):
 
 
 def op3_quality_rules(spark, sf_dir):
-    return quality_rules(documents(spark, sf_dir))
+    return quality_rules(documents(spark, sf_dir)).drop("p_good")
 
 
 def op6_url_filters(spark, sf_dir):

@@ -8,7 +8,10 @@ prefixes gives the tree of intervals, and in each interval the occurrences are o
 backwards: where neighbours differ, the common left extension ends.  So each interval yields its maximal repeats with all occurrences, and a repeat
 of 200 bytes or more covers its bytes in every one of them.
 
-Contexts that are equal within a block of documents are sent once, so copies add one context a block.  Texts are UTF-8
+Contexts that are equal within a block of documents are sent once, so copies add one context a block.  An anchor with more than ``HOT``
+occurrences, as in a passage that very many documents share, would still bring all their contexts to one task.  Its windows are exchanged
+one by one instead, as hashes of their 200 bytes, which spread over all tasks; equal windows have the same anchor, so each is judged in one way
+or the other.  Texts are UTF-8
 bytes; a null text is empty; matches never cross rows; rows that share a doc_id are separate texts; repeated rows repeat every string of theirs.  Other
 columns are not read; an empty table gives an empty result.  A task holds one block (about 8 MB, or one longer text) or the contexts of one
 part of the hash space.
@@ -20,13 +23,18 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from cueflow.llm.blocks import PACKED, REPLY, answer_repeated, by_block, by_part, dealt, heard, ordered, packed, ranges, replies, send_keys, with_replies
+from cueflow.llm.blocks import (
+    PACKED, REPLY, answer_repeated, by_block, by_part, dealt, heard, ordered, packed, ranges, read, replies, send_keys, with_replies,
+)
 from cueflow.llm.words import Prefix, mix, pieces, text_buffers
 
 LENGTH, GRAM = 200, 50
 BEFORE = LENGTH - GRAM
+#: Occurrences of an anchor from which on its windows are compared one by one.
+HOT = 10_000
 _SLICE = 1 << 22
 _PLACE = np.uint64((1 << 24) - 1)
 _ODD_KEY = np.uint64(0x5851F42D4C957F2D)
@@ -47,47 +55,92 @@ def smallest(values: np.ndarray, width: int) -> np.ndarray:
 
 
 class Anchors:
-    """A block's anchors: place (byte in ``data``), doc, key, reach to either side and hash of the context."""
+    """A block's anchors: place (byte in ``data``), doc, key, reach to either side, hash of the context, and the first and last
+    start of the windows they are the anchor of."""
 
     def __init__(self, table: pa.Table):
         data, bounds = text_buffers(table["text"])
         self.data, self.bounds = data[bounds[0] : bounds[-1]], bounds - bounds[0]
-        found: list[list[np.ndarray]] = [[np.zeros(0, t)] for t in (np.int64, np.uint64, np.uint64)]
+        found: list[list[np.ndarray]] = [[np.zeros(0, t)] for t in (np.int64, np.uint64, np.uint64, np.int64, np.int64)]
         for piece in pieces(table["text"]):
             base = int(self.bounds[piece.first])
             hashes = Prefix(piece.data)
             n = len(piece.data)
             ends = np.repeat(piece.bounds[1:], np.diff(piece.bounds)) if n else piece.bounds[:0]
-            places = []
+            places, starts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for low in range(0, max(n - LENGTH + 1, 0), _SLICE):
                 high = min(n - LENGTH + 1, low + _SLICE)
                 start = np.arange(low, high + BEFORE)
                 code = hashes.ranges(start, start + GRAM)
                 packed_ = (code & ~_PLACE) | (start - low).astype(np.uint64)
                 least = smallest(packed_, BEFORE + 1)
-                windows = np.arange(low, high) + LENGTH <= ends[low:high]
+                windows = np.flatnonzero(np.arange(low, high) + LENGTH <= ends[low:high])
                 at = (least[windows] & _PLACE).astype(np.int64) + low
-                places.append(at[np.concatenate([[True], at[1:] != at[:-1]])] if len(at) else at)
-            at = np.unique(np.concatenate(places)) if places else np.zeros(0, np.int64)
+                change = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]])) if len(at) else at
+                places.append(at[change])
+                starts.append(windows[change] + low)
+            at, where = np.concatenate(places), np.concatenate(starts)
+            change = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]])) if len(at) else at
+            at, opens = at[change], where[change]
+            # an anchor's windows end before the next one's begin, or with its document
+            closes = np.minimum(np.append(opens[1:], n) - 1, ends[at] - LENGTH) if len(at) else at
             first = piece.bounds[np.searchsorted(piece.bounds, at, side="right") - 1]
             left, right = np.minimum(BEFORE, at - first), np.minimum(LENGTH, ends[at] - at)
             found[0].append(at + base)
             found[1].append(mix(hashes.ranges(at, at + GRAM) ^ _ODD_KEY))  # as anchors have small hashes, keys need others
             found[2].append(hashes.ranges(at - left, at + right) ^ (left.astype(np.uint64) << np.uint64(8)))
-        self.place, self.key, self.code = map(np.concatenate, found)
+            found[3].append(opens + base)
+            found[4].append(closes + base)
+        self.place, self.key, self.code, self.opens, self.closes = map(np.concatenate, found)
         self.doc = np.searchsorted(self.bounds, self.place, side="right") - 1
         self.left = np.minimum(BEFORE, self.place - self.bounds[self.doc])
         self.right = np.minimum(LENGTH, self.bounds[self.doc + 1] - self.place)
 
-    def contexts(self, back: pa.Table, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def asked(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The distinct keys, how often each occurs, and which each anchor has."""
+        distinct, inverse, counts = np.unique(self.key, return_inverse=True, return_counts=True)
+        return distinct, counts, inverse
+
+    def kinds(self, back: pa.Table, parts: int) -> np.ndarray:
+        """Of each anchor: 0 if it is alone, 1 if it repeats, 2 if it is hot."""
+        distinct, _, inverse = self.asked()
+        kind = np.zeros(len(distinct), np.uint8)
+        own = {p: v for p, k, v in zip(back["part"].to_pylist(), back["kind"].to_pylist(), back["a"].to_pylist()) if k == 1}
+        for p, i, j in ranges(distinct, parts):
+            kind[i:j] = np.frombuffer(own[p], np.uint8)
+        return kind[inverse]
+
+    def contexts(self, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of the anchors that repeat: their numbers, the first of each distinct context, by key, and which context each has."""
-        distinct, inverse = np.unique(self.key, return_inverse=True)
-        use = np.flatnonzero(heard(back, 1, distinct, parts)[inverse])
+        use = np.flatnonzero(kinds == 1)
         order = use[np.lexsort([self.code[use], self.key[use]])]
         new = np.ones(len(order), bool)
         new[1:] = (self.key[order[1:]] != self.key[order[:-1]]) | (self.code[order[1:]] != self.code[order[:-1]])
         return order, order[new], np.cumsum(new) - 1
 
+    def windows(self, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and hashes of the windows of hot anchors."""
+        use = np.flatnonzero(kinds == 2)
+        starts, codes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+        for low in range(0, len(use), 20_000):
+            some = use[low : low + 20_000]
+            size = self.closes[some] - self.opens[some] + 1
+            begin = np.cumsum(size) - size
+            start = np.repeat(self.opens[some] - begin, size) + np.arange(int(size.sum()))
+            for first in range(0, len(start), 5_000):
+                own = start[first : first + 5_000]
+                if len(own):
+                    hashes = Prefix(self.data[own[0] : own[-1] + LENGTH]) if own[-1] - own[0] < _SLICE else None
+                    if hashes is None:
+                        rows = Prefix(self.data[(own[:, None] + np.arange(LENGTH)).ravel()])
+                        at = np.arange(len(own)) * LENGTH
+                        code = rows.ranges(at, at + LENGTH)
+                    else:
+                        code = hashes.ranges(own - own[0], own - own[0] + LENGTH)
+                    codes.append(mix(code ^ _ODD_KEY))
+                    starts.append(own)
+        return np.concatenate(starts), np.concatenate(codes)
+
     def around(self, which: np.ndarray) -> np.ndarray:
         """The bytes of some contexts, one after another."""
         size = self.left[which] + self.right[which]
@@ -159,6 +212,28 @@ def repeats_around(right_rows: np.ndarray, left_rows: np.ndarray, right: np.ndar
         yield resolve()
 
 
+def answer_counts(table: pa.Table, hot: int) -> pa.Table:
+    """A byte a key: whether it is alone (0), repeats (1), or is hot (2)."""
+    keys, counts = read(table, "a", np.uint64), read(table, "b", np.uint32)
+    distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+    total = np.bincount(inverse, np.concatenate(counts).astype(float), len(distinct))
+    kind = ((total > 1).astype(np.uint8) + (total > hot))[inverse]
+    cuts = np.cumsum([len(k) for k in keys])[:-1]
+    rows = zip(table["block"].to_pylist(), table["part"].to_pylist(), np.split(kind, cuts))
+    return replies([(b, p, 1, v.tobytes(), None) for b, p, v in rows])
+
+
+def answer_both(table: pa.Table) -> pa.Table:
+    """Answers to a part's contexts and to its windows of hot anchors, which have a third column."""
+    hot = pc.is_valid(table["c"])
+    own, rest = table.filter(hot), table.filter(pc.invert(hot))
+    answers = [answer_repeats(rest)] if rest.num_rows else []
+    if own.num_rows:
+        found = answer_repeated(own)
+        answers.append(found.set_column(2, "kind", pa.array([3] * found.num_rows, pa.int32())))
+    return pa.concat_tables(answers)
+
+
 def answer_repeats(table: pa.Table) -> pa.Table:
     """For each block, which of its contexts repeat, and how far to either side."""
     heads = [np.frombuffer(v, CONTEXT) for v in table["a"].to_pylist()]
@@ -190,7 +265,7 @@ def answer_repeats(table: pa.Table) -> pa.Table:
     return replies(rows)
 
 
-def remove_long_repeats(docs: DataFrame, carry: Sequence[str] = (), as_text: bool = False) -> DataFrame:
+def remove_long_repeats(docs: DataFrame, carry: Sequence[str] = (), as_text: bool = False, hot: int = HOT) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept (the bytes left), and, if columns are to be carried along, ``carried`` with them.
 
     ``as_text``: kept is a string, without the characters that a removal cut in two.
@@ -200,22 +275,26 @@ def remove_long_repeats(docs: DataFrame, carry: Sequence[str] = (), as_text: boo
     out = OUT.replace("binary", "string" if as_text else "binary") + "".join(f", {c} {blocks.schema[c].dataType.simpleString()}" for c in more)
 
     def send_anchors(block: int, table: pa.Table) -> pa.Table:
-        return send_keys(block, parts, Anchors(table).key)
+        keys, counts, _ = Anchors(table).asked()
+        return packed([(p, block, keys[i:j].tobytes(), counts[i:j].astype(np.uint32).tobytes(), None) for p, i, j in ranges(keys, parts)])
 
     def send_contexts(block: int, table: pa.Table, back: pa.Table) -> pa.Table:
         anchors = Anchors(ordered(table))
-        _, first, _ = anchors.contexts(back, parts)
+        kinds = anchors.kinds(back, parts)
+        _, first, _ = anchors.contexts(kinds)
         rows = []
         for p, i, j in ranges(anchors.key[first], parts):
             head = np.empty(j - i, CONTEXT)
             head["key"], head["left"], head["right"] = anchors.key[first[i:j]], anchors.left[first[i:j]], anchors.right[first[i:j]]
             rows.append((p, block, head.tobytes(), anchors.around(first[i:j]).tobytes(), None))
-        return packed(rows)
+        windows = send_keys(block, parts, anchors.windows(kinds)[1])
+        return pa.concat_tables([packed(rows), windows.set_column(4, "c", pa.array([b"hot"] * windows.num_rows, pa.binary()))])
 
     def cut(block: int, table: pa.Table, back: pa.Table) -> pa.Table:
         table = ordered(table)
         anchors = Anchors(table)
-        order, first, context = anchors.contexts(back, parts)
+        kinds = anchors.kinds(back, parts)
+        order, first, context = anchors.contexts(kinds)
         own = {p: v for p, k, v in zip(back["part"].to_pylist(), back["kind"].to_pylist(), back["a"].to_pylist()) if k == 2}
         which, reach, deep = [], [], []
         for p, i, j in ranges(anchors.key[first], parts):
@@ -234,6 +313,11 @@ def remove_long_repeats(docs: DataFrame, carry: Sequence[str] = (), as_text: boo
         depth = np.zeros(len(anchors.data) + 1, np.int32)
         np.add.at(depth, place - np.repeat(reach, size), 1)
         np.add.at(depth, place + np.repeat(deep, size), -1)
+        starts, codes = anchors.windows(kinds)
+        distinct, inverse = np.unique(codes, return_inverse=True)
+        again = starts[heard(back, 3, distinct, parts)[inverse]]
+        np.add.at(depth, again, 1)
+        np.add.at(depth, again + LENGTH, -1)
         gone = np.zeros(len(anchors.data) + 1, bool)
         gone[:-1] = np.cumsum(depth[:-1]) > 0
         starts = gone[:-1].copy()
@@ -250,6 +334,6 @@ def remove_long_repeats(docs: DataFrame, carry: Sequence[str] = (), as_text: boo
         columns = [table["doc_id"], pa.array(np.diff(anchors.bounds)), pa.array(removed), pa.array(spans), kept, *(table[c] for c in more)]
         return pa.table(columns, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", *more])
 
-    repeated = by_part(by_block(blocks, send_anchors, PACKED), answer_repeated)
-    covered = by_part(with_replies(blocks, repeated, send_contexts, PACKED), answer_repeats, REPLY)
+    repeated = by_part(by_block(blocks, send_anchors, PACKED), lambda table: answer_counts(table, hot))
+    covered = by_part(with_replies(blocks, repeated, send_contexts, PACKED), answer_both, REPLY)
     return with_replies(blocks, repeated.unionByName(covered), cut, out)

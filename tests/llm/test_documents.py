@@ -61,9 +61,10 @@ def test_substring_dedup(spark):
         assert (got[i].n_words, got[i].n_removed, got[i].kept_text) == (len(own), stays.count(False), kept)
 
 
-def test_suffix_dedup(spark):
+@pytest.mark.parametrize("hot", [10_000, 3])
+def test_suffix_dedup(spark, hot):
     texts = corpus(2)
-    got = {r.doc_id: r for r in remove_long_repeats(table(spark, texts), carry=["lang", "size"]).collect()}
+    got = {r.doc_id: r for r in remove_long_repeats(table(spark, texts), carry=["lang", "size"], hot=hot).collect()}
     data = [(t or "").encode() for t in texts]
     count = Counter(b[k : k + 200] for b in data for k in range(len(b) - 199))
     for i, b in enumerate(data):
