@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cueflow.llm.labelled import ROWS_PER_CLASS, labelled_sample, remainder
+from cueflow.llm.labelled import ROWS_PER_CLASS, labelled_sample, logistic, remainder
 from cueflow.llm.words import Piece, pieces
 
 DIMENSIONS = 1 << 16
@@ -77,17 +77,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, odds: float = 1.0, penalty:
         if moved < 1e-4:
             break
     margin = np.array([weight[r] @ s + bias for r, s in zip(rows, scaled)])
-    slope, shift = 2.0, 0.0
-    target, mass = labels.astype(float), 1 / share[labels]
-    for _ in range(50):  # Newton steps of a logistic fit, lightly held at a slope of 2
-        p = 1 / (1 + np.exp(-(slope * margin + shift)))
-        e, v = mass * (p - target), mass * p * (1 - p)
-        g = np.array([e @ margin + 1.0 * (slope - 2), e.sum()])
-        h = np.array([[v @ margin**2 + 1.0, v @ margin], [v @ margin, v.sum() + 1e-6]])
-        d = np.linalg.solve(h, g)
-        slope, shift = slope - d[0], shift - d[1]
-        if np.abs(d).max() < 1e-8:
-            break
+    slope, shift = logistic(margin, labels.astype(float), 1 / share[labels])
     return np.stack([weight * ratio, ratio**2]), slope, slope * bias + shift + np.log(odds)
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from cueflow.llm.labelled import ROWS_PER_CLASS, labelled_sample, remainder
 from cueflow.llm.words import Piece, pieces
 
-BUCKETS, WIDTH, REST = 1 << 18, 4, 30
+BUCKETS, WIDTH, REST, CARE = 1 << 18, 4, 30, 1.25
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -55,8 +55,11 @@ def subwords(piece: Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
     return np.concatenate(ids), np.concatenate(bags), back, np.array(len(size))
 
 
-def fit(piece: Piece | None, labels: np.ndarray, rounds: int = 60, rate: float = 0.3, decay: float = 2e-6) -> tuple[np.ndarray, float]:
-    """The part of each bucket in the difference of logits, and the bias."""
+def fit(piece: Piece | None, labels: np.ndarray, rounds: int = 60, rate: float = 0.3, decay: float = 2e-5) -> tuple[np.ndarray, float]:
+    """The part of each bucket in the difference of logits, and the bias.
+
+    The classes weigh alike, but that a clean document taken for toxic counts as ``CARE`` misses.  The rate falls to zero.
+    """
     if piece is None or len(set(labels.tolist())) < 2:
         return np.zeros(BUCKETS), 0.0
     ids, bags, words, n_words = subwords(piece)
@@ -71,7 +74,8 @@ def fit(piece: Piece | None, labels: np.ndarray, rounds: int = 60, rate: float =
     table, soft, bias = rng.normal(0, 0.1, (WIDTH, len(used))), rng.normal(0, 0.5, (WIDTH, 2)), np.zeros(2)
     params = [table, soft, bias]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-    mass = np.where(labels == 1, 0.5 / max((labels == 1).mean(), 1e-9), 0.5 / max((labels == 0).mean(), 1e-9)) / len(labels)
+    share_of = np.array([(labels == 0).mean(), (labels == 1).mean()])[labels]
+    mass = np.where(labels == 1, 1.0, CARE) * 0.5 / share_of / len(labels)
     one_hot = np.stack([labels == 0, labels == 1], 1).astype(float)
     for t in range(1, rounds + 1):
         vectors = [np.bincount(bags, v[ids], n_words) * each for v in table]
@@ -89,7 +93,7 @@ def fit(piece: Piece | None, labels: np.ndarray, rounds: int = 60, rate: float =
             gradient = gradient + decay * value * (k < 2)
             first[k] += 0.1 * (gradient - first[k])
             second[k] += 0.01 * (gradient**2 - second[k])
-            value -= rate * (first[k] / (1 - 0.9**t)) / (np.sqrt(second[k] / (1 - 0.99**t)) + 1e-8)
+            value -= rate * (1 - (t - 1) / rounds) * (first[k] / (1 - 0.9**t)) / (np.sqrt(second[k] / (1 - 0.99**t)) + 1e-8)
     part = np.zeros(BUCKETS)
     part[used] = (soft[:, 1] - soft[:, 0]) @ table
     return part, float(bias[1] - bias[0])
