@@ -30,9 +30,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Bytes in long repeated strings are cut from the texts; characters cut in two go whole, and n_chars follows.
 
-    A document of which nothing is left goes; one that was empty stays.
+    A document of which nothing is left stays as an empty one, which the mix takes no copies of.
     """
-    found = remove_long_repeats(docs, [c for c in docs.columns if c not in ("doc_id", "text")], as_text=True).filter("n_bytes = 0 OR kept != ''")
+    found = remove_long_repeats(docs, [c for c in docs.columns if c not in ("doc_id", "text")], as_text=True)
     new = {"doc_id": F.col("doc_id"), "text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
     return found.select(*(new.get(c, F.col("carried")[c]).alias(c) for c in docs.columns))
 
