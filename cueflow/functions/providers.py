@@ -99,17 +99,68 @@ def energy_activity(samples: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["vad_start_ms", "vad_end_ms"])
 
 
-def ring_activity(voiced: list[bool], frame_ms: int, padding_ms: int) -> tuple[int, int | None]:
-    """Start and end (ms) of speech by a ring of frames: on when over 0.9 of a full ring is voiced, off when as much is not."""
-    size = padding_ms // frame_ms
-    start, end, on, ring = 0, None, False, []
-    for k, flag in enumerate(voiced):
-        ring = (ring + [(k * frame_ms, flag)])[-size:]
-        share = sum(f for _, f in ring)
-        if not on and share > 0.9 * size:
-            on = True
-            start = ring[0][0] if end is None and start == 0 else start
-            ring = []
-        elif on and len(ring) - share > 0.9 * size:
-            on, end, ring = False, (k + 1) * frame_ms, []
-    return start, len(voiced) * frame_ms if on else end
+def ring_speech(voiced: list[bool], frame_ms: int, padding_ms: int, total_ms: int, share: float = 0.9) -> tuple[int, int | None]:
+    """When speech begins and ends by the frames of a sliding window.
+
+    It is on once over ``share`` of a window is voiced, and off once as much is not; after each change the window fills anew.  The begin is the oldest
+    frame of the window that first turned it on (0 without any); the end is the frame that last turned it off, or the whole length if it stays on.
+    """
+    size, since, on, begin, end = padding_ms // frame_ms, 0, False, None, None
+    for k in range(len(voiced)):
+        oldest = max(since, k - size + 1)
+        if sum(flag != on for flag in voiced[oldest : k + 1]) > share * size:
+            if not on and begin is None:
+                begin = oldest * frame_ms
+            end = k * frame_ms if on else end
+            on, since = not on, k + 1
+    return begin or 0, total_ms if on else end
+
+
+def ring_activity(voiced: Column, total_ms: Column, frame_ms: int = 30, padding_ms: int = 300) -> Column:
+    """(start_ms, end_ms) of speech in arrays of voiced flags, one a frame; end_ms is null where speech never ended."""
+
+    @F.pandas_udf(T.StructType([T.StructField("start_ms", T.LongType()), T.StructField("end_ms", T.LongType())]))
+    def one(flags: pd.Series, total: pd.Series) -> pd.DataFrame:
+        rows = [ring_speech([bool(x) for x in own], frame_ms, padding_ms, int(t)) for own, t in zip(flags, total)]
+        return pd.DataFrame({"start_ms": pd.Series([r[0] for r in rows], dtype="Int64"), "end_ms": pd.Series([r[1] for r in rows], dtype="Int64")})
+
+    return one(F.coalesce(voiced, F.array().cast("array<boolean>")), F.coalesce(total_ms, F.lit(0)))
+
+
+def voiced_frames(samples: Column, frame_ms: int = 30, rate: int = 16_000, level: float = 0.01) -> Column:
+    """Whether the level of each whole frame is above ``level``; the last frame is left out, as it may be cut."""
+
+    @F.pandas_udf(T.ArrayType(T.BooleanType()))
+    def one(arrays: pd.Series) -> pd.Series:
+        n = rate * frame_ms // 1000
+
+        def flags(own) -> list[bool]:
+            own = np.asarray(own, np.float32)
+            whole = max((len(own) - 1) // n, 0)
+            return (np.sqrt((own[: whole * n].reshape(-1, n) ** 2).mean(axis=1)) > level).tolist() if whole else []
+
+        return arrays.map(flags, na_action="ignore")
+
+    return one(samples)
+
+
+@F.pandas_udf(T.BinaryType())
+def encode_wav(samples: pd.Series) -> pd.Series:
+    """16 kHz mono samples as the bytes of a wave file."""
+
+    def one(own) -> bytes:
+        file = io.BytesIO()
+        with wave.open(file, "wb") as out:
+            out.setnchannels(1), out.setsampwidth(2), out.setframerate(16_000)
+            out.writeframes((np.clip(np.asarray(own, np.float32), -1, 1) * 32767).astype("<i2").tobytes())
+        return file.getvalue()
+
+    return samples.map(one, na_action="ignore")
+
+
+def mono(channels: np.ndarray) -> np.ndarray:
+    """Samples of an array in either layout as one float channel; up to eight rows that are longer than many are channels."""
+    own = np.asarray(channels)
+    if own.ndim == 2:
+        own = (own if own.shape[0] <= 8 and own.shape[1] > own.shape[0] else own.T).mean(axis=0)
+    return own.astype(np.float32)

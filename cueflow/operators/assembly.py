@@ -23,10 +23,23 @@ def draw(key: Column, seed: int) -> Column:
 
 
 def exact_sample(rows: DataFrame, key: str, per_mille: int, seed: int = 1, partitions: str | None = None) -> DataFrame:
-    """``per_mille`` thousandths of the rows, to the nearest whole, by hash order; within each value of ``partitions`` if given."""
-    by = Window.partitionBy(partitions) if partitions else Window.partitionBy(F.lit(0))
-    nth = F.row_number().over(by.orderBy(draw(F.col(key), seed), key))
-    return rows.withColumn("_nth", nth).withColumn("_all", F.count("*").over(by)).filter(F.col("_nth") * 1000 <= F.col("_all") * per_mille + 500).drop("_nth", "_all")
+    """``per_mille`` thousandths of the rows, to the nearest whole, by hash order; within each value of ``partitions`` if given.
+
+    Without partitions, the draw up to which rows are taken comes from the counts of the million draws there are, and only the rows of
+    that one draw are ranked.
+    """
+    own = rows.withColumn("_draw", draw(F.col(key), seed))
+    if partitions:
+        by = Window.partitionBy(partitions)
+        ranked = own.withColumn("_nth", F.row_number().over(by.orderBy("_draw", key))).withColumn("_all", F.count("*").over(by))
+        return ranked.filter(F.col("_nth") * 1000 <= F.col("_all") * per_mille + 500).drop("_nth", "_all", "_draw")
+    counts = own.groupBy("_draw").agg(F.count("*").alias("n"))
+    wanted = (counts.agg(F.sum("n")).first()[0] or 0) * per_mille + 500
+    up_to = counts.withColumn("total", F.sum("n").over(Window.orderBy("_draw"))).filter(F.col("total") * 1000 <= wanted).agg(F.max("_draw"), F.max("total")).first()
+    cut, taken = up_to[0] if up_to[0] is not None else -1, up_to[1] or 0
+    border = own.join(counts.filter(F.col("_draw") > cut).agg(F.min("_draw").alias("_draw")), "_draw", "left_semi")
+    few = border.withColumn("_nth", F.row_number().over(Window.partitionBy("_draw").orderBy(key))).filter((F.col("_nth") + taken) * 1000 <= wanted)
+    return own.filter(F.col("_draw") <= cut).drop("_draw").unionByName(few.drop("_draw", "_nth"))
 
 
 def speaker_runs(clips: DataFrame, keep_per_million: int, seed: int = 42) -> DataFrame:

@@ -283,6 +283,11 @@ def _(s, d):
     return assembly.exact_sample(table(s, d, "documents").select("doc_id", "source"), "doc_id", 300, partitions="source")
 
 
+@query("global_fraction_sample", f"SELECT doc_id FROM (SELECT doc_id, row_number() OVER (ORDER BY {duck.draw('doc_id', 1)}, doc_id) AS n, count(*) OVER () AS a FROM documents) t WHERE n * 1000 <= a * 300 + 500")
+def _(s, d):
+    return assembly.exact_sample(table(s, d, "documents").select("doc_id"), "doc_id", 300)
+
+
 @query("union_common_columns", "SELECT nationkey, phone_name FROM (SELECT c_nationkey AS nationkey, c_name AS phone_name FROM customer UNION ALL SELECT s_nationkey, s_name FROM supplier) t")
 def _(s, d):
     one = table(s, d, "customer").withColumnsRenamed({"c_nationkey": "nationkey", "c_name": "phone_name"})
@@ -364,6 +369,13 @@ def _(s, d):
     return tables.series(own, files).select(F.col("series").alias("track_id"), "sentence")
 
 
+@query("voice_activity_ring")
+def _(s, d):
+    flags = F.array_sort(F.collect_list(F.struct("cue_idx", (F.col("event_id") % 5 < 3).alias("voiced"))))
+    rows = fixture(s, d, "SELECT CAST(user_id AS string) AS track_id, event_id, event_id AS cue_idx FROM events").groupBy("track_id").agg(flags.alias("all"))
+    return rows.select("track_id", providers.ring_activity(F.transform("all", lambda x: x["voiced"]), F.size("all") * 30, 30, 90).alias("v")).select("track_id", "v.*")
+
+
 # pipelines
 
 @query("pipeline_splitting")

@@ -61,10 +61,11 @@ def test_abbreviations_as_a_pattern_at_a_time(spark):
     assert [t for _, t in sorted(got)] == want
 
 
-@pytest.mark.parametrize(("flags", "want"), [([False] * 5 + [True] * 12 + [False] * 12, True), ([False] * 20, False)])
-def test_ring_activity(flags, want):
-    start, end = providers.ring_activity(flags, 30, 150)
-    assert (end is not None) == want and (start > 0) == want
+def test_ring_speech():
+    assert providers.ring_speech([False] * 5 + [True] * 12 + [False] * 12, 30, 150, 900) == (150, 630)
+    assert providers.ring_speech([False] * 20, 30, 150, 600) == (0, None)
+    assert providers.ring_speech([True] * 20, 30, 150, 607) == (0, 607)
+    assert providers.ring_speech(([True] * 6 + [False] * 6) * 2, 30, 150, 720) == (0, 690)
 
 
 def test_audio_functions(spark):
@@ -81,5 +82,9 @@ def test_audio_functions(spark):
     df = spark.createDataFrame([(bytearray(file.getvalue()),)], "content binary")
     row = df.select(providers.wav_duration_ms("content").alias("ms"), providers.decode_wav("content").alias("x")).select("ms", F.size("x").alias("n"), providers.energy_activity("x").alias("v"), F.size(providers.cut_samples(F.col("x"), F.lit(100), F.lit(350))).alias("cut"), F.array_max("x").alias("peak")).first()
     assert (row.ms, row.n, row.cut) == (1000, 16000, 4000) and 450 <= row.v.vad_start_ms <= 510 and row.v.vad_end_ms >= 960 and row.peak == pytest.approx(0.988, abs=0.01)
+    own = df.select(providers.decode_wav("content").alias("x"))
+    again = own.select(providers.decode_wav(providers.encode_wav("x")).alias("y"), providers.ring_activity(providers.voiced_frames(F.col("x")), F.lit(1000)).alias("r")).first()
+    assert len(again.y) == 16000 and 400 <= again.r.start_ms <= 540 and again.r.end_ms == 1000
+    assert providers.mono(np.ones((2, 9))).shape == (9,) and providers.mono(np.ones((9, 2))).shape == (9,) and providers.mono(np.ones(5, "i2")).dtype == np.float32
     laid = spark.createDataFrame([([[0.1] * 160, [0.2] * 320], [0.0, 5.0])], "c array<array<float>>, o array<double>").select(providers.concatenate_overlaid("c", "o").alias("x")).first().x
     assert len(laid) == 400 and laid[100] == pytest.approx(0.3)
