@@ -35,7 +35,7 @@ LENGTH, GRAM = 200, 50
 BEFORE = LENGTH - GRAM
 #: Occurrences of an anchor from which on its windows are compared one by one.
 HOT = 10_000
-_SLICE = 1 << 22
+_SLICE = 1 << 21
 _PLACE = np.uint64((1 << 24) - 1)
 _ODD_KEY = np.uint64(0x5851F42D4C957F2D)
 CONTEXT = np.dtype([("key", np.uint64), ("left", np.uint16), ("right", np.uint16)])
@@ -64,33 +64,36 @@ class Anchors:
         found: list[list[np.ndarray]] = [[np.zeros(0, t)] for t in (np.int64, np.uint64, np.uint64, np.int64, np.int64)]
         for piece in pieces(table["text"]):
             base = int(self.bounds[piece.first])
-            hashes = Prefix(piece.data)
             n = len(piece.data)
             ends = np.repeat(piece.bounds[1:], np.diff(piece.bounds)) if n else piece.bounds[:0]
-            places, starts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            parts: list[tuple[np.ndarray, ...]] = []
             for low in range(0, max(n - LENGTH + 1, 0), _SLICE):
                 high = min(n - LENGTH + 1, low + _SLICE)
-                start = np.arange(low, high + BEFORE)
+                begin = max(low - BEFORE, 0)  # of the bytes that contexts of this slice reach
+                hashes = Prefix(piece.data[begin : high + BEFORE + LENGTH])
+                start = np.arange(low - begin, high + BEFORE - begin)
                 code = hashes.ranges(start, start + GRAM)
-                packed_ = (code & ~_PLACE) | (start - low).astype(np.uint64)
+                packed_ = (code & ~_PLACE) | (start - start[0]).astype(np.uint64)
                 least = smallest(packed_, BEFORE + 1)
                 windows = np.flatnonzero(np.arange(low, high) + LENGTH <= ends[low:high])
                 at = (least[windows] & _PLACE).astype(np.int64) + low
                 change = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]])) if len(at) else at
-                places.append(at[change])
-                starts.append(windows[change] + low)
-            at, where = np.concatenate(places), np.concatenate(starts)
+                at, opens = at[change], windows[change] + low
+                first = piece.bounds[np.searchsorted(piece.bounds, at, side="right") - 1]
+                left, right = np.minimum(BEFORE, at - first), np.minimum(LENGTH, ends[at] - at)
+                own = at - begin
+                # as anchors have small hashes, keys need others
+                key = mix(hashes.ranges(own, own + GRAM) ^ _ODD_KEY)
+                parts.append((at, opens, key, hashes.ranges(own - left, own + right) ^ (left.astype(np.uint64) << np.uint64(8))))
+            if not parts:
+                continue
+            at, opens, key, code = (np.concatenate([p[k] for p in parts]) for k in range(4))
             change = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]])) if len(at) else at
-            at, opens = at[change], where[change]
+            at, opens = at[change], opens[change]
             # an anchor's windows end before the next one's begin, or with its document
             closes = np.minimum(np.append(opens[1:], n) - 1, ends[at] - LENGTH) if len(at) else at
-            first = piece.bounds[np.searchsorted(piece.bounds, at, side="right") - 1]
-            left, right = np.minimum(BEFORE, at - first), np.minimum(LENGTH, ends[at] - at)
-            found[0].append(at + base)
-            found[1].append(mix(hashes.ranges(at, at + GRAM) ^ _ODD_KEY))  # as anchors have small hashes, keys need others
-            found[2].append(hashes.ranges(at - left, at + right) ^ (left.astype(np.uint64) << np.uint64(8)))
-            found[3].append(opens + base)
-            found[4].append(closes + base)
+            for k, column in enumerate((at + base, key[change], code[change], opens + base, closes + base)):
+                found[k].append(column)
         self.place, self.key, self.code, self.opens, self.closes = map(np.concatenate, found)
         self.doc = np.searchsorted(self.bounds, self.place, side="right") - 1
         self.left = np.minimum(BEFORE, self.place - self.bounds[self.doc])

@@ -84,7 +84,17 @@ class Piece:
         self.at = np.searchsorted(self.start, self.bounds)
 
     def hashes(self) -> np.ndarray:
-        return Prefix(self.data).ranges(self.start, self.end)
+        """Hash of each word; a long text is hashed some megabytes at a time."""
+        if len(self.data) <= 2 * PIECE_BYTES:
+            return Prefix(self.data).ranges(self.start, self.end)
+        out, first = np.zeros(len(self.start), dtype=U), 0
+        while first < len(out):
+            low = self.start[first]
+            last = max(first + 1, int(np.searchsorted(self.start, low + PIECE_BYTES)))
+            some = slice(first, last)
+            out[some] = Prefix(self.data[low : self.end[last - 1]]).ranges(self.start[some] - low, self.end[some] - low)
+            first = last
+        return out
 
     def windows(self, words: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Hash of the n-word window at each word, and whether it lies within one document."""
