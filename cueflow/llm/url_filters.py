@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from cueflow.llm.shared import materialise
 
 #: (verdict, host and path) of the production rules.
-RULES = (("block", "com/en/"), ("allow", "example.com/en/7"), ("block", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/"))
+RULES = (("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/"))
 DAMPING, ROUNDS, THRESHOLD = 0.85, 12, 0.5
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LINK = "(?i)(?:href|src)\\s*=\\s*[\"']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#\"'\\s<>]+)"

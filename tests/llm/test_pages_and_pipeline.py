@@ -10,7 +10,7 @@ from cueflow.llm.url_filters import RULES, host_edges, propagate, url_filters
 def test_url_filters(spark):
     link = lambda *hosts: "".join(f"<a href='http://{h}/x'>" for h in hosts)
     urls = [
-        ("http://A.Example.com/en/7?x", link("friend.org")), ("https://m.example.com/en/1#t", ""), ("http://x.net/de/9", link("x.org")), ("http://spam.org/a", link("x.net", "x.net")),
+        ("http://A.Example.com/en/7?x", link("friend.org")), ("https://m.example.com/en/1#t", ""), ("http://x.net/de/9", link("x.org")), ("http://spam.org/a", link("example.net", "example.net")),
         ("http://friend.org/a", link("deep.org")), ("http://deep.org", ""), ("http://example.net/de/8", None), (None, None), ("no scheme", ""), ("http://lonely.de/?q#f", link("lonely.de")),
         ("http://com/en/", ""), ("http://notexample.com/en/7", ""), ("http://a.com/En/", ""), ("", ""), ("http://b.org?en/://x", ""),
     ]
@@ -27,6 +27,10 @@ def test_url_filters(spark):
     assert got[3].verdict == "block" and got[4].verdict == got[5].verdict == got[9].verdict == "allow"
 
 
+def test_production_rules():
+    assert RULES == (("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/"))
+
+
 def test_propagate_is_personalised_pagerank(spark):
     edges = [("a", "b"), ("b", "c"), ("c", "a"), ("d", "c"), ("b", "d")]
     seeds = {"a": (1.0, 0.0), "c": (0.0, 1.0)}
