@@ -2,7 +2,7 @@
 
 Features are the distinct words, word pairs and byte triples of a whole text, hashed into ``DIMENSIONS`` indicators.
 Each is scaled by its log-count ratio between the classes (naive Bayes), rows are brought to about unit length, and dual coordinate descent fits
-the linear model (Wang and Manning, 2012; Hsieh et al., 2008).  A logistic curve turns its margin into a probability.
+the linear model, without a constant, so that no evidence decides nothing (Wang and Manning, 2012; Hsieh et al., 2008).  A logistic curve turns its margin into a probability.
 
 A null or empty text has no features and gets the score of a zero margin; without rows of both classes all scores are
 0.5; very long texts are read whole; repeated rows score alike; other columns are never read.
@@ -57,7 +57,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, odds: float = 1.0, penalty:
     ratio = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
     sign = np.where(labels == 1, 1.0, -1.0)
     scaled = [ratio[row] / np.sqrt((ratio[row] ** 2).sum() + REST) for row in rows]
-    weight, bias, alpha = np.zeros(DIMENSIONS), 0.0, np.zeros(len(rows))
+    weight, alpha = np.zeros(DIMENSIONS), np.zeros(len(rows))
     order, rng = np.arange(len(rows)), np.random.default_rng(7)
     share = np.array([(labels == 0).mean(), (labels == 1).mean()])
     bound = penalty * 0.5 / share[labels]  # the rarer class weighs more
@@ -67,18 +67,17 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, odds: float = 1.0, penalty:
         for i in order:
             if not len(rows[i]):
                 continue
-            gradient = sign[i] * (weight[rows[i]] @ scaled[i] + bias) - 1
-            new = min(max(alpha[i] - gradient / 2.0, 0.0), bound[i])  # a row of at most unit length and the bias: squared length 2 at most
+            gradient = sign[i] * (weight[rows[i]] @ scaled[i]) - 1
+            new = min(max(alpha[i] - gradient, 0.0), bound[i])  # rows are of unit length at most
             if (step := (new - alpha[i]) * sign[i]) != 0:
                 weight[rows[i]] += step * scaled[i]
-                bias += step
                 alpha[i] = new
                 moved = max(moved, abs(step))
         if moved < 1e-4:
             break
-    margin = np.array([weight[r] @ s + bias for r, s in zip(rows, scaled)])
+    margin = np.array([weight[r] @ s for r, s in zip(rows, scaled)])
     slope, shift = logistic(margin, labels.astype(float), 1 / share[labels])
-    return np.stack([weight * ratio, ratio**2]), slope, slope * bias + shift + np.log(odds)
+    return np.stack([weight * ratio, ratio**2]), slope, shift + np.log(odds)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, rows: int = ROWS_PER_CLASS) -> DataFrame:
