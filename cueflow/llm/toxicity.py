@@ -27,11 +27,12 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def subwords(piece: Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def subwords(piece: Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """The distinct words of a piece as bags: (buckets, bag of each), then the bag of every word occurrence, and the number of bags."""
     piece.words()
     piece.data = _LOWER[piece.data]
-    _, index, back = np.unique(piece.hashes(), return_index=True, return_inverse=True)
+    words = piece.hashes()
+    _, index, back = np.unique(words, return_index=True, return_inverse=True)
     start, length = piece.start[index], (piece.end - piece.start)[index]
     size = length + 2
     begin = np.concatenate([[0], np.cumsum(size)])
@@ -40,8 +41,9 @@ def subwords(piece: Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
     within = np.arange(len(at)) - np.repeat(np.cumsum(length) - length, length)
     marked[begin[:-1][at] + 1 + within] = piece.data[start[at] + within]
     marked[begin[:-1]], marked[begin[1:] - 1] = 0x01, 0x02
-    of, left = np.repeat(np.arange(len(size)), size), np.repeat(begin[1:], size) - np.arange(len(marked))
-    ids, bags = [((piece.hashes()[index] >> np.uint64(46)) & np.uint64(BUCKETS - 1)).astype(np.int64)], [np.arange(len(size))]
+    of = np.repeat(np.arange(len(size), dtype=np.int32), size)
+    left = np.repeat(begin[1:], size) - np.arange(len(marked))
+    ids, bags = [(words[index] >> np.uint64(46)).astype(np.int32)], [np.arange(len(size), dtype=np.int32)]
     code = np.zeros(len(marked), np.uint64)
     for n in range(6):
         if n:
@@ -50,36 +52,79 @@ def subwords(piece: Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
         if n >= 2:
             fits = left[: len(code)] > n
             mixed = (code[fits] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(46)
-            ids.append(mixed.astype(np.int64))
+            ids.append(mixed.astype(np.int32))
             bags.append(of[: len(code)][fits])
-    return np.concatenate(ids), np.concatenate(bags), back, np.array(len(size))
+    return np.concatenate(ids), np.concatenate(bags), back, len(size)
 
 
-def fit(piece: Piece | None, labels: np.ndarray, rounds: int = 60, rate: float = 0.3, decay: float = 2e-5) -> tuple[np.ndarray, float]:
+def summed(index: np.ndarray, values: np.ndarray, of: np.ndarray, size: int) -> np.ndarray:
+    """The sum of ``values[of]`` by index, some at a time."""
+    out = np.zeros(size)
+    for low in range(0, len(index), 1_000_000):
+        s = slice(low, low + 1_000_000)
+        out += np.bincount(index[s], values[of[s]], size)
+    return out
+
+
+def training_words(texts: list[Piece]) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
+    """The words that at least two texts have: (text, word) pairs, the words in order of their hashes; and how many distinct words each text has.
+
+    A word of one text could only be learned by heart.
+    """
+    docs, codes, sizes, base = [], [], [], 0
+    for piece in texts:
+        piece.words()
+        piece.data = _LOWER[piece.data]
+        owner, code = np.repeat(np.arange(piece.n), np.diff(piece.at)), piece.hashes()
+        order = np.lexsort([code, owner])
+        owner, code = owner[order], code[order]
+        new = np.ones(len(code), bool)
+        new[1:] = (code[1:] != code[:-1]) | (owner[1:] != owner[:-1])
+        docs.append(owner[new] + base)
+        codes.append(code[new])
+        sizes.append(np.bincount(owner[new], minlength=piece.n))
+        base += piece.n
+    doc, code = np.concatenate(docs), np.concatenate(codes)
+    known, counts = np.unique(code, return_counts=True)
+    known = known[counts >= 2]
+    spelled: list[bytes | None] = [None] * len(known)
+    for piece in texts:
+        own, index = np.unique(piece.hashes(), return_index=True)
+        shared = np.isin(own, known)
+        for rank, k in zip(np.searchsorted(known, own[shared]).tolist(), index[shared].tolist()):
+            if spelled[rank] is None:
+                spelled[rank] = piece.data[piece.start[k] : piece.end[k]].tobytes()
+    at = np.minimum(np.searchsorted(known, code), max(len(known) - 1, 0))
+    use = known[at] == code if len(known) else np.zeros(len(code), bool)
+    return doc[use], at[use], spelled, np.concatenate(sizes)
+
+
+def fit(texts: list[Piece], labels: np.ndarray, rounds: int = 120, rate: float = 0.5, decay: float = 1e-5) -> tuple[np.ndarray, float]:
     """The part of each bucket in the difference of logits, and the bias.
 
     The classes weigh alike, but that a clean document taken for toxic counts as ``CARE`` misses.  The rate falls to zero.
     """
-    if piece is None or len(set(labels.tolist())) < 2:
+    if len(set(labels.tolist())) < 2:
+        return np.zeros(BUCKETS), 0.0
+    doc, word, kept, sizes = training_words(texts)
+    if not kept:
         return np.zeros(BUCKETS), 0.0
-    ids, bags, words, n_words = subwords(piece)
-    n_words = int(n_words)
-    used, ids = np.unique(ids, return_inverse=True)
-    each = 1 / np.bincount(bags, minlength=n_words)
-    owner = np.repeat(np.arange(piece.n), np.diff(piece.at))
-    key = np.unique(owner * n_words + words)
-    doc, word = key // n_words, key % n_words
-    share = 1 / (np.bincount(doc, minlength=piece.n) + REST)[doc]
+    data = np.frombuffer(b" ".join(kept), np.uint8)
+    ids, bags, _, n_words = subwords(Piece(data, np.array([0, len(data)]), 0))
+    n_docs = len(sizes)
+    each = 1 / np.maximum(np.bincount(bags, minlength=n_words), 1)
+    share = 1 / (sizes + REST)[doc]
+    used = np.bincount(ids, minlength=BUCKETS) > 0
     rng = np.random.default_rng(11)
-    table, soft, bias = rng.normal(0, 0.1, (WIDTH, len(used))), rng.normal(0, 0.5, (WIDTH, 2)), np.zeros(2)
+    table, soft, bias = rng.normal(0, 0.1, (WIDTH, BUCKETS)) * used, rng.normal(0, 0.5, (WIDTH, 2)), np.zeros(2)
     params = [table, soft, bias]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     share_of = np.array([(labels == 0).mean(), (labels == 1).mean()])[labels]
     mass = np.where(labels == 1, 1.0, CARE) * 0.5 / share_of / len(labels)
     one_hot = np.stack([labels == 0, labels == 1], 1).astype(float)
     for t in range(1, rounds + 1):
-        vectors = [np.bincount(bags, v[ids], n_words) * each for v in table]
-        hidden = np.stack([np.bincount(doc, u[word] * share, piece.n) for u in vectors], 1)
+        vectors = (summed(bags, v, ids, n_words) * each for v in table)
+        hidden = np.stack([np.bincount(doc, u[word] * share, n_docs) for u in vectors], 1)
         logits = hidden @ soft + bias
         p = np.exp(logits - logits.max(1, keepdims=True))
         p /= p.sum(1, keepdims=True)
@@ -88,23 +133,21 @@ def fit(piece: Piece | None, labels: np.ndarray, rounds: int = 60, rate: float =
         grads = [np.empty_like(table), hidden.T @ error, error.sum(0)]
         for k in range(WIDTH):
             part = np.bincount(word, back[doc, k] * share, n_words) * each
-            grads[0][k] = np.bincount(ids, part[bags], len(used))
+            grads[0][k] = summed(ids, part, bags, BUCKETS)
         for k, (value, gradient) in enumerate(zip(params, grads)):
             gradient = gradient + decay * value * (k < 2)
             first[k] += 0.1 * (gradient - first[k])
             second[k] += 0.01 * (gradient**2 - second[k])
             value -= rate * (1 - (t - 1) / rounds) * (first[k] / (1 - 0.9**t)) / (np.sqrt(second[k] / (1 - 0.99**t)) + 1e-8)
-    part = np.zeros(BUCKETS)
-    part[used] = (soft[:, 1] - soft[:, 0]) @ table
-    return part, float(bias[1] - bias[0])
+    return (soft[:, 1] - soft[:, 0]) @ table, float(bias[1] - bias[0])
 
 
 def margins(piece: Piece, part: np.ndarray, bias: float) -> np.ndarray:
     """The difference of the two logits for each document of a piece."""
     ids, bags, words, n = subwords(piece)
-    value = np.bincount(bags, part[ids], int(n)) / np.maximum(np.bincount(bags, minlength=int(n)), 1)
-    key = np.unique(np.repeat(np.arange(piece.n), np.diff(piece.at)) * int(n) + words)
-    doc, word = key // max(int(n), 1), key % max(int(n), 1)
+    value = np.bincount(bags, part[ids], n) / np.maximum(np.bincount(bags, minlength=n), 1)
+    key = np.unique(np.repeat(np.arange(piece.n), np.diff(piece.at)) * n + words)
+    doc, word = key // max(n, 1), key % max(n, 1)
     return np.bincount(doc, value[word], piece.n) / (np.bincount(doc, minlength=piece.n) + REST) + bias
 
 
@@ -115,8 +158,8 @@ def trained(docs: DataFrame, labels: DataFrame, rows: int = ROWS_PER_CLASS):
     """
     sample = labelled_sample(docs, labels, "toxic", remainder(F.col("doc_id"), 5) != 0, rows)
     got = sorted(sample.collect(), key=lambda r: (r["doc_id"], r["label"], r["text"]))
-    whole = next(pieces(pa.array([r["text"] for r in got], pa.large_string()), 1 << 62), None) if got else None
-    return docs.sparkSession.sparkContext.broadcast(fit(whole, np.array([r["label"] for r in got], dtype=int)))
+    texts = list(pieces(pa.array([r["text"] for r in got], pa.large_string())))
+    return docs.sparkSession.sparkContext.broadcast(fit(texts, np.array([r["label"] for r in got], dtype=int)))
 
 
 def probabilities(texts: pa.Array, model: tuple[np.ndarray, float]) -> np.ndarray:
