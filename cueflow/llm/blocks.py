@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from cueflow.llm.words import Piece, pieces
 
 #: Text in a block, on average.
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 6_000_000
 PACKED = "part int, block int, a binary, b binary, c binary"
 REPLY = "block int, part int, kind int, a binary, b binary"
 

@@ -8,7 +8,7 @@ positions are exchanged.  The other windows extend their anchors to the full 20
 
 Words are ``[^\\x20\\x09-\\x0D]+``, unchanged.  A null or empty text has no words.  Rows that share a doc_id count as in the order
 of their texts, and a null doc_id comes last.  Other columns are not read; an empty table gives an empty result.  A task holds
-one block of documents (about 8 MB, or one longer text), whatever repeats in it.
+one block of documents (about 6 MB, or one longer text), whatever repeats in it.
 """
 
 from __future__ import annotations

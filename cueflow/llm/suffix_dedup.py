@@ -13,7 +13,7 @@ occurrences, as in a passage that very many documents share, would still bring a
 one by one instead, as hashes of their 200 bytes, which spread over all tasks; equal windows have the same anchor, so each is judged in one way
 or the other.  Texts are UTF-8
 bytes; a null text is empty; matches never cross rows; rows that share a doc_id are separate texts; repeated rows repeat every string of theirs.  Other
-columns are not read; an empty table gives an empty result.  A task holds one block (about 8 MB, or one longer text) or the contexts of one
+columns are not read; an empty table gives an empty result.  A task holds one block (about 6 MB, or one longer text) or the contexts of one
 part of the hash space.
 """
 
@@ -35,7 +35,7 @@ LENGTH, GRAM = 200, 50
 BEFORE = LENGTH - GRAM
 #: Occurrences of an anchor from which on its windows are compared one by one.
 HOT = 10_000
-_SLICE = 1 << 21
+_SLICE = 1 << 20
 _PLACE = np.uint64((1 << 24) - 1)
 _ODD_KEY = np.uint64(0x5851F42D4C957F2D)
 CONTEXT = np.dtype([("key", np.uint64), ("left", np.uint16), ("right", np.uint16)])
@@ -322,7 +322,7 @@ def remove_long_repeats(docs: DataFrame, carry: Sequence[str] = (), as_text: boo
         np.add.at(depth, again, 1)
         np.add.at(depth, again + LENGTH, -1)
         gone = np.zeros(len(anchors.data) + 1, bool)
-        gone[:-1] = np.cumsum(depth[:-1]) > 0
+        gone[:-1] = np.cumsum(depth[:-1], out=depth[:-1]) > 0
         starts = gone[:-1].copy()
         starts[1:] &= ~gone[:-2]
         inner = anchors.bounds[:-1][np.diff(anchors.bounds) > 0]

@@ -15,7 +15,7 @@ import pyarrow as pa
 
 U = np.uint64
 #: Bytes of text that are worked on at once; a longer text is a piece of its own.
-PIECE_BYTES = 2_000_000
+PIECE_BYTES = 1_000_000
 _rng = np.random.default_rng(20240607)
 _BYTE = _rng.integers(1, 2**64 - 1, 256, dtype=U)
 _BASE = 0x9E3779B97F4A7C15
