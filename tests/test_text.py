@@ -65,7 +65,7 @@ def test_ring_speech():
     assert providers.ring_speech([False] * 5 + [True] * 12 + [False] * 12, 30, 150, 900) == (150, 630)
     assert providers.ring_speech([False] * 20, 30, 150, 600) == (0, None)
     assert providers.ring_speech([True] * 20, 30, 150, 607) == (0, 607)
-    assert providers.ring_speech(([True] * 6 + [False] * 6) * 2, 30, 150, 720) == (0, 690)
+    assert providers.ring_speech(([True] * 6 + [False] * 6) * 2, 30, 150, 720) == (0, 660)
 
 
 def test_audio_functions(spark):
