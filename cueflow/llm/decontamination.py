@@ -2,12 +2,13 @@
 
 The index holds, for each term, the items with it and their impacts, in blocks with the largest impact of each.  Impacts are BM25
 weights over the score of the item against itself, so a passage that holds all of an item scores 1 whatever its length.  Each
-passage is a query; block-max WAND (Ding and Suel, 2011) returns every item that scores ``THRESHOLD`` or more.  As nearly all passages
-reach no item, a bound is first taken for many passages at once: the block maxima of their terms summed for each block of
-items, with the most common terms counted as if all were there.  Only passages with a block that reaches the threshold are searched, so none is lost.
+passage is a query; block-max WAND (Ding and Suel, 2011) returns every item that scores enough.  As nearly all passages
+reach no item, a bound is first taken for many passages at once: the impacts of their terms summed for each item, with the
+most common terms counted as if all were there.  Only passages in which some item's sum is enough are searched, so none is lost.
 
 An item's question and answer (what follows its last question mark, else its last third) must then each have
-``OVERLAP`` of their 3-word shingles in the passage.
+``OVERLAP`` of their 3-word shingles in the passage.  That alone decides: the score that is enough is each item's own, the least that a
+passage with both shares can have (``Index.least``), so the index misses no passage that the shingles would match.
 
 Words are runs of letters and digits in lower case; passages are twice as long as the longest item (128 words at least) and
 advance by half, so each item's length lies whole in some passage.  Whole texts are read.  A null or empty text, or item, matches nothing;
@@ -18,6 +19,7 @@ The index is broadcast in shards of at most ``SHARD_BYTES`` of item text, each w
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,10 +30,10 @@ from pyspark.sql import functions as F
 
 from cueflow.llm.words import Piece, pieces
 
-THRESHOLD, OVERLAP = 0.6, 0.6
+OVERLAP = 0.6
 K1, B = 1.2, 0.75
 BLOCK, SHARD_BYTES, LEAST_PASSAGE = 4, 16_000_000, 128
-#: What the terms that are left out of the first bound can bring together, at most.
+#: What the terms that are left out of the first bound can bring together, at most, and at most half of the least score that is enough.
 SLACK = 0.05
 OUT = "item_id long, score double, question_overlap double, answer_overlap double"
 _SEPARATORS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
@@ -74,14 +76,15 @@ class Index:
     """The inverted index of one shard.
 
     ``terms`` are sorted hashes.  Of term t, ``items[at[t]:at[t + 1]]`` ascend, with ``impacts``; ``block_top[t]`` has its largest impact
-    in each block of ``BLOCK`` items it occurs in, and ``most[t]`` its largest.
+    in each block of ``BLOCK`` items it occurs in, and ``most[t]`` its largest.  ``enough`` has the score each item needs, or infinity for one without words.
     """
 
-    def __init__(self, ids: list, texts: list[str | None], stats: Statistics):
+    def __init__(self, ids: list, texts: list[str | None], stats: Statistics, threshold: float | None = None, overlap: float = OVERLAP):
         parsed = item_words(texts)
         self.ids, self.split = ids, parsed
         mean = stats.length / max(stats.items, 1)
         postings: dict[int, list[tuple[int, float]]] = {}
+        enough = []
         for item, (words, _) in enumerate(parsed):
             weight = {}
             for term in set(words):
@@ -90,6 +93,11 @@ class Index:
             total = sum(weight.values())
             for term, w in weight.items():
                 postings.setdefault(term, []).append((item, w / total))
+            share = {term: w / total for term, w in weight.items()}
+            enough.append((self.least(item, share, overlap) if threshold is None else threshold) if share else math.inf)
+        self.enough = np.array(enough)
+        self.lowest = float(self.enough.min(initial=math.inf))
+        self.slack = min(SLACK, self.lowest / 2)
         self.terms = np.array(sorted(postings), dtype=np.uint64)
         lists = [postings[int(t)] for t in self.terms]
         self.at = np.concatenate([[0], np.cumsum([len(p) for p in lists])]).astype(np.int64)
@@ -106,7 +114,7 @@ class Index:
         self.most = [max(t.values()) for t in tops]
         order = np.argsort(self.most)
         self.rare = np.ones(len(lists), bool)
-        self.rare[order[np.cumsum(np.array(self.most)[order]) <= SLACK]] = False
+        self.rare[order[np.cumsum(np.array(self.most)[order]) <= self.slack]] = False
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[(self.terms[self.rare] >> np.uint64(44)).astype(np.int64)] = True
 
@@ -162,19 +170,39 @@ class Index:
             cursors = [c for c, k in zip(cursors, keep) if k] + cursors[pivot + 1 :]
         return found
 
-    def overlaps(self, item: int, passage: list[int]) -> tuple[float, float]:
-        """The shares of the question's and of the answer's shingles that the passage has."""
+    def shingles(self, item: int) -> list[set[tuple[int, ...]]]:
+        """The different shingles of the question and of the answer."""
         words, cut = self.split[item]
-        shares = []
+        out = []
         for part in (words[:cut], words[cut:]):
             n = min(3, len(part))
-            own = {tuple(part[i : i + n]) for i in range(len(part) - n + 1)} if n else set()
+            out.append({tuple(part[i : i + n]) for i in range(len(part) - n + 1)} if n else set())
+        return out
+
+    def least(self, item: int, impacts: dict[int, float], overlap: float) -> float:
+        """A score that every passage has with ``overlap`` of the item's shingles of both parts.
+
+        A word's impact is dealt out equally to the shingles with it.  A passage with some of them has their words, so it scores what
+        they hold or more, and that is no less than what as many of the lightest hold.
+        """
+        parts, score = self.shingles(item), 0.0
+        having = Counter(term for part in parts for own in part for term in set(own))
+        for part in parts:
+            most = next(k for k in range(len(part) + 1) if not part or k / len(part) >= min(overlap, 1.0))
+            score += sum(sorted(sum(impacts[term] / having[term] for term in set(own)) for own in part)[:most])
+        return score
+
+    def overlaps(self, item: int, passage: list[int]) -> tuple[float, float]:
+        """The shares of the question's and of the answer's shingles that the passage has."""
+        shares = []
+        for own in self.shingles(item):
+            n = len(next(iter(own), ()))
             there = {tuple(passage[i : i + n]) for i in range(len(passage) - n + 1)} if n else set()
             shares.append(len(own & there) / len(own) if own else 1.0)
         return shares[0], shares[1]
 
-    def passages(self, piece: Piece, words: np.ndarray, half: int, threshold: float) -> list[tuple[int, int, int]]:
-        """(document, first word, end) of the passages in which some item's bound reaches the threshold."""
+    def passages(self, piece: Piece, words: np.ndarray, half: int) -> list[tuple[int, int, int]]:
+        """(document, first word, end) of the passages in which some item's bound is enough."""
         rough = np.flatnonzero(self.maybe[(words >> np.uint64(44)).astype(np.int64)])
         hit, term = self.find(words[rough])
         hit, keep = rough[hit], self.rare[term]
@@ -198,7 +226,7 @@ class Index:
         key, part = key[new], np.add.reduceat(part, new)
         after = np.searchsorted(key, key + n)
         after[after == len(key)] = 0
-        both, enough = part + np.where(key[after] == key + n, part[after], 0.0), threshold - SLACK - 1e-9
+        both, enough = part + np.where(key[after] == key + n, part[after], 0.0), self.enough[key % n] - self.slack - 1e-9
         starts = np.unique(np.concatenate([key[both >= enough], key[part >= enough] - n]) // n)
         out = []
         for u in starts[starts >= 0].tolist():
@@ -208,14 +236,16 @@ class Index:
                 out.append((d, first, min(first + 2 * half, int(piece.at[d + 1]))))
         return out
 
-    def matches(self, piece: Piece, half: int, threshold: float, overlap: float) -> Iterator[tuple[int, int, float, float, float]]:
+    def matches(self, piece: Piece, half: int, overlap: float) -> Iterator[tuple[int, int, float, float, float]]:
         """(document, item, score, shares) of the verified matches, the best passage of each."""
         piece.words(_SEPARATORS)
         words, best = piece.hashes(), {}
-        for d, first, end in self.passages(piece, words, half, threshold):
+        for d, first, end in self.passages(piece, words, half):
             own = words[first:end]
             _, terms = self.find(own)
-            for item, score in self.search(np.unique(terms).tolist(), threshold):
+            for item, score in self.search(np.unique(terms).tolist(), self.lowest):
+                if score < self.enough[item] - 1e-9:
+                    continue
                 shares = self.overlaps(item, own.tolist())
                 if min(shares) >= overlap:
                     best[d, item] = max(best.get((d, item), (0.0, (0.0, 0.0))), (score, shares))
@@ -223,7 +253,7 @@ class Index:
             yield d, item, min(score, 1.0), *shares
 
 
-def indexes(benchmark: DataFrame) -> tuple[list[Index], int]:
+def indexes(benchmark: DataFrame, threshold: float | None, overlap: float) -> tuple[list[Index], int]:
     """One index a shard, made one after another on the driver, and half the length of a passage."""
     total = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, math.ceil(total / SHARD_BYTES))
@@ -237,17 +267,17 @@ def indexes(benchmark: DataFrame) -> tuple[list[Index], int]:
     for k in range(shards):
         for words, _ in item_words([text for _, text in shard(k)]):
             stats.add(words)
-    made = (Index([i for i, _ in rows], [t for _, t in rows], stats) for rows in map(shard, range(shards)))
+    made = (Index([i for i, _ in rows], [t for _, t in rows], stats, threshold, overlap) for rows in map(shard, range(shards)))
     share = benchmark.sparkSession.sparkContext.broadcast
     return [share(index) for index in made], max(LEAST_PASSAGE // 2, stats.longest)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
-    """(doc_id, item_id, score, question_overlap, answer_overlap) of each document that holds a benchmark item.
+def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float | None = None, overlap: float = OVERLAP) -> DataFrame:
+    """(doc_id, item_id, score, question_overlap, answer_overlap) of each document that holds a benchmark item, with ``threshold`` of a score that is no less.
 
     One scan of the documents a shard, without a shuffle.
     """
-    shards, half = indexes(benchmark)
+    shards, half = indexes(benchmark, threshold, overlap)
     kind = docs.schema["doc_id"].dataType.simpleString()
     found = None
     for shared in shards:
@@ -257,7 +287,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
             for batch in batches:
                 which, rest = [], []
                 for piece in pieces(lowered(batch.column(1))):
-                    for d, item, *shares in index.matches(piece, half, threshold, overlap):
+                    for d, item, *shares in index.matches(piece, half, overlap):
                         which.append(piece.first + d)
                         rest.append((index.ids[item], *shares))
                 columns = list(zip(*rest)) if rest else [[]] * 4
@@ -269,9 +299,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     return found
 
 
-def without_contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float | None = None, overlap: float = OVERLAP) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, in one scan."""
-    shards, half = indexes(benchmark)
+    shards, half = indexes(benchmark, threshold, overlap)
     place = docs.columns.index("text")
     for shared in shards:
 
@@ -279,7 +309,7 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float
             for batch in batches:
                 stays = np.ones(batch.num_rows, bool)
                 for piece in pieces(lowered(batch.column(place))):
-                    for d, *_ in shared.value.matches(piece, half, threshold, overlap):
+                    for d, *_ in shared.value.matches(piece, half, overlap):
                         stays[piece.first + d] = False
                 yield batch.filter(pa.array(stays))
 

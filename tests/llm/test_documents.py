@@ -198,6 +198,23 @@ def test_decontamination(spark):
     assert sorted(r.doc_id for r in without_contaminated(docs, benchmark).collect()) == [*range(len(clean)), len(clean) + 30, len(clean) + 31]
 
 
+def test_decontamination_of_leaks_altered_in_their_rare_words(spark):
+    pick = random.Random(11)
+    common = [f"c{i}" for i in range(60)]
+    part = lambda k, n, rare, q: [pick.choice(common) for _ in range(n)] + [f"{q}{k}x{i}" for i in range(rare)]
+    items = [(part(k, 20, 10, "q"), part(k, 14, 6, "a")) for k in range(30)]
+    other = lambda own, rare: own[:-rare] + [f"new{pick.randrange(10**9)}" for _ in range(rare)]
+    rest = [" ".join(pick.choice(common) for _ in range(pick.choice([5, 90]))) for _ in range(40)]
+    leaks = [" ".join(other(q, rare) + other(a, 6)) for q, a in items for rare in (10, 11, 12, 13)]
+    benchmark = spark.createDataFrame([(k, f"{' '.join(q)}? {' '.join(a)}") for k, (q, a) in enumerate(items)], "item_id long, text string")
+    shingles = lambda own: {tuple(own[i : i + 3]) for i in range(len(own) - 2)}
+    share = lambda own, text: len(shingles(own) & shingles(text.split())) / len(shingles(own))
+    want = {(d, k) for d, text in enumerate(rest + leaks) for k, (q, a) in enumerate(items) if min(share(q, text), share(a, text)) >= 0.6}
+    assert len(want) == 60
+    got = contaminated(table(spark, rest + leaks), benchmark).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want and min(r.score for r in got) < 0.5
+
+
 def test_block_max_wand_returns_all_above_the_threshold():
     from cueflow.llm.decontamination import Index, Statistics, item_words
 
