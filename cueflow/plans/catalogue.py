@@ -204,8 +204,8 @@ text_query("comma_decimal", text.comma_decimals, duck.comma("text"))
 text_query("abbreviations", text.expand_abbreviations, duck.abbreviations("text"))
 text_query("number_grouping", text.numbers, duck.numbers("text"), fx.NUMBERS)
 text_query("normalize_text", text.normalize, duck.normalize("text"), fx.NUMBERS)
-text_query("normalize_documents", text.normalize, None)
-text_query("collapse_ngrams", text.collapse_repeats, None)
+text_query("normalize_documents", text.normalize, None, fx.TEXTS_WHOLE)
+text_query("collapse_ngrams", text.collapse_repeats, None, fx.TEXTS_WHOLE)
 text_query("compression_ratio", text.compression_ratio, None, "SELECT doc_id, text FROM documents")
 text_query("strip_text", text.strip, duck.strip("text"), "SELECT doc_id, concat(' ', CASE doc_id%3 WHEN 0 THEN chr(9) ELSE chr(10) END, substr(text,1,30), CASE doc_id%2 WHEN 0 THEN chr(160) ELSE '  ' END) AS text FROM documents")
 
@@ -343,7 +343,7 @@ def _(s, d):
 
 @query("srt_text")
 def _(s, d):
-    own = fixture(s, d, fx.CUES_CONV).select(F.col("track_id").alias("seq_id"), F.col("cue_idx").alias("pos"), (F.col("start_ms") / F.lit(1000.0)).alias("start_s"), (F.col("end_ms") / F.lit(1000.0)).alias("end_s"), "text")
+    own = fixture(s, d, fx.CUES_CONV_WHOLE).select(F.col("track_id").alias("seq_id"), F.col("cue_idx").alias("pos"), (F.col("start_ms") / F.lit(1000.0)).alias("start_s"), (F.col("end_ms") / F.lit(1000.0)).alias("end_s"), "text")
     return assembly.srt_texts(own)
 
 
@@ -376,6 +376,67 @@ def _(s, d):
     return rows.select("track_id", providers.ring_activity(F.transform("all", lambda x: x["voiced"]), F.size("all") * 30, 30, 90).alias("v")).select("track_id", "v.*")
 
 
+# whole texts: the same operators without the prefixes of the fixtures above
+
+text_query("remove_brackets_whole", text.remove_bracketed, duck.brackets("text"), fx.TEXTS_WHOLE)
+text_query("standardize_text_whole", text.standardize, duck.standardize("text"), fx.TEXTS_WHOLE)
+text_query("triple_dots_whole", text.tidy_dots, duck.dots("text"), fx.TEXTS_WHOLE)
+text_query("capitalization_whole", text.fix_capitals, duck.capitals("text"), fx.TEXTS_WHOLE)
+text_query("tokenize_text_whole", lambda c: F.array_join(text.tokens(c), "|"), f"array_to_string(regexp_extract_all(text, '\\.\\.\\.|[^{duck._SP}]+'), '|')", fx.TEXTS_WHOLE)
+text_query("currencies_whole", text.currencies, duck.currencies("text"), fx.TEXTS_WHOLE)
+text_query("comma_decimal_whole", text.comma_decimals, duck.comma("text"), fx.TEXTS_WHOLE)
+text_query("abbreviations_whole", text.expand_abbreviations, duck.abbreviations("text"), fx.TEXTS_WHOLE)
+text_query("strip_text_whole", text.strip, duck.strip("text"), fx.STRIPPED_WHOLE)
+
+
+@query("leading_space_whole", f"SELECT doc_id, CASE WHEN lang IN ('zh', 'ja', 'th', 'lo', 'my') THEN text ELSE concat(' ', text) END AS result FROM ({fx.LANGUAGES_WHOLE}) t")
+def _(s, d):
+    return fixture(s, d, fx.LANGUAGES_WHOLE).select("doc_id", text.leading_space(F.col("text"), F.col("lang")).alias("result"))
+
+
+@query("sentence_punctuation_whole", ORACLE["sentence_punctuation"].replace(_SENTENCES, fx.SENTENCES_WHOLE))
+def _(s, d):
+    return fixture(s, d, fx.SENTENCES_WHOLE).select("doc_id", text.finish_sentence(F.col("text")).alias("result"))
+
+
+@query("blank_drop_whole", ORACLE["blank_drop"].replace(fx.RECORDS, fx.RECORDS_WHOLE))
+def _(s, d):
+    return cues.drop_blank(fixture(s, d, fx.RECORDS_WHOLE)).select("doc_id", "text")
+
+
+@query("record_filter_words_whole", ORACLE["record_filter_words"].replace(fx.RECORDS, fx.RECORDS_WHOLE))
+def _(s, d):
+    return fixture(s, d, fx.RECORDS_WHOLE).select("doc_id", quality.first_word(F.col("text"), FORBIDDEN).alias("word"))
+
+
+@query("residual_check_whole")
+def _(s, d):
+    kept = quality.disposed(fixture(s, d, fx.RECORDS_WHOLE), ["the"], bad=F.lit(False)).filter("disposition = 'kept'")
+    return kept.filter(quality.first_word(F.col("text"), ["the"]).isNotNull()).select("doc_id")
+
+
+@query("silence_subsample_whole", ORACLE["silence_subsample"].replace(fx.RECORDS, fx.RECORDS_WHOLE))
+def _(s, d):
+    return assembly.subsample_silence(fixture(s, d, fx.RECORDS_WHOLE), 3, ["doc_id"]).select("doc_id", "track_id", "text")
+
+
+@query("fuse_captions_whole", duck.FUSED.replace(fx.CUES_CONV, fx.CUES_CONV_WHOLE))
+def _(s, d):
+    return cues.fuse_captions(fixture(s, d, fx.CUES_CONV_WHOLE))
+
+
+@query("parse_subtitles_whole", ORACLE["parse_subtitles"].replace(fx.SRT_FILES, fx.SRT_FILES_WHOLE))
+def _(s, d):
+    return subtitles.parse_cues(fixture(s, d, fx.SRT_FILES_WHOLE.replace("string_agg(concat(", "listagg(concat(").replace("chr(10) ORDER BY turn)", "chr(10)) WITHIN GROUP (ORDER BY turn)")))
+
+
+@query("series_sentences_whole", ORACLE["series_sentences"].replace(fx.CUES_CONV, fx.CUES_CONV_WHOLE))
+def _(s, d):
+    own = fixture(s, d, fx.CUES_CONV_WHOLE)
+    files = own.select("track_id").distinct().select("track_id", F.lit("a").alias("audio"), F.col("track_id").alias("series"), F.lit("s").alias("srt"), F.lit("de").alias("language"))
+    return tables.series(own, files).select(F.col("series").alias("track_id"), "sentence")
+
+
 # pipelines
 
 @query("pipeline_splitting")

@@ -36,3 +36,21 @@ SRT_FILES = """SELECT CAST(conv_id AS string) AS track_id, CASE WHEN conv_id%2 =
   '00:0', CAST(turn%10 AS string), ':', CAST(10+turn%50 AS string), CASE WHEN conv_id%2 = 0 THEN ',' ELSE '.' END, CAST(100+turn*7 AS string),
   ' --> 00:0', CAST(turn%10 AS string), ':', CAST(11+turn%48 AS string), CASE WHEN conv_id%2 = 0 THEN ',' ELSE '.' END, CAST(200+turn*3 AS string), chr(10),
   replace(substr(text,1,40), chr(10), ' '), chr(10), CASE WHEN turn%3 = 0 THEN concat(' ', role, chr(10)) ELSE '' END), chr(10) ORDER BY turn) AS content FROM conversations GROUP BY conv_id"""
+
+# The same over whole texts: what is put in comes before a text, and blank or odd records come as rows of their own.
+
+CUES_CONV_WHOLE = CUES_CONV.replace("substr(text,1,18)", "text")
+
+TEXTS_WHOLE = TEXTS.replace("substr(text,1,60)", "text")
+
+RECORDS_WHOLE = """SELECT doc_id, source AS track_id, lang, concat('<|0.00|> ', text, '<|2.00|>') AS text FROM documents
+  UNION ALL SELECT -1 - doc_id, source, lang, '' FROM documents WHERE doc_id%3 = 0"""
+
+SRT_FILES_WHOLE = SRT_FILES.replace("substr(text,1,40)", "text")
+
+STRIPPED_WHOLE = "SELECT doc_id, concat(' ', CASE doc_id%3 WHEN 0 THEN chr(9) ELSE chr(10) END, text, CASE doc_id%2 WHEN 0 THEN chr(160) ELSE '  ' END) AS text FROM documents"
+
+SENTENCES_WHOLE = """SELECT doc_id, CASE doc_id%4 WHEN 0 THEN concat('"', text, '"') WHEN 1 THEN concat(text, '?') ELSE text END AS text FROM documents
+  UNION ALL SELECT -1 - doc_id, '"' FROM documents WHERE doc_id%4 = 2"""
+
+LANGUAGES_WHOLE = "SELECT doc_id, text, CASE WHEN doc_id%4 = 0 THEN 'zh' ELSE lang END AS lang FROM documents"

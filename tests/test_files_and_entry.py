@@ -111,3 +111,26 @@ def test_queries_equal_duckdb(spark):
         if sorted(df.columns) != order or mine != theirs or not mine and name != "residual_check":
             wrong.append(name)
     assert not wrong
+
+
+PAST = "wort " * 60 + "das das geht geht [weg] 12 000 so"
+
+
+def test_queries_see_what_comes_after_the_prefix(spark, tmp_path):
+    spark.createDataFrame([(7, PAST + " zzz", "de", "s")], "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, t, "user", PAST) for t in range(2)], "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    run = lambda name: catalogue.QUERIES[name](spark, str(tmp_path)).collect()
+    start = "Hm bzw. etc. , x ?  ! "
+    assert run("normalize_documents")[0].result.endswith("wort das das geht geht 12'000 so zzz")
+    assert run("collapse_ngrams")[0].result == "Hm bzw. etc. , x ? ! wort das geht [weg] 12 000 so zzz"
+    assert run("srt_text")[0].srt.count(PAST) == 2
+    assert [r.word for r in run("record_filter_words_whole")] == ["zzz"]
+    assert run("residual_check_whole") == []
+    assert run("remove_brackets_whole")[0].result == start + PAST.replace("[weg]", "") + " zzz"
+    assert run("tokenize_text_whole")[0].result == "|".join((start + PAST + " zzz").split())
+    for name in ("standardize_text", "triple_dots", "capitalization", "currencies", "comma_decimal", "abbreviations", "strip_text", "leading_space", "sentence_punctuation"):
+        assert run(f"{name}_whole")[0].result.rstrip(".").endswith("12 000 so zzz"), name
+    for name in ("blank_drop", "silence_subsample"):
+        assert PAST in run(f"{name}_whole")[0].text, name
+    for name, column in (("fuse_captions", "text"), ("parse_subtitles", "text"), ("series_sentences", "sentence")):
+        assert PAST in run(f"{name}_whole")[0][column], name
