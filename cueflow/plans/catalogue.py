@@ -437,6 +437,18 @@ def _(s, d):
     return tables.series(own, files).select(F.col("series").alias("track_id"), "sentence")
 
 
+@query("word_count_filter_whole")
+def _(s, d):
+    own = quality.disposed(fixture(s, d, fx.RECORDS_WHOLE))
+    return own.filter("disposition <> 'bad_examples'").select("doc_id", "text")
+
+
+@query("disposition_counts_whole")
+def _(s, d):
+    own = quality.disposed(fixture(s, d, fx.RECORDS_WHOLE), ["der"], F.col("lang"))
+    return own.groupBy("disposition").agg(F.count("*").alias("records"))
+
+
 # pipelines
 
 @query("pipeline_splitting")

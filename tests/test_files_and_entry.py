@@ -1,6 +1,8 @@
 """Sources, sinks, pipelines, streaming, and the queries against DuckDB."""
 
 import json
+import re
+import zlib
 
 import duckdb
 import pytest
@@ -134,3 +136,20 @@ def test_queries_see_what_comes_after_the_prefix(spark, tmp_path):
         assert PAST in run(f"{name}_whole")[0].text, name
     for name, column in (("fuse_captions", "text"), ("parse_subtitles", "text"), ("series_sentences", "sentence")):
         assert PAST in run(f"{name}_whole")[0][column], name
+
+
+def test_repetitive_and_short_records_are_bad_examples(spark, tmp_path):
+    good = "Heute gehen wir alle zusammen noch einmal langsam durch Zürich nach Hause"
+    texts = {1: "immer wieder " * 60, 2: good, 3: "kurz", 4: "", 5: good + " und der", 6: good.replace("Heute", "Morgen"), 7: "eins zwei " * 200}
+    spark.createDataFrame([(i, t, "de", "s") for i, t in texts.items()], "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    records = [(i, f"<|0.00|> {t}<|2.00|>") for i, t in texts.items()] + [(-1 - i, "") for i in texts if i % 3 == 0]
+
+    def bad(own):
+        plain = re.sub(r"<\|[^|]+\|>", "", own)
+        return len(own.split()) <= 8 or len(plain) / len(zlib.compress(plain.encode())) >= 2.4
+
+    kept = {i for i, t in records if not bad(t)}
+    assert kept == {2, 5, 6}
+    assert {r.doc_id for r in catalogue.QUERIES["word_count_filter_whole"](spark, str(tmp_path)).collect()} == kept
+    counts = {r.disposition: r.records for r in catalogue.QUERIES["disposition_counts_whole"](spark, str(tmp_path)).collect()}
+    assert counts == {"bad_examples": len(records) - 3, "filtered_der_examples": 1, "kept": 2}
