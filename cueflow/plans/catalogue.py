@@ -449,6 +449,17 @@ def _(s, d):
     return own.groupBy("disposition").agg(F.count("*").alias("records"))
 
 
+@query("best_transcript_per_stem_whole", ORACLE["best_transcript_per_stem"].replace(fx.TRANSCRIPTS, fx.TRANSCRIPTS_WHOLE).replace(fx.AUDIO, fx.AUDIO_WHOLE))
+def _(s, d):
+    found, _missing = subtitles.best_transcripts(fixture(s, d, fx.AUDIO_WHOLE), fixture(s, d, fx.TRANSCRIPTS_WHOLE))
+    return found.select("stem", F.col("transcript_format").alias("format"), F.col("transcript_file_id").alias("file_id"))
+
+
+@query("missing_transcripts_whole", f"SELECT stem FROM ({fx.AUDIO_WHOLE}) a WHERE stem NOT IN (SELECT stem FROM ({fx.TRANSCRIPTS_WHOLE}) t)")
+def _(s, d):
+    return subtitles.best_transcripts(fixture(s, d, fx.AUDIO_WHOLE), fixture(s, d, fx.TRANSCRIPTS_WHOLE))[1]
+
+
 # pipelines
 
 @query("pipeline_splitting")

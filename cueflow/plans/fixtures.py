@@ -54,3 +54,8 @@ SENTENCES_WHOLE = """SELECT doc_id, CASE doc_id%4 WHEN 0 THEN concat('"', text,
   UNION ALL SELECT -1 - doc_id, '"' FROM documents WHERE doc_id%4 = 2"""
 
 LANGUAGES_WHOLE = "SELECT doc_id, text, CASE WHEN doc_id%4 = 0 THEN 'zh' ELSE lang END AS lang FROM documents"
+
+#: A stem a document, some in both formats; and audio of which some has no transcript.
+TRANSCRIPTS_WHOLE = """SELECT CAST(doc_id AS string) AS stem, CASE WHEN doc_id%2 = 0 THEN 'vtt' ELSE 'srt' END AS format, doc_id AS file_id FROM documents
+  UNION ALL SELECT CAST(doc_id AS string), 'vtt', -1 - doc_id FROM documents WHERE doc_id%4 = 1"""
+AUDIO_WHOLE = "SELECT CAST(page_id AS string) AS stem FROM pages UNION SELECT CAST(-1 - page_id AS string) FROM pages WHERE page_id%5 = 0"

@@ -153,3 +153,12 @@ def test_repetitive_and_short_records_are_bad_examples(spark, tmp_path):
     assert {r.doc_id for r in catalogue.QUERIES["word_count_filter_whole"](spark, str(tmp_path)).collect()} == kept
     counts = {r.disposition: r.records for r in catalogue.QUERIES["disposition_counts_whole"](spark, str(tmp_path)).collect()}
     assert counts == {"bad_examples": len(records) - 3, "filtered_der_examples": 1, "kept": 2}
+
+
+def test_transcripts_of_all_stems(spark, tmp_path):
+    spark.range(1000).selectExpr("id AS doc_id").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.range(600).selectExpr("id AS page_id").write.parquet(f"{tmp_path}/pages.parquet")
+    found = {r.stem: r.format for r in catalogue.QUERIES["best_transcript_per_stem_whole"](spark, str(tmp_path)).collect()}
+    assert found == {str(i): "srt" if i % 2 else "vtt" for i in range(600)}
+    missing = [r.stem for r in catalogue.QUERIES["missing_transcripts_whole"](spark, str(tmp_path)).collect()]
+    assert sorted(missing) == sorted(str(-1 - i) for i in range(0, 600, 5))
