@@ -67,9 +67,9 @@ def summed(index: np.ndarray, values: np.ndarray, of: np.ndarray, size: int) ->
 
 
 def training_words(texts: list[Piece]) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
-    """The words that at least two texts have: (text, word) pairs, the words in order of their hashes; and how many distinct words each text has.
+    """All words of the texts: (text, word) pairs, the words in order of their hashes; and how many distinct words each text has.
 
-    A word of one text could only be learned by heart.
+    A word of one text counts too, as its parts are those of its other spellings.
     """
     docs, codes, sizes, base = [], [], [], 0
     for piece in texts:
@@ -85,18 +85,16 @@ def training_words(texts: list[Piece]) -> tuple[np.ndarray, np.ndarray, list[byt
         sizes.append(np.bincount(owner[new], minlength=piece.n))
         base += piece.n
     doc, code = np.concatenate(docs), np.concatenate(codes)
-    known, counts = np.unique(code, return_counts=True)
-    known = known[counts >= 2]
+    known, word = np.unique(code, return_inverse=True)
+    word = word.astype(np.int32)
+    del code
     spelled: list[bytes | None] = [None] * len(known)
     for piece in texts:
         own, index = np.unique(piece.hashes(), return_index=True)
-        shared = np.isin(own, known)
-        for rank, k in zip(np.searchsorted(known, own[shared]).tolist(), index[shared].tolist()):
+        for rank, k in zip(np.searchsorted(known, own).tolist(), index.tolist()):
             if spelled[rank] is None:
                 spelled[rank] = piece.data[piece.start[k] : piece.end[k]].tobytes()
-    at = np.minimum(np.searchsorted(known, code), max(len(known) - 1, 0))
-    use = known[at] == code if len(known) else np.zeros(len(code), bool)
-    return doc[use], at[use], spelled, np.concatenate(sizes)
+    return doc, word, spelled, np.concatenate(sizes)
 
 
 def fit(texts: list[Piece], labels: np.ndarray, rounds: int = 120, rate: float = 0.5, decay: float = 1e-5) -> tuple[np.ndarray, float]:

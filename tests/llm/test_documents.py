@@ -309,3 +309,19 @@ def test_blocks_hear_what_all_send():
     keys = np.array([1, 5, 1 << 40, 1 << 63], dtype=np.uint64)
     assert [(p, i, j) for p, i, j in blocks.ranges(keys, 4)] == [(0, 0, 3), (2, 3, 4)]
     assert blocks.repeats(np.array([3, 1, 3, 3], dtype=np.uint64))[1].tolist() == [3]
+
+
+def test_toxicity_learns_from_spellings_of_one_text_each():
+    import numpy as np
+    import pyarrow as pa
+
+    from cueflow.llm.toxicity import fit, margins
+    from cueflow.llm.words import pieces
+
+    pick = random.Random(12)
+    plain = lambda: " ".join(f"w{pick.randrange(50)}" for _ in range(12))
+    texts = [f"{plain()} {a}grumblefax{b}" for a in "abcdefgh" for b in "ijklm"] + [f"{plain()} k{k}quiet{k}" for k in range(40)]
+    model = fit(list(pieces(pa.array(texts, pa.large_string()))), np.array([1] * 40 + [0] * 40))
+    unseen = [plain() for _ in range(20)]
+    score = lambda own: np.concatenate([margins(p, *model) for p in pieces(pa.array(own, pa.large_string()))])
+    assert (score([f"{t} xgrumblefaxz" for t in unseen]) > np.maximum(score(unseen), 0)).all()
