@@ -64,6 +64,20 @@ def chunk_sequences(runs: DataFrame, per_sequence: int, shards: int = 64) -> Dat
     return placed.withColumn("seq_id", seq).withColumn("pos", F.pmod("place", F.lit(per_sequence)).cast("long")).drop("shard", "place", "run_key", "run_first")
 
 
+def joined_sequences(runs: DataFrame, per_sequence: int, shards: int = 64) -> DataFrame:
+    """As :func:`chunk_sequences`, but sequences go on across shards, so only the last one of all is short.
+
+    A clip's place is its place in the shard after the clips of the shards before; their counts, a row a shard, are broadcast.
+    """
+    own = runs.withColumn("shard", F.pmod(F.col("run_key"), F.lit(shards)))
+    counts = own.groupBy("shard").agg(F.count("*").alias("n"))
+    before = counts.select("shard", F.coalesce(F.sum("n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    w = Window.partitionBy("shard").orderBy("run_key", "run_first", "client_id", "nth")
+    placed = own.withColumn("place", F.row_number().over(w) - 1).join(F.broadcast(before), "shard").withColumn("place", F.col("place") + F.col("before"))
+    seq = F.floor(F.col("place") / per_sequence).cast("string")
+    return placed.withColumn("seq_id", seq).withColumn("pos", F.pmod("place", F.lit(per_sequence)).cast("long")).drop("shard", "place", "before", "run_key", "run_first")
+
+
 def draw_overlaps(sequences: DataFrame, chance: int, most_chance: int, most_ms: int, seed: int = 7) -> DataFrame:
     """Adds overlap_ms: with ``chance`` (per million) a clip starts within the last one's, by up to the silence between them and ``most_ms``."""
     w = Window.partitionBy("seq_id").orderBy("pos")

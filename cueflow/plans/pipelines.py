@@ -95,7 +95,7 @@ def split_recordings(cues: DataFrame, tracks: DataFrame, config: Config = Config
 def fuse_clips(clips: DataFrame, config: Config = Config()) -> DataFrame:
     """Captions (seq_id, pos, clip_id, start_s, end_s, text) of sequences of clips (clip_id, sentence, client_id, dur_ms, vad_start_ms, vad_end_ms)."""
     runs = assembly.speaker_runs(clips, config.maintain_speaker, config.seed)
-    placed = assembly.chunk_sequences(runs, config.clips_per_sequence)
+    placed = assembly.joined_sequences(runs, config.clips_per_sequence)
     timed = assembly.fused_offsets(assembly.draw_overlaps(placed, config.overlap_chance, config.max_overlap_chance, config.max_overlap_ms, config.seed))
     captions = timed.select("seq_id", "pos", "clip_id", (F.col("start_ms") / 1000.0).cast("double").alias("start_s"), (F.col("end_ms") / 1000.0).cast("double").alias("end_s"), normalize(F.col("sentence")).alias("text"))
     return cue_ops.repair_overlaps(captions)

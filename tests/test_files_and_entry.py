@@ -162,3 +162,11 @@ def test_transcripts_of_all_stems(spark, tmp_path):
     assert found == {str(i): "srt" if i % 2 else "vtt" for i in range(600)}
     missing = [r.stem for r in catalogue.QUERIES["missing_transcripts_whole"](spark, str(tmp_path)).collect()]
     assert sorted(missing) == sorted(str(-1 - i) for i in range(0, 600, 5))
+
+
+def test_only_the_last_fused_sequence_is_short(spark):
+    clips = catalogue.fixture(spark, SF, catalogue.fx.CLIPS)
+    few = clips.filter("clip_id <= 10")
+    assert sorted(r["count"] for r in fuse_clips(few, Config(clips_per_sequence=16)).groupBy("seq_id").count().collect()) == [few.count()]
+    sizes = [r["count"] for r in fuse_clips(clips, Config(clips_per_sequence=4)).groupBy("seq_id").count().collect()]
+    assert sum(sizes) == clips.count() and len(sizes) == -(-sum(sizes) // 4) and sum(n < 4 for n in sizes) <= 1
