@@ -1,41 +1,48 @@
 """N-gram Jaccard join by a prefix tree over globally ordered shingle sets.
 
 A document's set holds the hashes of its distinct 5-word shingles; two sets link when their Jaccard similarity is 0.8 or
-more.  The join loses no link between different sets:
+more.  The join loses no link between different components:
 
 1. Equal sets are one class.  Of each class a sample of its shingles, those with a hash below ``SAMPLE`` of the range (all of a short one's), is
    counted over all blocks.  A linked set lacks at most a fifth of the other's shingles, so one that has more than that among its sampled
    shingles which nothing else holds has no link; most documents end here.
-2. The others order their sampled shingles by frequency, the rarest first.  Of two linked sets, the prefixes that are one longer than a
-   fifth of the set share a shingle.  Classes that share one are brought together through the smallest class that has it, and contracted to groups.
-3. Each group's sets go, whole, into a trie in the order of their frequency in the group, so common parts are shared.  Each set
-   walks the trie with its overlap so far, and leaves a subtree when the remaining lengths cannot bring enough, or when it is linked with all
-   of it already.  A group beyond ``GROUP_BYTES`` is dealt into pieces, and each pair of pieces is a task of its own.
+2. The others meet those with the same smallest shingle, under two orders, in groups of ``MEET`` at most.  What links there gets one label.  This costs
+   as much as there are sets, however many of them are near copies of one text, and is only to spare the next step work.
+3. All order their sampled shingles by frequency, the rarest first.  Of two linked sets, the prefixes that are one longer than a
+   fifth of the set share a shingle, and their sizes are at most a quarter apart.  Where all sets of a shingle have one label nothing is left to find.  Sets of several labels that
+   share a shingle and a band of sizes are brought together through the smallest that has both, and contracted to groups.
+4. Sets that meet, in either way, go into a trie in one global order (sampled shingles before others, the common ones first), so common parts are shared.  Each set
+   walks the trie with its overlap so far, and leaves a subtree when the remaining lengths cannot bring enough, or when it has one label with all
+   of it already.  A group beyond ``GROUP_BYTES`` or ``GROUP_ROWS`` is dealt into pieces, and each pair of pieces is a task of its own.
 
 Texts have A-Z in lower case; words are ``[^\\x20\\x09-\\x0D]+``; fewer than five words are one shingle; without words or text the set is empty and
-links with nothing.  Rows that share a doc_id keep their own sets; a null doc_id is the smallest of a component only where all are null.  Other columns
+links with nothing.  Ids may be of any type that has an order.  Rows that share a doc_id keep their own sets; a null doc_id is the smallest of a component only where all are null.  Other columns
 are not read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cueflow.llm.blocks import REPLY, BlockWords, PACKED, by_block, by_part, dealt, packed, ranges, read, replies, with_replies
+from cueflow.llm.blocks import PACKED, BlockWords, ask, by_block, dealt, exchange, heard, with_replies
 from cueflow.llm.components import components
 from cueflow.llm.shared import materialise
+from cueflow.llm.words import mix
 
 SHINGLE, SAMPLE = 5, 0.4
 #: Two sets up to the first size are compared by all their shingles, other pairs by their samples.  Up to the second, as large as a
 #: partner of those can be, all are counted; from the third on, as small as a partner of larger ones, a set also has a prefix of its sample.
 SHORT, COUNTED, JOINT = 400, 500, 320
-GROUP_BYTES = 48_000_000
-FOUND = "doc_id long, n_shingles long, node long, block int, bare boolean, prefix array<long>, tokens binary"
+#: Sets that meet by their smallest shingle, at most; and what a task compares with itself at once, or piece with piece.
+MEET, MEET_BYTES = 256, 8_000_000
+GROUP_ROWS, GROUP_BYTES = 4096, 16_000_000
+FOUND = "n_shingles long, node long, block long, bare boolean, prefix array<long>, low long, other_low long, tokens binary, levels binary"
 
 
 def shingle_sets(table: pa.Table) -> list[np.ndarray]:
@@ -83,17 +90,6 @@ def counted(sets: list[np.ndarray], first: dict[int, int], share: float) -> tupl
     return np.unique(np.concatenate([np.zeros(0, np.uint64), *every]), return_counts=True)
 
 
-def answer_levels(table: pa.Table) -> pa.Table:
-    """A byte a key: the whole part of the binary logarithm of how many sets have it."""
-    keys, counts = read(table, "a", np.uint64), read(table, "b", np.uint8)
-    distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-    total = np.bincount(inverse, np.concatenate(counts).astype(float), len(distinct))
-    level = np.log2(np.maximum(total, 1)).astype(np.uint8)[inverse]
-    cuts = np.cumsum([len(k) for k in keys])[:-1]
-    rows = zip(table["block"].to_pylist(), table["part"].to_pylist(), np.split(level, cuts))
-    return replies([(b, p, 1, v.tobytes(), None) for b, p, v in rows])
-
-
 class Trie:
     """A static path-compressed trie of sets, each a sorted array of ranks.
 
@@ -138,16 +134,22 @@ class Trie:
         return root
 
 
-def trie_links(sets: list[np.ndarray]) -> list[tuple[int, int]]:
-    """Links that join the same sets together as all links would: a set that is linked with all of a subtree already skips it.
+def trie_links(sets: list[np.ndarray], levels: list[np.ndarray] | None = None, labels: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Links that join the same sets together as all links would, beyond what labels join: a set that has one label with all of a subtree skips it.
 
-    Linked: 100 * intersection >= 80 * union, that is 9 * intersection >= 4 * (size + size).
+    ``levels`` has the frequency, as a logarithm, of each set's sampled shingles, which come first.  Linked: 100 * intersection >= 80 * union, that is 9 *
+    intersection >= 4 * (size + size).
     """
-    every, counts = np.unique(np.concatenate(sets), return_counts=True)
+    every, at = np.unique(np.concatenate(sets), return_index=True)
+    level = np.concatenate([x for s, own in zip(sets, levels) for x in (own.astype(np.int16), np.full(len(s) - len(own), -1, np.int16))])[at] if levels else np.zeros(len(every), np.int16)
     rank = np.empty(len(every), np.int32)
-    rank[np.lexsort([every, -counts])] = np.arange(len(every))
+    rank[np.lexsort([every, -level])] = np.arange(len(every))
     ranked = [np.sort(rank[np.searchsorted(every, s)]) for s in sets]
-    root, label, links = Trie.build(ranked), np.arange(len(sets)), []
+    root, links = Trie.build(ranked), []
+    label = np.arange(len(sets)) if labels is None else np.unique(labels, return_inverse=True)[1]
+    members: dict[int, list[int]] = {}
+    for x, own in enumerate(label.tolist()):
+        members.setdefault(own, []).append(x)
     has = np.zeros(len(every), np.int8)
     for x in sorted(range(len(sets)), key=lambda m: len(ranked[m])):
         own = ranked[x]
@@ -156,7 +158,9 @@ def trie_links(sets: list[np.ndarray]) -> list[tuple[int, int]]:
 
         def link(y: int) -> None:
             links.append((x, y))
-            label[label == label[y]] = label[x]
+            few, many = sorted((int(label[x]), int(label[y])), key=lambda k: len(members[k]))
+            label[members[few]] = many  # the fewer change, so each changes as often as a logarithm of all
+            members[many] += members.pop(few)
 
         todo = [(root, 0)]
         while todo:
@@ -185,39 +189,76 @@ def trie_links(sets: list[np.ndarray]) -> list[tuple[int, int]]:
     return links
 
 
+def links_table(found: list[tuple[int, int]]) -> pa.Table:
+    return pa.table([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], ["a", "b"])
+
+
 def linked(table: pa.Table) -> pa.Table:
     """Links (a, b) between the classes of the groups of one task."""
-    groups, nodes, tokens = table["root"].to_numpy(), table["node"].to_numpy(), table["tokens"]
+    groups, nodes, labels = (table[c].to_numpy() for c in ("root", "node", "label"))
     order = np.argsort(groups, kind="stable")
-    cuts = np.flatnonzero(np.diff(groups[order])) + 1
     out = []
-    for own in np.split(order, cuts):
+    for own in np.split(order, np.flatnonzero(np.diff(groups[order])) + 1):
         if len(own) > 1:
-            sets = [np.frombuffer(tokens[int(i)].as_py(), np.uint64) for i in own]
-            out += [(int(nodes[own[i]]), int(nodes[own[j]])) for i, j in trie_links(sets)]
-    return pa.table([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], ["a", "b"])
+            sets, levels = ([np.frombuffer(table[c][int(i)].as_py(), kind) for i in own] for c, kind in (("tokens", np.uint64), ("levels", np.uint8)))
+            out += [(int(nodes[own[i]]), int(nodes[own[j]])) for i, j in trie_links(sets, levels, labels[own])]
+    return links_table(out)
+
+
+def meetings(sets: DataFrame, key: str, seed: int) -> DataFrame:
+    """Links (a, b) between classes with the same ``key`` that come to stand within ``MEET`` of each other, in a random order.
+
+    Sorted by range of key and salt, a key of very many sets spans as many partitions as it needs.
+    """
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, size, out = None, [], 0, []
+
+        def flush() -> None:
+            if len(held) > 1:
+                found = trie_links([np.frombuffer(t, np.uint64) for _, t, _ in held], [np.frombuffer(v, np.uint8) for _, _, v in held])
+                out.extend((held[i][0], held[j][0]) for i, j in found)
+
+        for batch in batches:
+            keys, nodes, tokens, levels = batch.column(0).to_numpy(), batch.column(2).to_numpy(), batch.column(3), batch.column(4)
+            cuts = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]]).tolist() if len(keys) else []
+            for first, last in pairwise(cuts):
+                if keys[first] != now:
+                    flush()
+                    now, held, size = keys[first], [], 0
+                for k in range(first, last):
+                    own = tokens[k].as_py()
+                    if len(held) >= MEET or held and size + len(own) > MEET_BYTES:
+                        flush()
+                        held, size = [], 0
+                    held.append((int(nodes[k]), own, levels[k].as_py()))
+                    size += len(own)
+            yield from links_table(out).to_batches()
+            out = []
+        flush()
+        yield from links_table(out).to_batches()
+
+    rows = sets.select(F.col(key).alias("key"), F.xxhash64(F.lit(seed), "node").alias("salt"), "node", "tokens", "levels")
+    return rows.repartitionByRange("key", "salt").sortWithinPartitions("key", "salt").mapInArrow(meet, "a long, b long")
 
 
 def sift(docs: DataFrame, share: float) -> DataFrame:
-    """Steps 1 and 2: all documents with their class, and, once a block, the prefixes and sets of the classes that may have a link."""
-    blocks, parts = dealt(docs)
+    """Step 1: all documents with their class, and, once a block, the prefixes and sets of the classes that may have a link."""
+    deal = dealt(docs)
+    bits = deal.bits(2 * share * deal.total)  # a hash and a count for each word of six bytes
+    below = 2**64 - 1 if share >= 1 else int(share * 2**64)
 
     def send(block: int, table: pa.Table) -> pa.Table:
         sets, _, first = classes(table)
         keys, counts = counted(sets, first, share)
-        counts = np.minimum(counts, 255).astype(np.uint8)
-        return packed([(p, block, keys[i:j].tobytes(), counts[i:j].tobytes(), None) for p, i, j in ranges(keys, parts)])
+        return ask(block, keys, bits, counts)
 
     def keep(block: int, table: pa.Table, back: pa.Table) -> pa.Table:
         sets, names, first = classes(table)
         keys, _ = counted(sets, first, share)
-        level = np.zeros(len(keys), np.uint8)
-        own = dict(zip(back["part"].to_pylist(), back["a"].to_pylist()))
-        for p, i, j in ranges(keys, parts):
-            level[i:j] = np.frombuffer(own[p], np.uint8)
+        level = heard(back, 1, keys, bits)
         n = len(sets)
-        prefix: list = [None] * n
-        tokens: list = [None] * n
+        prefix, tokens, levels, lows, others = ([None] * n for _ in range(5))
         bare = np.zeros(n, bool)
         for i in first.values():
             size, lacks, shared = len(sets[i]), len(sets[i]) // 5, []
@@ -229,35 +270,52 @@ def sift(docs: DataFrame, share: float) -> DataFrame:
                     shared.append(part[order][its[order] > 0])
             if sum(map(len, shared)):
                 prefix[i], tokens[i] = np.unique(np.concatenate(shared)).view(np.int64), sets[i].tobytes()
+                own = sets[i][: np.searchsorted(sets[i], np.uint64(below))]
+                levels[i] = level[np.searchsorted(keys, own)].tobytes()
+                lows[i], others[i] = int(sets[i][:1].view(np.int64)[0]), int(mix(sets[i].copy()).min().view(np.int64))
         node = pa.array(names, pa.int64(), mask=np.array([not len(s) for s in sets], bool))
-        columns = [table["doc_id"], pa.array([len(s) for s in sets], pa.int64()), node, table["block"], pa.array(bare), pa.array(prefix, pa.list_(pa.int64())), pa.array(tokens, pa.binary())]
-        return pa.table(columns, ["doc_id", "n_shingles", "node", "block", "bare", "prefix", "tokens"])
+        columns = [
+            table["doc_id"], pa.array([len(s) for s in sets], pa.int64()), node, table["block"], pa.array(bare), pa.array(prefix, pa.list_(pa.int64())),
+            pa.array(lows, pa.int64()), pa.array(others, pa.int64()), pa.array(tokens, pa.binary()), pa.array(levels, pa.binary()),
+        ]
+        return pa.table(columns, ["doc_id", *(f.split()[0] for f in FOUND.split(", "))])
 
-    levels = by_part(by_block(blocks, send, PACKED), answer_levels, REPLY)
-    return materialise(with_replies(blocks, levels, keep, FOUND), "sets")
+    answers = exchange(by_block(deal.frame, send, PACKED), bits, lambda total, first: np.log2(total))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return materialise(with_replies(deal.frame, answers, keep, f"doc_id {kind}, {FOUND}"), "sets")
 
 
 def link_groups(found: DataFrame) -> DataFrame:
-    """Step 3: links (a, b) between classes."""
+    """Steps 2 to 4: links (a, b) between classes."""
     named = found.filter("tokens IS NOT NULL")
     own = named.groupBy("node").agg(F.min("block").alias("block"))
     each = named.join(own, ["node", "block"], "left_semi")
-    postings = each.select("node", F.explode("prefix").alias("token"))
-    hubs = postings.groupBy("token").agg(F.min("node").alias("hub"), F.max("node").alias("top")).filter("hub != top").drop("top")
-    groups = components(postings.join(hubs, "token").select(F.col("node").alias("a"), F.col("hub").alias("b")))
+    labels = materialise(components(meetings(each, "low", 1).unionByName(meetings(each, "other_low", 2))), "labels")
+    label = F.coalesce("label", "node").alias("label")
+    known = labels.select("node", F.col("root").alias("label"))
+    postings = each.select("node", "n_shingles", "prefix").join(known, "node", "left").select("node", label, "n_shingles", F.explode("prefix").alias("token"))
+    several = F.min("label") < F.max("label")
+    mixed = materialise(postings.groupBy("token").agg(several.alias("several")).filter("several").select("token"), "mixed")
+    band = F.floor(F.log(F.col("n_shingles").cast("double")) / F.log(F.lit(1.25)) + 1e-9).cast("int")
+    banded = postings.join(mixed, "token", "left_semi").select("node", "label", "token", F.explode(F.array(band, band + 1)).alias("band"))
+    banded = materialise(banded, "postings")
+    hubs = materialise(banded.groupBy("token", "band").agg(F.min("node").alias("hub"), several.alias("several")).filter("several").drop("several"), "hubs")
+    groups = components(banded.join(hubs, ["token", "band"]).select(F.col("node").alias("a"), F.col("hub").alias("b")))
     groups = groups.unionByName(groups.select(F.col("root").alias("node"), "root").distinct())
     placed = materialise(groups, "groups")
-    sized = each.select("node", F.octet_length("tokens").alias("bytes")).join(placed, "node").groupBy("root").agg(F.sum("bytes").alias("bytes"))
-    pieces = F.ceil(F.col("bytes") / F.lit(float(GROUP_BYTES))).cast("int")
+    sized = each.select("node", F.octet_length("tokens").alias("bytes")).join(placed, "node").groupBy("root").agg(F.sum("bytes").alias("bytes"), F.count("*").alias("rows"))
+    pieces = F.ceil(F.greatest(F.col("bytes") / F.lit(float(GROUP_BYTES)), F.col("rows") / F.lit(float(GROUP_ROWS)))).cast("int")
     sized = materialise(sized.select("root", "bytes", pieces.alias("pieces")), "group_sizes")
     total = sized.agg(F.sum("bytes")).first()[0] or 0
     tasks = max(4 * int(found.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // (GROUP_BYTES // 4))
-    dealt_to = each.select("node", "tokens").join(placed.join(sized.drop("bytes"), "root"), "node")
+    where = materialise(placed.join(sized.drop("bytes"), "root"), "places").join(known, "node", "left").select("node", "root", "pieces", label)
+    dealt_to = each.select("node", "tokens", "levels").join(where, "node")
     mine = F.pmod(F.hash("node"), F.col("pieces"))
     task = F.when(F.col("pieces") == 1, F.array(F.pmod(F.hash("root"), F.lit(tasks)).cast("long"))).otherwise(
         F.transform(F.sequence(F.lit(0), F.col("pieces") - 1), lambda k: F.xxhash64("root", F.least(k, mine), F.greatest(k, mine)))
     )
-    return dealt_to.select("root", "node", "tokens", F.explode(task).alias("task")).groupBy("task").applyInArrow(linked, "a long, b long")
+    exact = dealt_to.select("root", "node", "label", "tokens", "levels", F.explode(task).alias("task")).groupBy("task").applyInArrow(linked, "a long, b long")
+    return exact.unionByName(labels.select(F.col("node").alias("a"), F.col("root").alias("b")))
 
 
 def rooted(docs: DataFrame) -> DataFrame:
@@ -265,15 +323,19 @@ def rooted(docs: DataFrame) -> DataFrame:
     found = sift(docs, SAMPLE)
     if not found.filter("bare").isEmpty():  # with whole sets no sample is too small
         found = sift(docs, 1.0)
-    roots = components(link_groups(found))
+    roots = materialise(components(link_groups(found)), "roots")
     own = found.select("doc_id", "n_shingles", "node", "block").join(roots, "node", "left")
     return own.withColumn("root", F.coalesce("root", "node"))
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id."""
+    """Per document: doc_id, n_shingles, component_id.
+
+    The smallest ids are a table of their own, without those of single documents, so that Spark can split a component of very many when it joins them.
+    """
     own = rooted(docs)
-    least = own.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    least = own.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("rows"))
+    least = materialise(least.filter("rows > 1").drop("rows"), "least")
     return own.join(least, "root", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
@@ -282,7 +344,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node", "block")).alias("first")
     stay = rooted(docs).filter("root IS NOT NULL").groupBy("root").agg(first).select("first.doc_id", "first.node", "first.block")
     carry = [c for c in docs.columns if c not in ("doc_id", "text")]
-    blocks, _ = dealt(docs, carry)
+    blocks = dealt(docs, carry).frame
     more = ["carried"] if carry else []
 
     def keep(block: int, table: pa.Table, back: pa.Table) -> pa.Table:
@@ -295,6 +357,6 @@ def one_of_each(docs: DataFrame) -> DataFrame:
                 rows.append(i)
         return table.select(["doc_id", "text", *more]).take(pa.array(rows, pa.int64()))
 
-    schema = "doc_id long, text string" + "".join(f", {c} {blocks.schema[c].dataType.simpleString()}" for c in more)
+    schema = ", ".join(f"{c} {blocks.schema[c].dataType.simpleString()}" for c in ("doc_id", "text", *more))
     kept = with_replies(blocks, stay, keep, schema)
     return kept.select(*(F.col("carried")[c].alias(c) if c in carry else c for c in docs.columns))

@@ -20,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cueflow.llm.shared import materialise
+from cueflow.llm.shared import materialise, ranked
 
 #: Documents that meet in one group, on average.
 GROUP = 64
@@ -35,18 +35,6 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def ranked(sources: DataFrame) -> DataFrame:
-    """Adds ``rank``, from 0, by source in code point order with null last, without bringing all rows together."""
-    placed = materialise(sources.orderBy(F.asc_nulls_last("source")).withColumn("place", F.monotonically_increasing_id()), "sources")
-    part = F.shiftright("place", 33)
-    sizes = placed.groupBy(part.alias("part")).agg(F.count("*").alias("rows"))  # a row for each partition
-    before = sizes.agg(F.array_sort(F.collect_list(F.struct("part", "rows"))).alias("all")).select(
-        F.explode(F.transform("all", lambda x: F.struct(x["part"].alias("part"), F.aggregate(F.filter("all", lambda y: y["part"] < x["part"]), F.lit(0).cast("long"), lambda s, y: s + y["rows"]).alias("before")))).alias("x")
-    )
-    joined = placed.withColumn("part", part).join(before.select("x.part", "x.before"), "part")
-    return joined.withColumn("rank", F.col("before") + F.col("place").bitwiseAND(F.lit((1 << 33) - 1))).drop("part", "place", "before")
-
-
 def source_targets(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOST) -> DataFrame:
     """Per source: source_size, documents (with words) and target.
 
@@ -56,7 +44,7 @@ def source_targets(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, most:
     totals = sized.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size"), F.sum(F.when(F.col("size") > 0, F.col("rows")).otherwise(0)).alias("documents"))
     at = F.col("rank") % len(weights)
     weight = F.element_at(F.array(*map(F.lit, weights)), (at + 1).cast("int"))
-    sources = materialise(ranked(totals).withColumn("weight", weight).drop("rank"), "weights")
+    sources = materialise(ranked(totals, "source").withColumn("weight", weight).drop("rank"), "weights")
     limit = F.col("source_size") * F.lit(most)
     level, held = 0.0, -1
     total = sources.agg(F.sum("source_size")).first()[0] or 0

@@ -6,9 +6,9 @@ is one of two members of the cover, two equal windows anywhere have some offset
 position, and the anchor there lies within the windows.  So a window none of whose anchors repeats cannot repeat, and less than a third of the
 positions are exchanged.  The other windows extend their anchors to the full 20 words and are compared whole; the first of equals stays.
 
-Words are ``[^\\x20\\x09-\\x0D]+``, unchanged.  A null or empty text has no words.  Rows that share a doc_id count as in the order
-of their texts, and a null doc_id comes last.  Other columns are not read; an empty table gives an empty result.  A task holds
-one block of documents (about 6 MB, or one longer text), whatever repeats in it.
+Words are ``[^\\x20\\x09-\\x0D]+``, unchanged.  A null or empty text has no words.  Ids may be numbers or strings, which are ranked first.  Rows that share
+a doc_id, or have none and so come last, are spread like any others; they count as in the order of their blocks, and within a block of their texts, which reruns repeat.
+Other columns are not read; an empty table gives an empty result.  A task holds one block of documents (about 6 MB, or one longer text), whatever repeats in it.
 """
 
 from __future__ import annotations
@@ -18,17 +18,17 @@ from itertools import compress
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from cueflow.llm.blocks import (
-    PACKED, REPLY, BlockWords, answer_repeated, by_block, by_part, dealt, heard, ordered, packed, ranges, read, replies, send_keys, with_replies,
-)
+from cueflow.llm.blocks import PACKED, BlockWords, ask, by_block, dealt, exchange, heard, ordered, with_replies
+from cueflow.llm.shared import ranked
 from cueflow.llm.words import text_buffers
 
 #: Words in a window, and the cover's period and members; the anchor is as long as any offset leaves within a window.
 WINDOW, PERIOD, COVER = 20, 13, (0, 1, 3, 9)
 ANCHOR = WINDOW - PERIOD + 1
 _LAST = np.int64(2**63 - 1)
-OUT = "doc_id long, n_words long, n_removed long, kept_text string"
+OUT = "n_words long, n_removed long, kept_text string"
 
 
 def anchors(words: BlockWords) -> tuple[np.ndarray, np.ndarray]:
@@ -40,12 +40,12 @@ def anchors(words: BlockWords) -> tuple[np.ndarray, np.ndarray]:
     return at, code[at]
 
 
-def candidates(words: BlockWords, back: pa.Table, parts: int) -> tuple[np.ndarray, np.ndarray]:
+def candidates(words: BlockWords, back: pa.Table, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions of the windows that hold a repeated anchor, and their hashes."""
     at, code = anchors(words)
     distinct, inverse = np.unique(code, return_inverse=True)
     repeated = np.zeros(len(words.hashes) + 1, np.int64)
-    repeated[1:][at] = heard(back, 1, distinct, parts)[inverse]
+    repeated[1:][at] = heard(back, 1, distinct, bits)[inverse]
     total = np.cumsum(repeated)
     whole, fits = words.windows(words.hashes, WINDOW)
     starts = np.flatnonzero(fits)
@@ -53,48 +53,38 @@ def candidates(words: BlockWords, back: pa.Table, parts: int) -> tuple[np.ndarra
     return starts, whole[starts]
 
 
-def ids(table: pa.Table) -> np.ndarray:
-    return table["doc_id"].fill_null(int(_LAST)).to_numpy()
-
-
-def answer_first(table: pa.Table) -> pa.Table:
-    """One bit a key: whether a smaller doc_id has it in another block."""
-    keys, docs = read(table, "a", np.uint64), read(table, "b", np.int64)
-    every, owner = np.concatenate(keys), np.concatenate(docs)
-    order = np.lexsort([owner, every])
-    every, owner = every[order], owner[order]
-    new = np.ones(len(every), bool)
-    new[1:] = every[1:] != every[:-1]
-    first = np.flatnonzero(new)
-    later = owner != np.repeat(owner[first], np.diff(np.append(first, len(every))))
-    flags = np.empty(len(every), bool)
-    flags[order] = later
-    cuts = np.cumsum([len(k) for k in keys])[:-1]
-    rows = zip(table["block"].to_pylist(), table["part"].to_pylist(), np.split(flags, cuts))
-    return replies([(b, p, 2, np.packbits(f).tobytes(), None) for b, p, f in rows])
+def placed(docs: DataFrame) -> DataFrame:
+    """Adds ``_place``: a whole number in the order of doc_id; null for null, which comes last."""
+    if docs.schema["doc_id"].dataType.typeName() in ("byte", "short", "integer", "long"):
+        return docs.select("doc_id", "text", F.col("doc_id").cast("long").alias("_place"))
+    ranks = ranked(docs.select(F.col("doc_id").alias("_id")).filter("_id IS NOT NULL").distinct(), "_id")
+    return docs.select("doc_id", "text").join(ranks, F.col("doc_id") == F.col("_id"), "left").select("doc_id", "text", F.col("rank").alias("_place"))
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_words, n_removed, kept_text (the words left, joined by one space)."""
-    blocks, parts = dealt(docs)
+    deal = dealt(placed(docs), place="_place")
+    blocks = deal.frame
+    # of an anchor, its hash for about a third of the words of six bytes each; of a window, hash and owner
+    bits, window_bits = deal.bits(0.4 * deal.total), deal.bits(deal.total)
 
     def send_anchors(block: int, table: pa.Table) -> pa.Table:
-        return send_keys(block, parts, anchors(BlockWords(ordered(table)))[1])
+        return ask(block, anchors(BlockWords(table))[1], bits)
 
     def send_windows(block: int, table: pa.Table, back: pa.Table) -> pa.Table:
-        table = ordered(table)
+        table = ordered(table, "place")
         words = BlockWords(table)
-        starts, code = candidates(words, back, parts)
-        distinct, first = np.unique(code, return_index=True)
-        owner = ids(table)[words.doc[starts[first]]] if len(first) else np.zeros(0, np.int64)
-        return packed([(p, block, distinct[i:j].tobytes(), owner[i:j].tobytes(), None) for p, i, j in ranges(distinct, parts)])
+        starts, code = candidates(words, back, bits)
+        distinct, first, counts = np.unique(code, return_index=True, return_counts=True)
+        place = table["place"].fill_null(int(_LAST)).to_numpy()
+        return ask(block, distinct, window_bits, counts, place[words.doc[starts[first]]])
 
     def cut(block: int, table: pa.Table, back: pa.Table) -> pa.Table:
-        table = ordered(table)
+        table = ordered(table, "place")
         words = BlockWords(table)
-        starts, code = candidates(words, back, parts)
+        starts, code = candidates(words, back, bits)
         distinct, first, inverse = np.unique(code, return_index=True, return_inverse=True)
-        goes = heard(back, 2, distinct, parts)[inverse] | (first[inverse] != np.arange(len(starts)))
+        goes = (heard(back, 2, distinct, window_bits) > 0)[inverse] | (first[inverse] != np.arange(len(starts)))
         depth = np.zeros(len(words.hashes) + 1, np.int64)
         np.add.at(depth, starts[goes], 1)
         np.add.at(depth, starts[goes] + WINDOW, -1)
@@ -108,6 +98,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             kept.append(b" ".join(compress(own, stays[words.at[i] : words.at[i + 1]].tolist()) if removed[i] else own))
         return pa.table([table["doc_id"], pa.array(words.counts), pa.array(removed), pa.array(kept, pa.binary()).cast(pa.string())], ["doc_id", "n_words", "n_removed", "kept_text"])
 
-    repeated = by_part(by_block(blocks, send_anchors, PACKED), answer_repeated)
-    earlier = by_part(with_replies(blocks, repeated, send_windows, PACKED), answer_first, REPLY)
-    return with_replies(blocks, repeated.unionByName(earlier), cut, OUT)
+    repeated = exchange(by_block(blocks, send_anchors, PACKED), bits, lambda total, first: total > 1)
+    later = exchange(with_replies(blocks, repeated, send_windows, PACKED), window_bits, lambda total, first: ~first, kind=2)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return with_replies(blocks, repeated.unionByName(later), cut, f"doc_id {kind}, {OUT}")

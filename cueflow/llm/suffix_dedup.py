@@ -8,12 +8,13 @@ prefixes gives the tree of intervals, and in each interval the occurrences are o
 backwards: where neighbours differ, the common left extension ends.  So each interval yields its maximal repeats with all occurrences, and a repeat
 of 200 bytes or more covers its bytes in every one of them.
 
-Contexts that are equal within a block of documents are sent once, so copies add one context a block.  An anchor with more than ``HOT``
-occurrences, as in a passage that very many documents share, would still bring all their contexts to one task.  Its windows are exchanged
-one by one instead, as hashes of their 200 bytes, which spread over all tasks; equal windows have the same anchor, so each is judged in one way
-or the other.  Texts are UTF-8
-bytes; a null text is empty; matches never cross rows; rows that share a doc_id are separate texts; repeated rows repeat every string of theirs.  Other
-columns are not read; an empty table gives an empty result.  A task holds one block (about 6 MB, or one longer text) or the contexts of one
+A context that is found twice repeats as far as it goes, so of all equal contexts, wherever they are, one goes into the tree, and only for the sake of those
+that are like it but not equal; copies and shared passages cost an anchor's two hashes each.  An anchor with more than ``HOT``
+occurrences may still have more different contexts than a task should hold.  Their parts are split by a further hash of the bytes on either side
+down to the tree's nodes of 200 bytes: each window of such an anchor is a node, named by its hash, and repeats if the node has two members, which the block exchange adds up.
+Equal windows have the same anchor, so each is judged in one way or the other, and the union of the nodes of 200 bytes is that of all maximal repeats.
+Texts are UTF-8 bytes; a null text is empty; matches never cross rows; ids may be of any type; rows that share a doc_id, or have none, are separate texts; repeated rows repeat
+every string of theirs.  Other columns are not read; an empty table gives an empty result.  A task holds one block (about 6 MB, or one longer text) or the contexts of one
 part of the hash space.
 """
 
@@ -23,24 +24,24 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from cueflow.llm.blocks import (
-    PACKED, REPLY, answer_repeated, by_block, by_part, dealt, heard, ordered, packed, ranges, read, replies, send_keys, with_replies,
-)
+from cueflow.llm.blocks import PACKED, REPLY, ask, by_block, by_part, dealt, exchange, heard, ordered, packed, ranges, replies, with_replies
+from cueflow.llm.shared import materialise
 from cueflow.llm.words import Prefix, mix, pieces, text_buffers
 
 LENGTH, GRAM = 200, 50
 BEFORE = LENGTH - GRAM
-#: Occurrences of an anchor from which on its windows are compared one by one.
+#: Occurrences of an anchor from which on its parts are split down to single windows.
 HOT = 10_000
 _SLICE = 1 << 20
 _PLACE = np.uint64((1 << 24) - 1)
-_ODD_KEY = np.uint64(0x5851F42D4C957F2D)
+_ODD_KEY, _ODD_CODE = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
+#: What a block hears of a key or a context: it repeats; this block has it first; it is hot.
+REPEATS, FIRST, IS_HOT = np.uint8(1), np.uint8(2), np.uint8(4)
 CONTEXT = np.dtype([("key", np.uint64), ("left", np.uint16), ("right", np.uint16)])
 MARK = np.dtype([("which", np.uint32), ("left", np.uint16), ("right", np.uint16)])
-OUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
+OUT = "n_bytes long, n_removed long, n_spans long, kept binary"
 
 
 def smallest(values: np.ndarray, width: int) -> np.ndarray:
@@ -99,31 +100,27 @@ class Anchors:
         self.left = np.minimum(BEFORE, self.place - self.bounds[self.doc])
         self.right = np.minimum(LENGTH, self.bounds[self.doc + 1] - self.place)
 
-    def asked(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The distinct keys, how often each occurs, and which each anchor has."""
-        distinct, inverse, counts = np.unique(self.key, return_inverse=True, return_counts=True)
-        return distinct, counts, inverse
-
-    def kinds(self, back: pa.Table, parts: int) -> np.ndarray:
-        """Of each anchor: 0 if it is alone, 1 if it repeats, 2 if it is hot."""
-        distinct, _, inverse = self.asked()
-        kind = np.zeros(len(distinct), np.uint8)
-        own = {p: v for p, k, v in zip(back["part"].to_pylist(), back["kind"].to_pylist(), back["a"].to_pylist()) if k == 1}
-        for p, i, j in ranges(distinct, parts):
-            kind[i:j] = np.frombuffer(own[p], np.uint8)
-        return kind[inverse]
-
-    def contexts(self, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of the anchors that repeat: their numbers, the first of each distinct context, by key, and which context each has."""
-        use = np.flatnonzero(kinds == 1)
-        order = use[np.lexsort([self.code[use], self.key[use]])]
+    def asked(self) -> np.ndarray:
+        """The keys, then the hashes of the whole contexts."""
+        return np.concatenate([self.key, mix(self.code ^ self.key ^ _ODD_CODE)])
+
+    def hear(self, back: pa.Table, bits: int) -> None:
+        """Sets which anchors' contexts are ``whole`` repeats, which go into the ``tree``, and which are ``hot`` and go by windows."""
+        distinct, inverse = np.unique(self.asked(), return_inverse=True)
+        of_key, of_context = np.split(heard(back, 1, distinct, bits)[inverse], 2)
+        self.whole = of_context & REPEATS > 0
+        sent = (of_key & REPEATS > 0) & (of_context & FIRST > 0)
+        self.hot = np.flatnonzero(sent & (of_key & IS_HOT > 0))
+        tree = np.flatnonzero(sent & (of_key & IS_HOT == 0))
+        # a first context that its block has twice is sent once
+        order = tree[np.lexsort([self.code[tree], self.key[tree]])]
         new = np.ones(len(order), bool)
         new[1:] = (self.key[order[1:]] != self.key[order[:-1]]) | (self.code[order[1:]] != self.code[order[:-1]])
-        return order, order[new], np.cumsum(new) - 1
+        self.tree = order[new]
 
-    def windows(self, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def windows(self) -> tuple[np.ndarray, np.ndarray]:
         """Starts and hashes of the windows of hot anchors."""
-        use = np.flatnonzero(kinds == 2)
+        use = self.hot
         starts, codes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
         for low in range(0, len(use), 20_000):
             some = use[low : low + 20_000]
@@ -215,28 +212,6 @@ def repeats_around(right_rows: np.ndarray, left_rows: np.ndarray, right: np.ndar
         yield resolve()
 
 
-def answer_counts(table: pa.Table, hot: int) -> pa.Table:
-    """A byte a key: whether it is alone (0), repeats (1), or is hot (2)."""
-    keys, counts = read(table, "a", np.uint64), read(table, "b", np.uint32)
-    distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-    total = np.bincount(inverse, np.concatenate(counts).astype(float), len(distinct))
-    kind = ((total > 1).astype(np.uint8) + (total > hot))[inverse]
-    cuts = np.cumsum([len(k) for k in keys])[:-1]
-    rows = zip(table["block"].to_pylist(), table["part"].to_pylist(), np.split(kind, cuts))
-    return replies([(b, p, 1, v.tobytes(), None) for b, p, v in rows])
-
-
-def answer_both(table: pa.Table) -> pa.Table:
-    """Answers to a part's contexts and to its windows of hot anchors, which have a third column."""
-    hot = pc.is_valid(table["c"])
-    own, rest = table.filter(hot), table.filter(pc.invert(hot))
-    answers = [answer_repeats(rest)] if rest.num_rows else []
-    if own.num_rows:
-        found = answer_repeated(own)
-        answers.append(found.set_column(2, "kind", pa.array([3] * found.num_rows, pa.int32())))
-    return pa.concat_tables(answers)
-
-
 def answer_repeats(table: pa.Table) -> pa.Table:
     """For each block, which of its contexts repeat, and how far to either side."""
     heads = [np.frombuffer(v, CONTEXT) for v in table["a"].to_pylist()]
@@ -273,52 +248,49 @@ def remove_long_repeats(docs: DataFrame, carry: Sequence[str] = (), as_text: boo
 
     ``as_text``: kept is a string, without the characters that a removal cut in two.
     """
-    blocks, parts = dealt(docs, carry)
-    more = ["carried"] if carry else []
-    out = OUT.replace("binary", "string" if as_text else "binary") + "".join(f", {c} {blocks.schema[c].dataType.simpleString()}" for c in more)
+    deal = dealt(docs, carry)
+    blocks, more = deal.frame, ["carried"] if carry else []
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    out = f"doc_id {kind}, {OUT.replace('binary', 'string') if as_text else OUT}" + "".join(f", {c} {blocks.schema[c].dataType.simpleString()}" for c in more)
+    # an anchor of about 75 bytes has two hashes, counts, and at most 350 bytes of context
+    bits, context_bits, window_bits = deal.bits(0.35 * deal.total), deal.bits(2.5 * deal.total), deal.bits(deal.total)
+
+    def verdict(total: np.ndarray, first: np.ndarray) -> np.ndarray:
+        return np.where(total > 1, REPEATS, 0) | np.where(first, FIRST, 0) | np.where(total > hot, IS_HOT, 0)
 
     def send_anchors(block: int, table: pa.Table) -> pa.Table:
-        keys, counts, _ = Anchors(table).asked()
-        return packed([(p, block, keys[i:j].tobytes(), counts[i:j].astype(np.uint32).tobytes(), None) for p, i, j in ranges(keys, parts)])
+        return ask(block, Anchors(table).asked(), bits)
 
     def send_contexts(block: int, table: pa.Table, back: pa.Table) -> pa.Table:
         anchors = Anchors(ordered(table))
-        kinds = anchors.kinds(back, parts)
-        _, first, _ = anchors.contexts(kinds)
+        anchors.hear(back, bits)
         rows = []
-        for p, i, j in ranges(anchors.key[first], parts):
+        for p, i, j in ranges(anchors.key[anchors.tree], context_bits):
+            own = anchors.tree[i:j]
             head = np.empty(j - i, CONTEXT)
-            head["key"], head["left"], head["right"] = anchors.key[first[i:j]], anchors.left[first[i:j]], anchors.right[first[i:j]]
-            rows.append((p, block, head.tobytes(), anchors.around(first[i:j]).tobytes(), None))
-        windows = send_keys(block, parts, anchors.windows(kinds)[1])
-        return pa.concat_tables([packed(rows), windows.set_column(4, "c", pa.array([b"hot"] * windows.num_rows, pa.binary()))])
+            head["key"], head["left"], head["right"] = anchors.key[own], anchors.left[own], anchors.right[own]
+            rows.append((p, block, head.tobytes(), anchors.around(own).tobytes(), b"tree"))
+        return pa.concat_tables([packed(rows), ask(block, anchors.windows()[1], window_bits)])
 
     def cut(block: int, table: pa.Table, back: pa.Table) -> pa.Table:
         table = ordered(table)
         anchors = Anchors(table)
-        kinds = anchors.kinds(back, parts)
-        order, first, context = anchors.contexts(kinds)
+        anchors.hear(back, bits)
         own = {p: v for p, k, v in zip(back["part"].to_pylist(), back["kind"].to_pylist(), back["a"].to_pylist()) if k == 2}
-        which, reach, deep = [], [], []
-        for p, i, j in ranges(anchors.key[first], parts):
+        whole = np.flatnonzero(anchors.whole)
+        which, reach, deep = [whole], [anchors.left[whole]], [anchors.right[whole]]
+        for p, i, j in ranges(anchors.key[anchors.tree], context_bits):
             mark = np.frombuffer(own[p], MARK)
-            which.append(mark["which"].astype(np.int64) + i)
+            which.append(anchors.tree[mark["which"].astype(np.int64) + i])
             reach.append(mark["left"].astype(np.int64))
             deep.append(mark["right"].astype(np.int64))
-        twice = np.flatnonzero(np.bincount(context, minlength=len(first)) > 1) if len(first) else np.zeros(0, np.int64)
-        which.append(twice)  # a context that the block holds twice repeats as far as it goes
-        reach.append(anchors.left[first[twice]])
-        deep.append(anchors.right[first[twice]])
         which, reach, deep = np.concatenate(which), np.concatenate(reach), np.concatenate(deep)
-        begin, end = np.searchsorted(context, which), np.searchsorted(context, which, side="right")
-        size = end - begin
-        place = anchors.place[order[np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]]
         depth = np.zeros(len(anchors.data) + 1, np.int32)
-        np.add.at(depth, place - np.repeat(reach, size), 1)
-        np.add.at(depth, place + np.repeat(deep, size), -1)
-        starts, codes = anchors.windows(kinds)
+        np.add.at(depth, anchors.place[which] - reach, 1)
+        np.add.at(depth, anchors.place[which] + deep, -1)
+        starts, codes = anchors.windows()
         distinct, inverse = np.unique(codes, return_inverse=True)
-        again = starts[heard(back, 3, distinct, parts)[inverse]]
+        again = starts[(heard(back, 3, distinct, window_bits) > 0)[inverse]]
         np.add.at(depth, again, 1)
         np.add.at(depth, again + LENGTH, -1)
         gone = np.zeros(len(anchors.data) + 1, bool)
@@ -337,6 +309,8 @@ def remove_long_repeats(docs: DataFrame, carry: Sequence[str] = (), as_text: boo
         columns = [table["doc_id"], pa.array(np.diff(anchors.bounds)), pa.array(removed), pa.array(spans), kept, *(table[c] for c in more)]
         return pa.table(columns, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", *more])
 
-    repeated = by_part(by_block(blocks, send_anchors, PACKED), lambda table: answer_counts(table, hot))
-    covered = by_part(with_replies(blocks, repeated, send_contexts, PACKED), answer_both, REPLY)
-    return with_replies(blocks, repeated.unionByName(covered), cut, out)
+    repeated = exchange(by_block(blocks, send_anchors, PACKED), bits, verdict)
+    sent = materialise(with_replies(blocks, repeated, send_contexts, PACKED), "contexts")
+    marks = by_part(sent.filter("c IS NOT NULL"), answer_repeats)
+    windows = exchange(sent.filter("c IS NULL"), window_bits, lambda total, first: total > 1, kind=3)
+    return with_replies(blocks, repeated.unionByName(marks).unionByName(windows), cut, out)

@@ -102,6 +102,7 @@ def components_of(texts):
 @pytest.mark.parametrize("group_bytes", [jaccard_join.GROUP_BYTES, 6_000])
 def test_jaccard_join(spark, monkeypatch, group_bytes):
     monkeypatch.setattr(jaccard_join, "GROUP_BYTES", group_bytes)  # the second cuts groups into pieces
+    monkeypatch.setattr(jaccard_join, "MEET", 2 if group_bytes == 6_000 else jaccard_join.MEET)
     texts = corpus(3)
     got = {r.doc_id: r for r in jaccard_components(table(spark, texts)).collect()}
     sets, roots = components_of(texts)
@@ -303,12 +304,101 @@ def test_empty_tables_and_null_columns(spark, make):
     assert found.count() in (2, 3)
 
 
-def test_blocks_hear_what_all_send():
+def asked(spark, blocks_, keys, bits, fan):
+    """Rows of blocks that each ask about some of the same keys."""
+    import numpy as np
+
+    def rows(batches):
+        for batch in batches:
+            for block in batch.column(0).to_pylist():
+                own = np.random.default_rng(block).choice(keys, keys // 2).astype(np.uint64)
+                yield from blocks.ask(block, own * np.uint64(0x9E3779B97F4A7C15), bits, fan=fan).to_batches()
+
+    return spark.range(blocks_).mapInArrow(rows, blocks.PACKED)
+
+
+@pytest.mark.parametrize(("fan", "bits"), [(11, 3), (2, 3), (2, 6)])
+def test_exchange_adds_up_over_relays(spark, fan, bits):
+    import numpy as np
+
+    keys, n = 40, 7
+    count, first = Counter(), {}
+    each = {b: np.random.default_rng(b).choice(keys, keys // 2) for b in range(n)}
+    for b, own in each.items():
+        count.update(own.tolist())
+        for k in own.tolist():
+            first.setdefault(k, b)
+    verdict = lambda total, mine: np.minimum(total, 100) + np.where(mine, 100, 0)
+    back = blocks.exchange(asked(spark, n, keys, bits, fan), bits, verdict, fan=fan).toArrow()
+    for b, own in each.items():
+        mine = back.filter(np.asarray(back["block"]) == b)
+        distinct = np.sort(np.unique(own).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        name = {int(np.uint64(k) * np.uint64(0x9E3779B97F4A7C15)): k for k in range(keys)}
+        said = blocks.heard(mine, 1, distinct, bits, fan)
+        assert {name[int(k)]: int(v) for k, v in zip(distinct, said)} == {k: count[k] + 100 * (first[k] == b) for k in set(own.tolist())}
+
+
+def test_exchanged_rows_grow_with_the_blocks(spark):
+    rows = {}
+    for n in (10, 1000):
+        bits = 4 + (n > 100) * 6  # parts grow with what is sent
+        rows[n] = asked(spark, n, 200, bits, 3).count()
+        assert rows[n] <= n * 8
+    assert rows[1000] <= 100 * rows[10] * 1.1
+
+
+def test_blocks_split_keys_by_their_leading_bits():
     import numpy as np
 
     keys = np.array([1, 5, 1 << 40, 1 << 63], dtype=np.uint64)
-    assert [(p, i, j) for p, i, j in blocks.ranges(keys, 4)] == [(0, 0, 3), (2, 3, 4)]
-    assert blocks.repeats(np.array([3, 1, 3, 3], dtype=np.uint64))[1].tolist() == [3]
+    assert list(blocks.ranges(keys, 2)) == [(0, 0, 3), (2, 3, 4)]
+
+
+@pytest.mark.parametrize("kind", ["string", "null", "repeated"])
+def test_ids_of_any_kind(spark, monkeypatch, kind):
+    """Strings as ids, no ids, and one id for all: the same as brute force, and rows are spread over blocks."""
+    texts = [t for t in corpus(13, 25) if t]
+    pick = random.Random(2)
+    ids = [f"id{pick.randrange(10**6)}é" if kind == "string" else None if kind == "null" else "5" for _ in texts]
+    docs = spark.createDataFrame(list(zip(ids, texts)), "doc_id string, text string")
+    if kind != "string":
+        docs = docs.withColumn("doc_id", F.col("doc_id").cast("int"))
+    deal = blocks.dealt(docs).frame
+    assert deal.select("block").distinct().count() == 4 and deal.schema["doc_id"].dataType == docs.schema["doc_id"].dataType
+    sets, roots = components_of(texts)
+    got = jaccard_components(docs).collect()
+    if kind == "string":
+        smallest = {r: min(ids[i] for i in range(len(texts)) if roots[i] == r) for r in roots}
+        assert {r.doc_id: r.component_id for r in got} == {d: smallest[r] for d, r in zip(ids, roots)}
+        assert len(one_of_each(docs).collect()) == len(set(roots))
+    assert sorted(r.n_shingles for r in got) == sorted(map(len, sets))
+    data = [t.encode() for t in texts]
+    count = Counter(b[k : k + 200] for b in data for k in range(len(b) - 199))
+    gone = []
+    for b in data:
+        hit = bytearray(len(b))
+        for k in range(len(b) - 199):
+            if count[b[k : k + 200]] > 1:
+                hit[k : k + 200] = b"\1" * 200
+        gone.append(sum(hit))
+    assert sorted(r.n_removed for r in remove_long_repeats(docs).collect()) == sorted(gone)
+    found = remove_repeats(docs).collect()
+    windows = Counter(tuple(w[k : k + 20]) for w in map(words, texts) for k in range(len(w) - 19))
+    assert len(found) == len(texts) and sum(r.n_removed > 0 for r in found) < len(texts)
+    if kind == "string":
+        seen, want = set(), {}
+        for d, t in sorted(zip(ids, texts)):
+            own = words(t)
+            stays = [True] * len(own)
+            for k in range(len(own) - 19):
+                if tuple(own[k : k + 20]) in seen:
+                    stays[k : k + 20] = [False] * 20
+                seen.add(tuple(own[k : k + 20]))
+            want[d] = stays.count(False)
+        assert {r.doc_id: r.n_removed for r in found} == want
+    else:  # each window stays once, wherever that is
+        kept = Counter(tuple(w[k : k + 20]) for w in (r.kept_text.encode().split() for r in found) for k in range(len(w) - 19))
+        assert max(kept[w] for w in windows if w in kept) == 1
 
 
 def test_toxicity_learns_from_spellings_of_one_text_each():
