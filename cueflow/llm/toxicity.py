@@ -2,17 +2,18 @@
 
 A word is the bag of its byte n-grams of 3 to 6, with marks at both ends, and of itself, each hashed to an embedding; its vector is their
 mean, a document's the mean over its distinct words and ``REST`` zero vectors, so a few words alone decide little (ASCII letters in
-lower case).  Embeddings and softmax are trained jointly in numpy by Adam (after Joulin et al.,
-2017), so an unseen misspelling shares most vectors with the word it comes from.  As the model is linear in the bag,
-scoring needs one number a bucket: the embedding's part in the difference of the two logits.
+lower case).  In these means a subword weighs as surely as the training rows tell its classes apart: the log ratio of its shares in both, times the root of
+how many rows have it, so the many subwords of one or two texts can't outweigh those that recur.  Embeddings and softmax are trained jointly in numpy, on all words of
+the rows, by Adam with a floor under each parameter's rate (after Joulin et al., 2017), so an unseen misspelling shares most vectors with the word it comes from.  As the model is linear in the bag,
+scoring needs one number a bucket: its weight times the embedding's part in the difference of the two logits.
 
 A null or empty text scores as its bias alone; without labelled rows of both classes all scores are 0.5; very long texts are read whole; repeated
-rows score alike; other columns are never read.
+rows score alike, and so do any that tie; a null id is learned from by no label; other columns are never read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,8 @@ from cueflow.llm.labelled import ROWS_PER_CLASS, labelled_sample, remainder
 from cueflow.llm.words import Piece, pieces
 
 BUCKETS, WIDTH, REST, CARE = 1 << 18, 4, 30, 1.25
+#: The least a parameter's gradient counts for in its rate, as a share of the largest; and bytes of text whose subwords are worked on at once.
+FLOOR, TRAIN_BYTES = 0.1, 250_000
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -57,87 +60,91 @@ def subwords(piece: Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     return np.concatenate(ids), np.concatenate(bags), back, len(size)
 
 
-def summed(index: np.ndarray, values: np.ndarray, of: np.ndarray, size: int) -> np.ndarray:
-    """The sum of ``values[of]`` by index, some at a time."""
-    out = np.zeros(size)
-    for low in range(0, len(index), 1_000_000):
-        s = slice(low, low + 1_000_000)
-        out += np.bincount(index[s], values[of[s]], size)
-    return out
-
-
-def training_words(texts: list[Piece]) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
-    """All words of the texts: (text, word) pairs, the words in order of their hashes; and how many distinct words each text has.
-
-    A word of one text counts too, as its parts are those of its other spellings.
-    """
-    docs, codes, sizes, base = [], [], [], 0
-    for piece in texts:
-        piece.words()
-        piece.data = _LOWER[piece.data]
-        owner, code = np.repeat(np.arange(piece.n), np.diff(piece.at)), piece.hashes()
-        order = np.lexsort([code, owner])
-        owner, code = owner[order], code[order]
-        new = np.ones(len(code), bool)
-        new[1:] = (code[1:] != code[:-1]) | (owner[1:] != owner[:-1])
-        docs.append(owner[new] + base)
-        codes.append(code[new])
-        sizes.append(np.bincount(owner[new], minlength=piece.n))
-        base += piece.n
-    doc, code = np.concatenate(docs), np.concatenate(codes)
-    known, word = np.unique(code, return_inverse=True)
-    word = word.astype(np.int32)
-    del code
-    spelled: list[bytes | None] = [None] * len(known)
-    for piece in texts:
-        own, index = np.unique(piece.hashes(), return_index=True)
-        for rank, k in zip(np.searchsorted(known, own).tolist(), index.tolist()):
-            if spelled[rank] is None:
-                spelled[rank] = piece.data[piece.start[k] : piece.end[k]].tobytes()
-    return doc, word, spelled, np.concatenate(sizes)
-
-
-def fit(texts: list[Piece], labels: np.ndarray, rounds: int = 120, rate: float = 0.5, decay: float = 1e-5) -> tuple[np.ndarray, float]:
+def bags_of(piece: Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The documents of a piece as bags of all their words: buckets, how much each is of the document's mean, and where each document begins."""
+    ids, bags, words, n = subwords(piece)
+    ids = ids[np.argsort(bags, kind="stable")]
+    size = np.bincount(bags, minlength=n)
+    key = np.unique(np.repeat(np.arange(piece.n), np.diff(piece.at)) * n + words)
+    doc, word = key // max(n, 1), key % max(n, 1)
+    own = size[word]
+    at = np.repeat((np.cumsum(size) - size)[word] - (np.cumsum(own) - own), own) + np.arange(int(own.sum()))
+    share = np.repeat(1 / (own * (np.bincount(doc, minlength=piece.n)[doc] + REST)), own)
+    found, inverse = np.unique(np.repeat(doc, own) * BUCKETS + ids[at], return_inverse=True)
+    return (found % BUCKETS).astype(np.int32), np.bincount(inverse, share, len(found)).astype(np.float32), np.searchsorted(found, np.arange(piece.n + 1) * BUCKETS)
+
+
+class Rows:
+    """The training rows as sparse rows of subwords, kept and multiplied a piece at a time."""
+
+    def __init__(self, texts: Iterable[Piece]):
+        self.parts, self.n = [], 0
+        for piece in texts:
+            ids, shares, at = bags_of(piece)
+            self.parts.append((slice(self.n, self.n + piece.n), ids, shares, np.diff(at)))
+            self.n += piece.n
+
+    def having(self, labels: np.ndarray) -> np.ndarray:
+        """How many rows of each class have a subword in each bucket."""
+        out = np.zeros((2, BUCKETS))
+        for rows, ids, _, sizes in self.parts:
+            own = np.repeat(labels[rows], sizes)
+            for k in (0, 1):
+                out[k] += np.bincount(ids[own == k], minlength=BUCKETS)
+        return out
+
+    def weigh(self, weight: np.ndarray) -> None:
+        for _, ids, shares, _ in self.parts:
+            shares *= weight[ids]
+
+    def forward(self, table: np.ndarray) -> np.ndarray:
+        out = np.empty((self.n, len(table)))
+        for rows, ids, shares, sizes in self.parts:
+            of = np.repeat(np.arange(len(sizes)), sizes)
+            for k, vector in enumerate(table):
+                out[rows, k] = np.bincount(of, vector[ids] * shares, len(sizes))
+        return out
+
+    def backward(self, error: np.ndarray) -> np.ndarray:
+        out = np.zeros((error.shape[1], BUCKETS))
+        for rows, ids, shares, sizes in self.parts:
+            for k in range(len(out)):
+                out[k] += np.bincount(ids, np.repeat(error[rows, k], sizes) * shares, BUCKETS)
+        return out
+
+
+def fit(texts: Iterable[Piece], labels: np.ndarray, rounds: int = 40, rate: float = 0.5, decay: float = 1e-5) -> tuple[np.ndarray, float]:
     """The part of each bucket in the difference of logits, and the bias.
 
     The classes weigh alike, but that a clean document taken for toxic counts as ``CARE`` misses.  The rate falls to zero.
     """
     if len(set(labels.tolist())) < 2:
         return np.zeros(BUCKETS), 0.0
-    doc, word, kept, sizes = training_words(texts)
-    if not kept:
-        return np.zeros(BUCKETS), 0.0
-    data = np.frombuffer(b" ".join(kept), np.uint8)
-    ids, bags, _, n_words = subwords(Piece(data, np.array([0, len(data)]), 0))
-    n_docs = len(sizes)
-    each = 1 / np.maximum(np.bincount(bags, minlength=n_words), 1)
-    share = 1 / (sizes + REST)[doc]
-    used = np.bincount(ids, minlength=BUCKETS) > 0
+    rows = Rows(texts)
+    having, total = rows.having(labels), np.array([(labels == 0).sum(), (labels == 1).sum()])
+    ratio = np.log((having[1] + 1) / (total[1] + 2)) - np.log((having[0] + 1) / (total[0] + 2))
+    weight = (np.abs(ratio) * np.sqrt(having.sum(0))).astype(np.float32)
+    rows.weigh(weight)
     rng = np.random.default_rng(11)
-    table, soft, bias = rng.normal(0, 0.1, (WIDTH, BUCKETS)) * used, rng.normal(0, 0.5, (WIDTH, 2)), np.zeros(2)
-    params = [table, soft, bias]
+    params = [rng.normal(0, 0.1, (WIDTH, BUCKETS)) * (weight > 0), rng.normal(0, 0.5, (WIDTH, 2)), np.zeros(2)]
+    table, soft, bias = params
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-    share_of = np.array([(labels == 0).mean(), (labels == 1).mean()])[labels]
-    mass = np.where(labels == 1, 1.0, CARE) * 0.5 / share_of / len(labels)
+    mass = np.where(labels == 1, 1.0, CARE) * 0.5 / total[labels]
     one_hot = np.stack([labels == 0, labels == 1], 1).astype(float)
     for t in range(1, rounds + 1):
-        vectors = (summed(bags, v, ids, n_words) * each for v in table)
-        hidden = np.stack([np.bincount(doc, u[word] * share, n_docs) for u in vectors], 1)
+        hidden = rows.forward(table)
         logits = hidden @ soft + bias
         p = np.exp(logits - logits.max(1, keepdims=True))
         p /= p.sum(1, keepdims=True)
         error = (p - one_hot) * mass[:, None]
-        back = error @ soft.T
-        grads = [np.empty_like(table), hidden.T @ error, error.sum(0)]
-        for k in range(WIDTH):
-            part = np.bincount(word, back[doc, k] * share, n_words) * each
-            grads[0][k] = summed(ids, part, bags, BUCKETS)
+        grads = [rows.backward(error @ soft.T), hidden.T @ error, error.sum(0)]
         for k, (value, gradient) in enumerate(zip(params, grads)):
             gradient = gradient + decay * value * (k < 2)
             first[k] += 0.1 * (gradient - first[k])
             second[k] += 0.01 * (gradient**2 - second[k])
-            value -= rate * (1 - (t - 1) / rounds) * (first[k] / (1 - 0.9**t)) / (np.sqrt(second[k] / (1 - 0.99**t)) + 1e-8)
-    return (soft[:, 1] - soft[:, 0]) @ table, float(bias[1] - bias[0])
+            size = np.sqrt(second[k] / (1 - 0.99**t))
+            value -= rate * (1 - (t - 1) / rounds) * (first[k] / (1 - 0.9**t)) / (size + (FLOOR * size.max() if k == 0 else 0) + 1e-12)
+    return (soft[:, 1] - soft[:, 0]) @ table * weight, float(bias[1] - bias[0])
 
 
 def margins(piece: Piece, part: np.ndarray, bias: float) -> np.ndarray:
@@ -156,7 +163,7 @@ def trained(docs: DataFrame, labels: DataFrame, rows: int = ROWS_PER_CLASS):
     """
     sample = labelled_sample(docs, labels, "toxic", remainder(F.col("doc_id"), 5) != 0, rows)
     got = sorted(sample.collect(), key=lambda r: (r["doc_id"], r["label"], r["text"]))
-    texts = list(pieces(pa.array([r["text"] for r in got], pa.large_string())))
+    texts = pieces(pa.array([r["text"] for r in got], pa.large_string()), TRAIN_BYTES)
     return docs.sparkSession.sparkContext.broadcast(fit(texts, np.array([r["label"] for r in got], dtype=int)))
 
 
