@@ -3,8 +3,9 @@
 The index holds, for each term, the items with it and their impacts, in blocks with the largest impact of each.  Impacts are BM25
 weights over the score of the item against itself, so a passage that holds all of an item scores 1 whatever its length.  Each
 passage is a query; block-max WAND (Ding and Suel, 2011) returns every item that scores enough.  As nearly all passages
-reach no item, a bound is first taken for many passages at once: the impacts of their terms summed for each item, with the
-most common terms counted as if all were there.  Only passages in which some item's sum is enough are searched, so none is lost.
+reach no item, the bounds are first taken for many passages at once: the largest impacts of a passage's terms are summed for each block of items, with the
+most common terms counted as if all were there, and only in the blocks where that is enough for some item the items' own impacts.  Passages in which
+some item's sum may be enough are searched one by one, so none is lost.
 
 An item's question and answer (what follows its last question mark, else its last third) must then each have
 ``OVERLAP`` of their 3-word shingles in the passage.  That alone decides: the score that is enough is each item's own, the least that a
@@ -111,6 +112,9 @@ class Index:
                 own[item // BLOCK] = max(own.get(item // BLOCK, 0.0), w)
             tops.append(own)
         self.block_top = tops
+        self.blocks_at = np.concatenate([[0], np.cumsum([len(t) for t in tops])]).astype(np.int64)
+        self.blocks, self.tops = np.array([b for t in tops for b in t], dtype=np.int64), np.array([w for t in tops for w in t.values()])
+        self.block_enough = np.minimum.reduceat(self.enough, np.arange(0, len(self.enough), BLOCK)) if len(self.enough) else self.enough
         self.most = [max(t.values()) for t in tops]
         order = np.argsort(self.most)
         self.rare = np.ones(len(lists), bool)
@@ -201,6 +205,33 @@ class Index:
             shares.append(len(own & there) / len(own) if own else 1.0)
         return shares[0], shares[1]
 
+    def reached(self, unit: np.ndarray, term: np.ndarray, lists: tuple[np.ndarray, np.ndarray, np.ndarray], enough: np.ndarray, among: np.ndarray | None = None) -> np.ndarray:
+        """Unit * cells + cell where the impacts of the unit's terms and the next one's may be enough; cells are items or blocks of them.
+
+        ``lists``: where each term's entries begin, their cells and impacts.  ``among``: the block keys, sorted, of the items that count.
+        """
+        at, cells, impacts = lists
+        size, n = at[term + 1] - at[term], len(enough)
+        place = np.repeat(at[term] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+        of, cell, part = np.repeat(unit, size), cells[place], impacts[place]
+        if among is not None:
+            block = of * len(self.block_enough) + cell // BLOCK
+            found = np.minimum(np.searchsorted(among, block), max(len(among) - 1, 0))
+            stays = among[found] == block if len(among) else np.zeros(len(block), bool)
+            of, cell, part = of[stays], cell[stays], part[stays]
+        key = of * n + cell
+        if not len(key):
+            return key
+        order = np.argsort(key)
+        key, part = key[order], part[order]
+        new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        key, part = key[new], np.add.reduceat(part, new)
+        after = np.searchsorted(key, key + n)
+        after[after == len(key)] = 0
+        both, least = part + np.where(key[after] == key + n, part[after], 0.0), enough[key % n] - self.slack - 1e-9
+        starts = np.unique(np.concatenate([key[both >= least], key[part >= least] - n]))
+        return starts[starts >= 0]
+
     def passages(self, piece: Piece, words: np.ndarray, half: int) -> list[tuple[int, int, int]]:
         """(document, first word, end) of the passages in which some item's bound is enough."""
         rough = np.flatnonzero(self.maybe[(words >> np.uint64(44)).astype(np.int64)])
@@ -215,21 +246,16 @@ class Index:
         # a term counts once in a half
         once = np.unique(unit * len(self.terms) + term) if len(hit) else hit
         unit, term = once // max(len(self.terms), 1), once % max(len(self.terms), 1)
-        size, n = self.at[term + 1] - self.at[term], max(len(self.ids), 1)
-        place = np.repeat(self.at[term] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-        key, part = np.repeat(unit, size) * n + self.posting_items[place], self.posting_impacts[place]
-        if not len(key):
+        n = len(self.block_enough)
+        blocks = self.reached(unit, term, (self.blocks_at, self.blocks, self.tops), self.block_enough) if n else unit[:0]
+        if not len(blocks):
             return []
-        order = np.argsort(key)
-        key, part = key[order], part[order]
-        new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        key, part = key[new], np.add.reduceat(part, new)
-        after = np.searchsorted(key, key + n)
-        after[after == len(key)] = 0
-        both, enough = part + np.where(key[after] == key + n, part[after], 0.0), self.enough[key % n] - self.slack - 1e-9
-        starts = np.unique(np.concatenate([key[both >= enough], key[part >= enough] - n]) // n)
+        blocks = np.unique(np.concatenate([blocks, blocks + n]))
+        alive = np.unique(blocks // n)
+        some = alive[np.minimum(np.searchsorted(alive, unit), len(alive) - 1)] == unit
+        starts = np.unique(self.reached(unit[some], term[some], (self.at, self.posting_items, self.posting_impacts), self.enough, blocks) // len(self.enough))
         out = []
-        for u in starts[starts >= 0].tolist():
+        for u in starts.tolist():
             d = int(np.searchsorted(base, u, side="right")) - 1
             first = int(piece.at[d]) + (u - int(base[d])) * half
             if first < piece.at[d + 1]:

@@ -95,7 +95,7 @@ def rounded(docs: DataFrame, largest: int, seed: int, group: int = GROUP) -> Dat
     done, level, rows, kind = None, 0, docs, docs.select(item.alias("x")).schema["x"].dataType.simpleString()
     while True:
         groups = F.ceil(F.col("documents") / F.lit(float(group) ** (level + 1)))
-        bucket = F.pmod(F.xxhash64(F.lit(seed + level), "doc_id", "copy"), F.greatest(groups, F.lit(1)))
+        bucket = F.pmod(F.xxhash64(F.lit(seed + level), "doc_id", "copy", "size"), F.greatest(groups, F.lit(1)))
         last = largest <= group ** (level + 1)
         gathered = rows.groupBy("source", "documents", (F.lit(0).cast("long") if last else bucket).alias("bucket")).agg(F.sort_array(F.collect_list(item)).alias("all"))
         start = F.struct(F.element_at("all", 1).alias("left"), F.array().cast(f"array<{kind}>").alias("decided"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from cueflow.llm import quality_rules as rules
 from cueflow.llm import url_filters as urls
 from cueflow.llm.jaccard_join import SHINGLE
@@ -28,7 +30,9 @@ reach AS (SELECT doc_id, doc_id AS least FROM d UNION SELECT ways.y, reach.least
 SELECT r.doc_id, coalesce(n.n, 0) AS n_shingles, min(r.least) AS component_id FROM reach r LEFT JOIN n USING (doc_id) GROUP BY 1, 2"""
 
 
-def url_filters(rounds: int = urls.ROUNDS, damping: float = urls.DAMPING) -> str:
+def url_filters(tolerance: float = urls.TOLERANCE, damping: float = urls.DAMPING) -> str:
+    """With as many rounds as leave less than the tolerance moving, whatever the links."""
+    rounds = math.ceil(math.log(tolerance / 4) / math.log(damping))
     fits = {rule: f"((host = '{rule.split('/')[0]}' OR ends_with(host, '.{rule.split('/')[0]}')) AND starts_with(path, '{rule[rule.index('/') :]}'))" for _, rule in urls.RULES}
     longest = sorted(urls.RULES, key=lambda r: -len(r[1]))
     case = lambda value: "CASE " + " ".join(f"WHEN {fits[rule]} THEN '{rule if value else verdict}'" for verdict, rule in longest) + " END"
@@ -43,8 +47,9 @@ j AS (SELECT page_id, host, path, {case(True)} AS rule, {case(False)} AS own FRO
 c AS (SELECT host, own, count(*) AS n FROM j WHERE own IS NOT NULL GROUP BY 1, 2), t AS (SELECT own, sum(n) AS n FROM c GROUP BY 1),
 seeds AS (SELECT c.host, sum(CASE WHEN c.own = 'allow' THEN c.n / t.n ELSE 0 END) AS trust, sum(CASE WHEN c.own = 'block' THEN c.n / t.n ELSE 0 END) AS distrust FROM c JOIN t USING (own) GROUP BY 1),
 e AS (SELECT DISTINCT host AS src, dst FROM (SELECT host, translate(unnest(regexp_extract_all(coalesce(html, ''), '{link}', 1)), '{urls.UPPER}', '{urls.LOWER}') AS dst FROM p) x WHERE host <> '' AND dst <> '' AND host <> dst),
-lanes AS (SELECT src, dst, 1.0 / count(*) OVER (PARTITION BY src) AS t, 0.0 AS d FROM e UNION ALL SELECT dst, src, 0.0, 1.0 / count(*) OVER (PARTITION BY dst) FROM e), {walk}
-SELECT page_id, j.host, path, rule, coalesce(own, CASE WHEN w.distrust > {urls.THRESHOLD} * (w.trust + w.distrust) THEN 'block' END, 'allow') AS verdict FROM j LEFT JOIN w{rounds} w ON w.host = j.host"""
+lanes AS (SELECT src, dst, 1.0 / count(*) OVER (PARTITION BY src) AS t, 0.0 AS d FROM e UNION ALL SELECT dst, src, 0.0, 1.0 / count(*) OVER (PARTITION BY dst) FROM e), {walk},
+n AS (SELECT host, trust / nullif(sum(trust) OVER (), 0) AS trust, distrust / nullif(sum(distrust) OVER (), 0) AS distrust FROM w{rounds})
+SELECT page_id, j.host, path, rule, coalesce(own, CASE WHEN w.distrust > {urls.THRESHOLD} * (coalesce(w.trust, 0) + w.distrust) THEN 'block' END, 'allow') AS verdict FROM j LEFT JOIN n w ON w.host = j.host"""
 
 
 def quality_rules(rounds: int = rules.ROUNDS) -> str:

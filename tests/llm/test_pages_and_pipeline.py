@@ -31,19 +31,35 @@ def test_production_rules():
     assert RULES == (("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/"))
 
 
-def test_propagate_is_personalised_pagerank(spark):
-    edges = [("a", "b"), ("b", "c"), ("c", "a"), ("d", "c"), ("b", "d")]
+@pytest.mark.parametrize("edges", [
+    [("a", "b"), ("b", "c"), ("c", "a"), ("d", "c"), ("b", "d")], [("a", "b"), ("b", "e"), ("b", "c"), ("d", "c")], [(f"h{i}", f"h{i + 1}") for i in range(30)] + [("a", "h0")],
+])
+def test_propagate_is_personalised_pagerank(spark, edges):
+    """Against a dense solution, in which mass at hosts without links returns to the seeds; hosts at the end of a chain of 30 links are reached."""
+    import numpy as np
+
+    hosts = sorted({h for e in edges for h in e} | {"a", "c"})
     seeds = {"a": (1.0, 0.0), "c": (0.0, 1.0)}
-    got = {r.host: (r.trust, r.distrust) for r in propagate(spark.createDataFrame(edges, "src string, dst string"), spark.createDataFrame([(h, *v) for h, v in seeds.items()], "host string, trust double, distrust double"), 12).collect()}
-    state = {h: list(seeds.get(h, (0, 0))) for h in "abcd"}
-    for _ in range(12):
-        new = {h: [0.15 * x for x in seeds.get(h, (0, 0))] for h in "abcd"}
-        for s, d in edges:
-            new[d][0] += 0.85 * state[s][0] / sum(x == s for x, _ in edges)
-            new[s][1] += 0.85 * state[d][1] / sum(x == d for _, x in edges)
-        state = new
-    for h in "abcd":
-        assert got[h] == pytest.approx(tuple(state[h]))
+    got = {r.host: (r.trust, r.distrust) for r in propagate(spark.createDataFrame(edges, "src string, dst string"), spark.createDataFrame([(h, *v) for h, v in seeds.items()], "host string, trust double, distrust double"), 1e-9).collect()}
+    for k in (0, 1):
+        start = np.array([seeds.get(h, (0, 0))[k] for h in hosts])
+        move = np.zeros((len(hosts), len(hosts)))
+        for e in edges:
+            s, d = (hosts.index(x) for x in (e if k == 0 else e[::-1]))
+            move[d, s] += 1
+        total = move.sum(0)
+        move = np.where(total > 0, move / np.maximum(total, 1), start[:, None])
+        want = np.linalg.solve(np.eye(len(hosts)) - 0.85 * move, 0.15 * start)
+        assert want.sum() == pytest.approx(1)
+        assert [got.get(h, (0, 0))[k] for h in hosts] == pytest.approx(want, abs=1e-8)
+
+
+def test_empty_pages_and_clashing_names(spark):
+    schema = "page_id long, url string, html string, host string, verdict string, trust double, src string"
+    assert url_filters(spark.createDataFrame([], schema)).count() == 0
+    rows = [(None, None, None, "x", "y", 1.0, "z"), (None, "http://spam.org/es/1", "<a href='http://m.org/'>", None, None, None, None), (3, "http://m.org/q", "", None, None, None, None)]
+    got = url_filters(spark.createDataFrame(rows, schema)).collect()
+    assert sorted((r.host, r.verdict) for r in got) == [("", "allow"), ("m.org", "allow"), ("spam.org", "block")]
 
 
 def test_edges_are_between_hosts(spark):
