@@ -8,6 +8,7 @@ from cueflow.llm import quality_rules as rules
 from cueflow.llm import url_filters as urls
 from cueflow.llm.jaccard_join import SHINGLE
 from cueflow.llm.substring_dedup import WINDOW
+from cueflow.llm.suffix_dedup import LENGTH as _L
 
 _WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
 
@@ -30,6 +31,19 @@ reach AS (SELECT doc_id, doc_id AS least FROM d UNION SELECT ways.y, reach.least
 SELECT r.doc_id, coalesce(n.n, 0) AS n_shingles, min(r.least) AS component_id FROM reach r LEFT JOIN n USING (doc_id) GROUP BY 1, 2"""
 
 
+SUFFIX_DEDUP = f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, lower(hex(encode(coalesce(text, '')))) AS h FROM documents),
+p AS (SELECT r, unnest(range(0, len(h) // 2 - {_L - 1})) AS i, h FROM d WHERE len(h) >= {2 * _L}),
+k AS (SELECT r, i, md5_number(substr(h, 2 * i + 1, {2 * _L})) AS g FROM p),
+again AS (SELECT r, i FROM k WHERE g IN (SELECT g FROM k GROUP BY g HAVING count(*) > 1)),
+s AS (SELECT r, i, CASE WHEN i > {_L} + lag(i) OVER w THEN 1 ELSE 0 END AS new FROM again WINDOW w AS (PARTITION BY r ORDER BY i)),
+g AS (SELECT r, i, sum(new) OVER (PARTITION BY r ORDER BY i ROWS UNBOUNDED PRECEDING) AS run FROM s),
+runs AS (SELECT r, min(i) AS a, max(i) + {_L} AS b FROM g GROUP BY r, run),
+cut AS (SELECT r, sum(b - a) AS n, count(*) AS spans, list(a ORDER BY a) AS starts, list(b ORDER BY a) AS ends FROM runs GROUP BY r)
+SELECT d.doc_id, CAST(len(h) // 2 AS bigint) AS n_bytes, CAST(coalesce(cut.n, 0) AS bigint) AS n_removed, CAST(coalesce(cut.spans, 0) AS bigint) AS n_spans,
+  sha256(unhex(CASE WHEN cut.r IS NULL THEN h ELSE array_to_string(list_transform(range(1, len(starts) + 2), lambda k: substr(h, 2 * coalesce(ends[k - 1], 0) + 1, 2 * (coalesce(starts[k], len(h) // 2) - coalesce(ends[k - 1], 0)))), '') END)) AS kept_sha256
+FROM d LEFT JOIN cut ON cut.r = d.r"""
+
+
 def url_filters(tolerance: float = urls.TOLERANCE, damping: float = urls.DAMPING) -> str:
     """With as many rounds as leave less than the tolerance moving, whatever the links."""
     rounds = math.ceil(math.log(tolerance / 4) / math.log(damping))
@@ -81,4 +95,4 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_wo
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 1 / (1 + exp(-({odds}))) >= 0.5 AS kept FROM v, m{rounds}"""
 
 
-ORACLE = {"op3_quality_rules": quality_rules(), "op4_jaccard_join": JACCARD_JOIN, "op6_url_filters": url_filters(), "op7_substring_dedup": SUBSTRING_DEDUP}
+ORACLE = {"op3_quality_rules": quality_rules(), "op4_jaccard_join": JACCARD_JOIN, "op5_suffix_dedup": SUFFIX_DEDUP, "op6_url_filters": url_filters(), "op7_substring_dedup": SUBSTRING_DEDUP}

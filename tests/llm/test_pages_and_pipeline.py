@@ -95,3 +95,15 @@ def test_pipeline_on_the_small_tables(spark):
     last = pipeline.run(spark, folder).collect()
     assert last and len({r.doc_id for r in last}) == len(last) and all(r.copies >= 1 and r.taken == r.copies * len(r.text.encode().split()) for r in last)
     assert {r.doc_id for r in last} <= {r.doc_id for r in four.collect()}
+
+
+def test_mix_of_documents_with_the_same_column_names(spark):
+    import corpus_pipeline as pipeline
+
+    rows = [(i, "w " * (i % 7), f"s{i % 2}", "x", 3, "t", i, 5, 9) for i in range(40)] + [(None, "a b", None, "x", 3, "t", 1, 5, 9)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, size string, copies int, target string, nth long, taken long, source_size int")
+    got = pipeline.mix_sources(spark, docs, "")
+    assert got.columns == docs.columns + ["mix_size", "mix_source_size", "mix_target", "mix_copies", "mix_taken"]
+    found = got.collect()
+    assert found and all((r.size, r.copies, r.target) == ("x", 3, "t") and r.mix_taken == r.mix_copies * r.mix_size == r.mix_copies * len(r.text.split()) for r in found)
+    assert pipeline.mix_sources(spark, docs.limit(0), "").count() == 0
