@@ -62,22 +62,21 @@ def wav_duration_ms(content: pd.Series) -> pd.Series:
     return content.map(one, na_action="ignore").astype("Int64")
 
 
-@F.pandas_udf(T.ArrayType(T.FloatType()))
-def concatenate_overlaid(clips: pd.Series, overlaps_ms: pd.Series) -> pd.Series:
+def overlaid(clips: list[np.ndarray], overlaps_ms: list[float]) -> np.ndarray:
     """16 kHz clips end to end, each laid over the last ``overlap`` milliseconds of what is there."""
+    out = np.zeros(sum(len(c) for c in clips), np.float32)
+    end = 0
+    for samples, overlap in zip(clips, overlaps_ms):
+        n = min(int(round(overlap)) * 16, end, len(samples))
+        out[end - n : end - n + len(samples)] += samples
+        end += len(samples) - n
+    return out[:end]
 
-    def one(parts, overlaps):
-        out = np.zeros(0, np.float32)
-        for samples, overlap in zip(parts, overlaps):
-            samples = np.asarray(samples, np.float32)
-            n = min(int(round(overlap)) * 16, len(out), len(samples))
-            if n:
-                out = out.copy()
-                out[-n:] += samples[:n]
-            out = np.concatenate([out, samples[n:]])
-        return out
 
-    return pd.Series([one(p, o) if p is not None else None for p, o in zip(clips, overlaps_ms)])
+@F.pandas_udf(T.ArrayType(T.FloatType()))
+def concatenate_overlaid(clips: pd.Series, overlaps_ms: pd.Series) -> pd.Series:
+    """Arrays of clips as one each, see :func:`overlaid`."""
+    return pd.Series([overlaid([np.asarray(x, np.float32) for x in p], list(o)) if p is not None else None for p, o in zip(clips, overlaps_ms)])
 
 
 def cut_samples(samples: Column, start_ms: Column, end_ms: Column, rate: int = 16_000) -> Column:
@@ -144,18 +143,19 @@ def voiced_frames(samples: Column, frame_ms: int = 30, rate: int = 16_000, level
     return one(samples)
 
 
-@F.pandas_udf(T.BinaryType())
-def encode_wav(samples: pd.Series) -> pd.Series:
+def wave_bytes(samples: np.ndarray) -> bytes:
     """16 kHz mono samples as the bytes of a wave file."""
+    file = io.BytesIO()
+    with wave.open(file, "wb") as out:
+        out.setnchannels(1), out.setsampwidth(2), out.setframerate(16_000)
+        out.writeframes((np.clip(np.asarray(samples, np.float32), -1, 1) * 32767).astype("<i2").tobytes())
+    return file.getvalue()
 
-    def one(own) -> bytes:
-        file = io.BytesIO()
-        with wave.open(file, "wb") as out:
-            out.setnchannels(1), out.setsampwidth(2), out.setframerate(16_000)
-            out.writeframes((np.clip(np.asarray(own, np.float32), -1, 1) * 32767).astype("<i2").tobytes())
-        return file.getvalue()
 
-    return samples.map(one, na_action="ignore")
+@F.pandas_udf(T.BinaryType())
+def encode_wav(samples: pd.Series) -> pd.Series:
+    """Samples as wave files' contents."""
+    return samples.map(wave_bytes, na_action="ignore")
 
 
 def mono(channels: np.ndarray) -> np.ndarray:

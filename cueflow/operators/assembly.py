@@ -25,57 +25,56 @@ def draw(key: Column, seed: int) -> Column:
 def exact_sample(rows: DataFrame, key: str, per_mille: int, seed: int = 1, partitions: str | None = None) -> DataFrame:
     """``per_mille`` thousandths of the rows, to the nearest whole, by hash order; within each value of ``partitions`` if given.
 
-    Without partitions, the draw up to which rows are taken comes from the counts of the million draws there are, and only the rows of
-    that one draw are ranked.
+    The draw up to which rows are taken comes from the counts of the million draws there are, and only the rows of
+    that one draw are ranked, so no window holds all rows of a value.
     """
-    own = rows.withColumn("_draw", draw(F.col(key), seed))
-    if partitions:
-        by = Window.partitionBy(partitions)
-        ranked = own.withColumn("_nth", F.row_number().over(by.orderBy("_draw", key))).withColumn("_all", F.count("*").over(by))
-        return ranked.filter(F.col("_nth") * 1000 <= F.col("_all") * per_mille + 500).drop("_nth", "_all", "_draw")
-    counts = own.groupBy("_draw").agg(F.count("*").alias("n"))
-    wanted = (counts.agg(F.sum("n")).first()[0] or 0) * per_mille + 500
-    up_to = counts.withColumn("total", F.sum("n").over(Window.orderBy("_draw"))).filter(F.col("total") * 1000 <= wanted).agg(F.max("_draw"), F.max("total")).first()
-    cut, taken = up_to[0] if up_to[0] is not None else -1, up_to[1] or 0
-    border = own.join(counts.filter(F.col("_draw") > cut).agg(F.min("_draw").alias("_draw")), "_draw", "left_semi")
-    few = border.withColumn("_nth", F.row_number().over(Window.partitionBy("_draw").orderBy(key))).filter((F.col("_nth") + taken) * 1000 <= wanted)
-    return own.filter(F.col("_draw") <= cut).drop("_draw").unionByName(few.drop("_draw", "_nth"))
-
-
-def speaker_runs(clips: DataFrame, keep_per_million: int, seed: int = 42) -> DataFrame:
-    """Adds nth (within the speaker), run and run_key.  Clips without a speaker belong to speaker "0"."""
-    own = clips.withColumn("client_id", F.coalesce(F.nullif(F.col("client_id"), F.lit("")), F.lit("0")))
-    by = Window.partitionBy("client_id").orderBy(draw(F.col("clip_id"), seed), "clip_id")
-    ends = own.withColumn("nth", F.row_number().over(by).cast("long")).withColumn("breaks", (draw(F.col("clip_id"), seed + 1) >= keep_per_million).cast("int"))
-    runs = ends.withColumn("run", F.sum(F.when(F.col("nth") == 1, 0).otherwise(F.col("breaks"))).over(by.rowsBetween(Window.unboundedPreceding, 0)).cast("long")).drop("breaks")
-    first = F.min("clip_id").over(Window.partitionBy("client_id", "run"))
-    return runs.withColumn("run_key", draw(first, seed + 2)).withColumn("run_first", first)
-
-
-def chunk_sequences(runs: DataFrame, per_sequence: int, shards: int = 64) -> DataFrame:
-    """Adds seq_id and pos: runs in hash order, ``per_sequence`` clips each, the rest in a last one.
-
-    Runs are first dealt to shards by their key, so no window holds all clips; a sequence never crosses a shard.
+    own = rows.withColumn("_draw", draw(F.col(key), seed)).withColumn("_of", F.col(partitions) if partitions else F.lit(0))
+    by = Window.partitionBy("_of")
+    counts = own.groupBy("_of", "_draw").agg(F.count("*").alias("n")).withColumn("_total", F.sum("n").over(by.orderBy("_draw")))
+    counts = counts.withColumn("_wanted", F.sum("n").over(by) * per_mille + 500)
+    within = F.col("_total") * 1000 <= F.col("_wanted")
+    cuts = counts.groupBy("_of").agg(F.min(F.when(~within, F.col("_draw"))).alias("_cut"), F.coalesce(F.max(F.when(within, F.col("_total"))), F.lit(0)).alias("_taken"), F.max("_wanted").alias("_wanted"))
+    cuts = cuts.withColumnRenamed("_of", "_value")
+    placed = own.join(cuts, own["_of"].eqNullSafe(cuts["_value"])).drop("_value")
+    sure = placed.filter(F.col("_cut").isNull() | (F.col("_draw") < F.col("_cut")))
+    border = placed.filter(F.col("_draw") == F.col("_cut")).withColumn("_nth", F.row_number().over(Window.partitionBy("_of").orderBy(key)))
+    few = border.filter((F.col("_nth") + F.col("_taken")) * 1000 <= F.col("_wanted")).drop("_nth")
+    return sure.unionByName(few).select(*rows.columns)
+
+
+def speaker_runs(clips: DataFrame, keep_per_million: int, seed: int = 42, shards: int = 256) -> DataFrame:
+    """Adds nth (within the speaker), run and run_key.  Clips without a speaker belong to speaker "0".
+
+    A speaker's clips are counted by ranges of their draw, so no window holds all clips of one, such as of those without; the ranges' sums give where each begins.
     """
-    shard = F.pmod(F.col("run_key"), F.lit(shards))
-    w = Window.partitionBy("shard").orderBy("run_key", "run_first", "client_id", "nth")
-    placed = runs.withColumn("shard", shard).withColumn("place", F.row_number().over(w) - 1)
-    seq = F.concat_ws("-", F.col("shard").cast("string"), F.floor(F.col("place") / per_sequence).cast("string"))
-    return placed.withColumn("seq_id", seq).withColumn("pos", F.pmod("place", F.lit(per_sequence)).cast("long")).drop("shard", "place", "run_key", "run_first")
+    place = draw(F.col("clip_id"), seed)
+    own = clips.withColumn("client_id", F.coalesce(F.nullif(F.col("client_id"), F.lit("")), F.lit("0"))).withColumn("_place", place)
+    own = own.withColumn("_shard", F.floor(F.col("_place") * shards / 1_000_000)).withColumn("_breaks", (draw(F.col("clip_id"), seed + 1) >= keep_per_million).cast("long"))
+    sums = own.groupBy("client_id", "_shard").agg(F.count("*").alias("n"), F.sum("_breaks").alias("b"), F.min_by("_breaks", F.struct("_place", "clip_id")).alias("lead"))
+    by = Window.partitionBy("client_id").orderBy("_shard")
+    before = lambda c: F.coalesce(F.sum(c).over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # a speaker's first clip begins no new run
+    starts = sums.select("client_id", "_shard", before("n").alias("_n"), (before("b") - F.first("lead").over(by)).alias("_b"))
+    within = Window.partitionBy("client_id", "_shard").orderBy("_place", "clip_id")
+    ends = own.withColumn("nth", F.row_number().over(within)).withColumn("run", F.sum("_breaks").over(within.rowsBetween(Window.unboundedPreceding, 0)))
+    ends = ends.join(starts, ["client_id", "_shard"]).withColumn("nth", (F.col("nth") + F.col("_n")).cast("long")).withColumn("run", (F.col("run") + F.col("_b")).cast("long"))
+    first = F.min("clip_id").over(Window.partitionBy("client_id", "run"))
+    return ends.select(*clips.columns, "nth", "run").withColumn("run_key", draw(first, seed + 2)).withColumn("run_first", first)
 
 
-def joined_sequences(runs: DataFrame, per_sequence: int, shards: int = 64) -> DataFrame:
-    """As :func:`chunk_sequences`, but sequences go on across shards, so only the last one of all is short.
+def chunk_sequences(runs: DataFrame, per_sequence: int, shards: int = 1000) -> DataFrame:
+    """Adds seq_id and pos: runs in hash order, ``per_sequence`` clips each; only the last sequence of all is short.
 
-    A clip's place is its place in the shard after the clips of the shards before; their counts, a row a shard, are broadcast.
+    Runs are dealt to shards by ranges of their key, so no window holds all clips; a clip's place is its place in the shard after the clips of the shards before,
+    whose counts, a row a shard, are broadcast.  The number of shards changes no result.
     """
-    own = runs.withColumn("shard", F.pmod(F.col("run_key"), F.lit(shards)))
-    counts = own.groupBy("shard").agg(F.count("*").alias("n"))
-    before = counts.select("shard", F.coalesce(F.sum("n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    w = Window.partitionBy("shard").orderBy("run_key", "run_first", "client_id", "nth")
-    placed = own.withColumn("place", F.row_number().over(w) - 1).join(F.broadcast(before), "shard").withColumn("place", F.col("place") + F.col("before"))
-    seq = F.floor(F.col("place") / per_sequence).cast("string")
-    return placed.withColumn("seq_id", seq).withColumn("pos", F.pmod("place", F.lit(per_sequence)).cast("long")).drop("shard", "place", "before", "run_key", "run_first")
+    own = runs.withColumn("_shard", F.floor(F.col("run_key") * shards / 1_000_000))
+    counts = own.groupBy("_shard").agg(F.count("*").alias("n"))
+    before = counts.select("_shard", F.coalesce(F.sum("n").over(Window.orderBy("_shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    w = Window.partitionBy("_shard").orderBy("run_key", "run_first", "client_id", "nth")
+    placed = own.withColumn("_place", F.row_number().over(w) - 1).join(F.broadcast(before), "_shard").withColumn("_place", F.col("_place") + F.col("_before"))
+    seq = F.floor(F.col("_place") / per_sequence).cast("string")
+    return placed.withColumn("seq_id", seq).withColumn("pos", F.pmod("_place", F.lit(per_sequence)).cast("long")).drop("_shard", "_place", "_before", "run_key", "run_first")
 
 
 def draw_overlaps(sequences: DataFrame, chance: int, most_chance: int, most_ms: int, seed: int = 7) -> DataFrame:

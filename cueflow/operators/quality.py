@@ -51,9 +51,14 @@ def disposed(records: DataFrame, forbidden: Sequence[str] = (), language: Column
     return records.withColumn("disposition", choice.otherwise("kept"))
 
 
+def residual(records: DataFrame, forbidden: Sequence[str]) -> DataFrame:
+    """The records that have a forbidden word, with the first of these as ``word``."""
+    return records.withColumn("word", first_word(F.col("text"), forbidden)).filter("word IS NOT NULL")
+
+
 def assert_none_left(records: DataFrame, forbidden: Sequence[str]) -> None:
     """Fails if any kept record has a forbidden word."""
-    if not records.filter(first_word(F.col("text"), forbidden).isNotNull()).isEmpty():
+    if not residual(records, forbidden).isEmpty():
         raise ValueError("records with forbidden words are left")
 
 

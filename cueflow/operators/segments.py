@@ -16,39 +16,36 @@ from cueflow.functions import fixed
 from cueflow.functions.providers import token_count
 from cueflow.functions.text import leading_space
 from cueflow.functions.times import time_token
-from cueflow.operators.cues import grouped_rows
+from cueflow.operators.cues import streamed
 
 SEGMENT = pa.schema([("track_id", pa.string()), *((n, pa.int64()) for n in ("span_idx", "seg_idx", "seg_start", "seg_end", "first_pos", "last_pos")), ("valid", pa.bool_()), ("prompt_group", pa.int64())])
 
 
-def boundaries(rows: list[dict], cut_initial: bool, threshold: int = fixed.REPEAT_THRESHOLD) -> Iterator[tuple]:
+def boundaries(starts: list[int], ends: list[int], texts: list[str], begin: int, stop: int, cut_initial: bool = False, threshold: int = fixed.REPEAT_THRESHOLD) -> Iterator[tuple]:
     """(seg_start, seg_end, first, last, valid, prompt_group) of one span's cues in start order; ``last`` is before ``first`` in silence."""
-    begin, stop = rows[0]["span_start"], rows[0]["span_end"]
-    at = max(begin, rows[0]["start_ms"] - 1000) if cut_initial and rows[0]["span_idx"] == 0 else begin
-    i, n, group = 0, len(rows), 0
+    at = max(begin, starts[0] - 1000) if cut_initial else begin
+    i, n, group = 0, len(starts), 0
     while i < n and at < (end := min(at + fixed.SEGMENT_MS, stop)):
-        cue = rows[i]
-        if cue["start_ms"] < end and cue["end_ms"] - cue["start_ms"] > fixed.SEGMENT_MS:
-            at, i = cue["end_ms"], i + 1
+        if starts[i] < end and ends[i] - starts[i] > fixed.SEGMENT_MS:
+            at, i = ends[i], i + 1
             continue
         first, equal, valid = i, 1, True
-        while i < n and rows[i]["start_ms"] < end:
-            own = rows[i]
-            valid &= own["start_ms"] <= own["end_ms"] and own["start_ms"] >= at
+        while i < n and starts[i] < end:
+            valid &= at <= starts[i] <= ends[i]
             if i > first:
-                equal = equal + 1 if own["text"] == rows[i - 1]["text"] else 1
-                valid &= rows[i - 1]["end_ms"] <= own["start_ms"] and equal < threshold
+                equal = equal + 1 if texts[i] == texts[i - 1] else 1
+                valid &= ends[i - 1] <= starts[i] and equal < threshold
             i += 1
         yield at, end, first, i - 1, valid, group
         if not valid:
-            at, group = max(end, rows[i - 1]["end_ms"]), group + 1
+            at, group = max(end, ends[i - 1]), group + 1
         elif i == first:
             at += fixed.SEGMENT_MS
-        elif rows[i - 1]["end_ms"] <= end:
-            at = rows[i - 1]["end_ms"]
+        elif ends[i - 1] <= end:
+            at = ends[i - 1]
         else:
             i -= 1
-            at = rows[i]["start_ms"]
+            at = starts[i]
 
 
 def positioned(cues: DataFrame) -> DataFrame:
@@ -62,13 +59,13 @@ def segment_boundaries(cues: DataFrame, cut_initial: bool = False) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = []
-        for (track, span), rows in grouped_rows(batches, ["track_id", "span_idx"]):
-            names = ("seg_start", "seg_end", "first_pos", "last_pos", "valid", "prompt_group")
-            found += [{"track_id": track, "span_idx": span, "seg_idx": k, **dict(zip(names, x))} for k, x in enumerate(boundaries(rows, cut_initial))]
+        for (track, span, begin, stop), (_, *columns) in streamed(batches, 4):
+            found += [(track, span, k, *x) for k, x in enumerate(boundaries(*columns, begin, stop, cut_initial and span == 0))]
             if len(found) > 5000:
-                yield pa.RecordBatch.from_pylist(found, SEGMENT)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found), SEGMENT.types)], schema=SEGMENT)
                 found = []
-        yield pa.RecordBatch.from_pylist(found, SEGMENT)
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found), SEGMENT.types)], schema=SEGMENT)
 
     own = cues.select("track_id", "span_idx", "span_start", "span_end", "pos", "start_ms", "end_ms", "text")
     schema = "track_id string, span_idx long, seg_idx long, seg_start long, seg_end long, first_pos long, last_pos long, valid boolean, prompt_group long"
@@ -96,8 +93,8 @@ def prompts(nodes: DataFrame, limit: int = fixed.MAX_PROMPT_TOKENS) -> DataFrame
     count = F.sum("n_tokens").over(group.orderBy("seg_idx", "pos").rowsBetween(Window.unboundedPreceding, 0))
     last = F.row_number().over(Window.partitionBy("track_id", "span_idx", "seg_idx").orderBy(F.desc("pos"))) == 1
     run = nodes.withColumn("reached", count).withColumn("last", last)
-    text = F.array_join(F.collect_list("node_text").over(group.orderBy("reached").rangeBetween(-(limit - 1), 0)), "")
-    return run.withColumn("so_far", text).filter("last").select("track_id", "span_idx", "seg_idx", "so_far")
+    parts = F.collect_list("node_text").over(group.orderBy("reached").rangeBetween(-(limit - 1), 0))
+    return run.withColumn("parts", parts).filter("last").select("track_id", "span_idx", "seg_idx", F.array_join("parts", "").alias("so_far"))
 
 
 def segment_records(cues: DataFrame, segments: DataFrame) -> DataFrame:

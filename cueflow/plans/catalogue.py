@@ -11,7 +11,7 @@ from cueflow.functions import fixed, providers, text, times
 from cueflow.operators import assembly, cues, quality, segments, spans
 from cueflow.plans import duck, fixtures as fx
 from cueflow.plans.pipelines import Config, fuse_clips, split_recordings
-from cueflow.sources import subtitles, tables
+from cueflow.sources import audio, subtitles, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -93,7 +93,12 @@ def _(s, d):
     return out.groupBy("matched_word").agg(F.count("*").alias("cues"), F.sum(F.col("end_ms") - F.col("start_ms")).alias("total_ms"))
 
 
-@query("fuse_captions", duck.FUSED)
+@query("fuse_captions", duck.FUSED.replace(fx.CUES_CONV, fx.CUES_DENSE))
+def _(s, d):
+    return cues.fuse_captions(dense(s, d))
+
+
+@query("fuse_long_captions", duck.FUSED)
 def _(s, d):
     return cues.fuse_captions(fixture(s, d, fx.CUES_CONV))
 
@@ -105,7 +110,7 @@ def _(s, d):
     return cues.repair_overlaps(own).withColumn("start_s", F.round("start_s", 6))
 
 
-@query("sanitize_cues")
+@query("sanitize_cues", duck.SANITIZED)
 def _(s, d):
     return cues.sanitize_cues(messy(s, d))
 
@@ -130,8 +135,8 @@ def _(s, d):
 
 # segments
 
-def whole_tracks(s, d):
-    own = dense(s, d)
+def whole_tracks(s, d, sql=fx.CUES_DENSE):
+    own = fixture(s, d, sql)
     whole = own.join(tracks(own), "track_id").select("*", F.lit(0).cast("long").alias("span_idx"), F.lit(0).cast("long").alias("span_start"), F.col("audio_ms").alias("span_end"), F.lit("de").alias("language"))
     return segments.positioned(whole)
 
@@ -141,8 +146,13 @@ def _(s, d):
     return segments.segment_boundaries(whole_tracks(s, d))
 
 
-def records_of(s, d):
-    own = whole_tracks(s, d)
+@query("segments_without_long_cues", f"{duck.SEGMENTS.replace(fx.CUES_DENSE, fx.CUES_LONG)} SELECT * FROM segs")
+def _(s, d):
+    return segments.segment_boundaries(whole_tracks(s, d, fx.CUES_LONG))
+
+
+def records_of(s, d, sql=fx.CUES_DENSE):
+    own = whole_tracks(s, d, sql)
     return segments.segment_records(own, segments.segment_boundaries(own))
 
 
@@ -156,9 +166,9 @@ def _(s, d):
     return records_of(s, d).select("track_id", "seg_idx", "prompt")
 
 
-@query("token_budget", f"{duck.RECORDS} SELECT track_id, seg_idx, tokens FROM recs WHERE tokens <= 219")
+@query("token_budget", f"{duck.RECORDS.replace(fx.CUES_DENSE, fx.CUES_CONV)} SELECT track_id, seg_idx, tokens FROM recs WHERE tokens <= 219")
 def _(s, d):
-    return records_of(s, d).filter("within").select("track_id", "seg_idx", "tokens")
+    return records_of(s, d, fx.CUES_CONV).filter("within").select("track_id", "seg_idx", "tokens")
 
 
 @query("cut_list", f"{duck.SEGMENTS} SELECT track_id, seg_start, seg_end, seg_start*16 AS start_sample, least(seg_end*16, seg_start*16 + 480000) AS end_sample FROM segs")
@@ -204,25 +214,21 @@ text_query("comma_decimal", text.comma_decimals, duck.comma("text"))
 text_query("abbreviations", text.expand_abbreviations, duck.abbreviations("text"))
 text_query("number_grouping", text.numbers, duck.numbers("text"), fx.NUMBERS)
 text_query("normalize_text", text.normalize, duck.normalize("text"), fx.NUMBERS)
-text_query("normalize_documents", text.normalize, None, fx.TEXTS_WHOLE)
-text_query("collapse_ngrams", text.collapse_repeats, None, fx.TEXTS_WHOLE)
+text_query("normalize_documents", text.normalize, None, fx.TEXTS)
+text_query("collapse_ngrams", text.collapse_repeats, None, fx.TEXTS)
 text_query("compression_ratio", text.compression_ratio, None, "SELECT doc_id, text FROM documents")
-text_query("strip_text", text.strip, duck.strip("text"), "SELECT doc_id, concat(' ', CASE doc_id%3 WHEN 0 THEN chr(9) ELSE chr(10) END, substr(text,1,30), CASE doc_id%2 WHEN 0 THEN chr(160) ELSE '  ' END) AS text FROM documents")
+text_query("strip_text", text.strip, duck.strip("text"), fx.STRIPPED)
 
 
-@query("leading_space", "SELECT doc_id, CASE WHEN lang IN ('zh', 'ja', 'th', 'lo', 'my') THEN substr(text,1,20) ELSE concat(' ', substr(text,1,20)) END AS result FROM (SELECT doc_id, text, CASE WHEN doc_id%4 = 0 THEN 'zh' ELSE lang END AS lang FROM documents) t")
+@query("leading_space", f"SELECT doc_id, CASE WHEN lang IN ('zh', 'ja', 'th', 'lo', 'my') THEN text ELSE concat(' ', text) END AS result FROM ({fx.LANGUAGES}) t")
 def _(s, d):
-    own = fixture(s, d, "SELECT doc_id, substr(text,1,20) AS text, CASE WHEN doc_id%4 = 0 THEN 'zh' ELSE lang END AS lang FROM documents")
-    return own.select("doc_id", text.leading_space(F.col("text"), F.col("lang")).alias("result"))
-
-
-_SENTENCES = "SELECT doc_id, CASE doc_id%4 WHEN 0 THEN concat('\"', substr(text,1,30), '\"') WHEN 1 THEN concat(substr(text,1,20), '?') WHEN 2 THEN '\"' ELSE substr(text,1,25) END AS text FROM documents"
+    return fixture(s, d, fx.LANGUAGES).select("doc_id", text.leading_space(F.col("text"), F.col("lang")).alias("result"))
 
 
 @query("sentence_punctuation", f"""SELECT doc_id, CASE WHEN length(b) > 0 AND right(b, 1) NOT IN ('.', '?', '!') THEN concat(b, '.') ELSE b END AS result FROM (
-SELECT doc_id, CASE WHEN starts_with(text, '"') AND ends_with(text, '"') THEN substr(text, 2, greatest(length(text) - 2, 0)) ELSE text END AS b FROM ({_SENTENCES}) t) x""")
+SELECT doc_id, CASE WHEN starts_with(text, '"') AND ends_with(text, '"') THEN substr(text, 2, greatest(length(text) - 2, 0)) ELSE text END AS b FROM ({fx.SENTENCES}) t) x""")
 def _(s, d):
-    return fixture(s, d, _SENTENCES).select("doc_id", text.finish_sentence(F.col("text")).alias("result"))
+    return fixture(s, d, fx.SENTENCES).select("doc_id", text.finish_sentence(F.col("text")).alias("result"))
 
 
 @query("sanitize_id", f"""SELECT page_id, coalesce(nullif({duck.sub(duck.sub("translate(" + duck.strip("url") + ", '/' || chr(92), '__')", "[^A-Za-z0-9._-]+", "_"), "^[._]+|[._]+$", "")}, ''), 'sample') AS result FROM (SELECT page_id, CASE WHEN page_id%7 = 0 THEN ' ._ ' ELSE url END AS url FROM pages) p""")
@@ -257,18 +263,21 @@ def _(s, d):
     return fixture(s, d, fx.RECORDS).select("doc_id", quality.first_word(F.col("text"), FORBIDDEN).alias("word"))
 
 
-@query("disposition_counts", f"""SELECT disposition, count(*) AS records FROM (SELECT CASE WHEN len({duck.words('text')}) <= 8 THEN 'bad_examples'
-WHEN {duck.hints('text', fixed.FRENCH_WORDS, fixed.FRENCH_ELISIONS)} AND lang = 'fr' THEN 'french_examples' WHEN {duck.hints('text', fixed.ENGLISH_WORDS, fixed.ENGLISH_ELISIONS)} AND lang = 'en' THEN 'english_examples'
-WHEN contains(upper(text), 'DER') THEN 'filtered_der_examples' ELSE 'kept' END AS disposition FROM ({fx.RECORDS}) r) x GROUP BY 1""")
+@query("bad_records")
 def _(s, d):
-    own = fixture(s, d, fx.RECORDS)
-    return quality.disposed(own, ["der"], F.col("lang"), bad=quality.few_words(F.col("text"))).groupBy("disposition").agg(F.count("*").alias("records"))
+    own = quality.disposed(fixture(s, d, fx.RECORDS))
+    return own.filter("disposition = 'bad_examples'").select("doc_id", "text")
 
 
-@query("residual_check", f"SELECT doc_id FROM ({fx.RECORDS}) r WHERE NOT contains(upper(text), 'THE') AND contains(upper(text), 'THE')")
+@query("disposition_counts")
 def _(s, d):
-    kept = quality.disposed(fixture(s, d, fx.RECORDS), ["the"], bad=F.lit(False)).filter("disposition = 'kept'")
-    return kept.filter(quality.first_word(F.col("text"), ["the"]).isNotNull()).select("doc_id")
+    return quality.disposed(fixture(s, d, fx.RECORDS), ["der"], F.col("lang")).groupBy("disposition").agg(F.count("*").alias("records"))
+
+
+@query("residual_check", f"SELECT doc_id, CASE WHEN contains(upper(text), 'ZZZ') THEN 'zzz' ELSE 'the' END AS word FROM ({fx.RECORDS}) r WHERE NOT contains(upper(text), 'QUE') AND (contains(upper(text), 'ZZZ') OR contains(upper(text), 'THE'))")
+def _(s, d):
+    kept = quality.disposed(fixture(s, d, fx.RECORDS), ["que"], bad=F.lit(False)).filter("disposition = 'kept'")
+    return quality.residual(kept, ["zzz", "the"]).select("doc_id", "word")
 
 
 @query("left_semi_ids", "SELECT doc_id, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 0)")
@@ -301,9 +310,9 @@ def _(s, d):
     return found.select("stem", F.col("transcript_format").alias("format"), F.col("transcript_file_id").alias("file_id"))
 
 
-@query("missing_transcripts", f"SELECT stem FROM ({fx.AUDIO}) a WHERE stem NOT IN (SELECT stem FROM ({fx.TRANSCRIPTS}) t WHERE CAST(stem AS bigint) < 20)")
+@query("missing_transcripts", f"SELECT stem FROM ({fx.AUDIO}) a WHERE stem NOT IN (SELECT stem FROM ({fx.TRANSCRIPTS}) t)")
 def _(s, d):
-    return subtitles.best_transcripts(fixture(s, d, fx.AUDIO), fixture(s, d, fx.TRANSCRIPTS).filter("CAST(stem AS bigint) < 20"))[1]
+    return subtitles.best_transcripts(fixture(s, d, fx.AUDIO), fixture(s, d, fx.TRANSCRIPTS))[1]
 
 
 @query("silence_subsample", f"SELECT doc_id, track_id, text FROM (SELECT *, row_number() OVER (PARTITION BY track_id, text = '' ORDER BY doc_id) AS n FROM ({fx.RECORDS}) r) x WHERE text <> '' OR (n - 1) % 3 = 0")
@@ -315,7 +324,7 @@ _RUNS = f"""WITH clips AS ({fx.CLIPS}), a AS (SELECT *, {duck.draw('clip_id', 42
 b AS (SELECT *, row_number() OVER w AS nth FROM a WINDOW w AS (PARTITION BY client_id ORDER BY h, clip_id)),
 c AS (SELECT *, CAST(sum(CASE WHEN nth = 1 THEN 0 ELSE breaks END) OVER (PARTITION BY client_id ORDER BY nth ROWS UNBOUNDED PRECEDING) AS bigint) AS run FROM b),
 e AS (SELECT *, min(clip_id) OVER (PARTITION BY client_id, run) AS run_first FROM c), f AS (SELECT *, {duck.draw('run_first', 44)} AS run_key FROM e),
-g AS (SELECT *, row_number() OVER (PARTITION BY run_key % 64 ORDER BY run_key, run_first, client_id, nth) - 1 AS place FROM f)"""
+g AS (SELECT *, row_number() OVER (ORDER BY run_key, run_first, client_id, nth) - 1 AS place FROM f)"""
 
 
 @query("speaker_runs", f"{_RUNS} SELECT clip_id, client_id, nth, run FROM g")
@@ -323,7 +332,7 @@ def _(s, d):
     return assembly.speaker_runs(fixture(s, d, fx.CLIPS), 500_000).select("clip_id", "client_id", "nth", "run")
 
 
-@query("chunk_sequences", f"{_RUNS} SELECT clip_id, concat(CAST(run_key % 64 AS varchar), '-', CAST(place // 8 AS varchar)) AS seq_id, CAST(place % 8 AS bigint) AS pos FROM g")
+@query("chunk_sequences", f"{_RUNS} SELECT clip_id, CAST(place // 8 AS varchar) AS seq_id, CAST(place % 8 AS bigint) AS pos FROM g")
 def _(s, d):
     return assembly.chunk_sequences(assembly.speaker_runs(fixture(s, d, fx.CLIPS), 500_000), 8).select("clip_id", "seq_id", "pos")
 
@@ -343,10 +352,32 @@ def _(s, d):
 
 @query("srt_text")
 def _(s, d):
-    own = fixture(s, d, fx.CUES_CONV_WHOLE).select(F.col("track_id").alias("seq_id"), F.col("cue_idx").alias("pos"), (F.col("start_ms") / F.lit(1000.0)).alias("start_s"), (F.col("end_ms") / F.lit(1000.0)).alias("end_s"), "text")
+    own = fixture(s, d, fx.CUES_CONV).select(F.col("track_id").alias("seq_id"), F.col("cue_idx").alias("pos"), (F.col("start_ms") / F.lit(1000.0)).alias("start_s"), (F.col("end_ms") / F.lit(1000.0)).alias("end_s"), "text")
     return assembly.srt_texts(own)
 
 
+# audio, of generated recordings
+
+@query("wave_durations", f"SELECT clip_id, dur_ms FROM ({fx.CLIPS}) c")
+def _(s, d):
+    clips = fixture(s, d, fx.CLIPS).select(F.col("clip_id").cast("string").alias("path"), "dur_ms")
+    return audio.tones(clips).select(F.col("path").cast("long").alias("clip_id"), providers.wav_duration_ms("content").alias("dur_ms"))
+
+
+@query("segment_audio", f"{duck.SEGMENTS.replace(fx.CUES_DENSE, fx.CUES_CONV)} SELECT concat(track_id, '/', CAST(seg_start AS varchar), '.wav') AS path, CAST(least(seg_end*16, seg_start*16 + 480000) - seg_start*16 AS bigint) AS samples FROM segs")
+def _(s, d):
+    own = whole_tracks(s, d, fx.CUES_CONV)
+    recordings = audio.tones(tracks(own).select(F.col("track_id").alias("path"), "audio_ms"), "audio_ms").withColumnRenamed("path", "track_id")
+    cuts = segments.segment_boundaries(own).withColumn("path", F.concat("track_id", F.lit("/"), F.col("seg_start").cast("string"), F.lit(".wav")))
+    return audio.segment_audio(cuts, recordings).select("path", ((F.octet_length("bytes") - 44) / 2).cast("long").alias("samples"))
+
+
+@query("render_sequences", f"SELECT seq_id, CAST(sum((dur_ms // 10 - overlap_ms // 10) * 16) AS bigint) AS samples FROM ({fx.SEQUENCES}) q GROUP BY 1")
+def _(s, d):
+    rows = fixture(s, d, fx.SEQUENCES).select("seq_id", "pos", F.col("clip_id").cast("string").alias("path"), F.floor(F.col("dur_ms") / 10).alias("dur_ms"), F.floor(F.col("overlap_ms") / 10).alias("overlap_ms"))
+    return audio.render_sequences(rows, audio.tones(rows)).select("seq_id", ((F.octet_length("bytes") - 44) / 2).cast("long").alias("samples"))
+
+
 # files
 
 
@@ -376,97 +407,13 @@ def _(s, d):
     return rows.select("track_id", providers.ring_activity(F.transform("all", lambda x: x["voiced"]), F.size("all") * 30, 30, 90).alias("v")).select("track_id", "v.*")
 
 
-# whole texts: the same operators without the prefixes of the fixtures above
-
-text_query("remove_brackets_whole", text.remove_bracketed, duck.brackets("text"), fx.TEXTS_WHOLE)
-text_query("standardize_text_whole", text.standardize, duck.standardize("text"), fx.TEXTS_WHOLE)
-text_query("triple_dots_whole", text.tidy_dots, duck.dots("text"), fx.TEXTS_WHOLE)
-text_query("capitalization_whole", text.fix_capitals, duck.capitals("text"), fx.TEXTS_WHOLE)
-text_query("tokenize_text_whole", lambda c: F.array_join(text.tokens(c), "|"), f"array_to_string(regexp_extract_all(text, '\\.\\.\\.|[^{duck._SP}]+'), '|')", fx.TEXTS_WHOLE)
-text_query("currencies_whole", text.currencies, duck.currencies("text"), fx.TEXTS_WHOLE)
-text_query("comma_decimal_whole", text.comma_decimals, duck.comma("text"), fx.TEXTS_WHOLE)
-text_query("abbreviations_whole", text.expand_abbreviations, duck.abbreviations("text"), fx.TEXTS_WHOLE)
-text_query("strip_text_whole", text.strip, duck.strip("text"), fx.STRIPPED_WHOLE)
-
-
-@query("leading_space_whole", f"SELECT doc_id, CASE WHEN lang IN ('zh', 'ja', 'th', 'lo', 'my') THEN text ELSE concat(' ', text) END AS result FROM ({fx.LANGUAGES_WHOLE}) t")
-def _(s, d):
-    return fixture(s, d, fx.LANGUAGES_WHOLE).select("doc_id", text.leading_space(F.col("text"), F.col("lang")).alias("result"))
-
-
-@query("sentence_punctuation_whole", ORACLE["sentence_punctuation"].replace(_SENTENCES, fx.SENTENCES_WHOLE))
-def _(s, d):
-    return fixture(s, d, fx.SENTENCES_WHOLE).select("doc_id", text.finish_sentence(F.col("text")).alias("result"))
-
-
-@query("blank_drop_whole", ORACLE["blank_drop"].replace(fx.RECORDS, fx.RECORDS_WHOLE))
-def _(s, d):
-    return cues.drop_blank(fixture(s, d, fx.RECORDS_WHOLE)).select("doc_id", "text")
-
-
-@query("record_filter_words_whole", ORACLE["record_filter_words"].replace(fx.RECORDS, fx.RECORDS_WHOLE))
-def _(s, d):
-    return fixture(s, d, fx.RECORDS_WHOLE).select("doc_id", quality.first_word(F.col("text"), FORBIDDEN).alias("word"))
-
-
-@query("residual_check_whole")
-def _(s, d):
-    kept = quality.disposed(fixture(s, d, fx.RECORDS_WHOLE), ["the"], bad=F.lit(False)).filter("disposition = 'kept'")
-    return kept.filter(quality.first_word(F.col("text"), ["the"]).isNotNull()).select("doc_id")
-
-
-@query("silence_subsample_whole", ORACLE["silence_subsample"].replace(fx.RECORDS, fx.RECORDS_WHOLE))
-def _(s, d):
-    return assembly.subsample_silence(fixture(s, d, fx.RECORDS_WHOLE), 3, ["doc_id"]).select("doc_id", "track_id", "text")
-
-
-@query("fuse_captions_whole", duck.FUSED.replace(fx.CUES_CONV, fx.CUES_CONV_WHOLE))
-def _(s, d):
-    return cues.fuse_captions(fixture(s, d, fx.CUES_CONV_WHOLE))
-
-
-@query("parse_subtitles_whole", ORACLE["parse_subtitles"].replace(fx.SRT_FILES, fx.SRT_FILES_WHOLE))
-def _(s, d):
-    return subtitles.parse_cues(fixture(s, d, fx.SRT_FILES_WHOLE.replace("string_agg(concat(", "listagg(concat(").replace("chr(10) ORDER BY turn)", "chr(10)) WITHIN GROUP (ORDER BY turn)")))
-
-
-@query("series_sentences_whole", ORACLE["series_sentences"].replace(fx.CUES_CONV, fx.CUES_CONV_WHOLE))
-def _(s, d):
-    own = fixture(s, d, fx.CUES_CONV_WHOLE)
-    files = own.select("track_id").distinct().select("track_id", F.lit("a").alias("audio"), F.col("track_id").alias("series"), F.lit("s").alias("srt"), F.lit("de").alias("language"))
-    return tables.series(own, files).select(F.col("series").alias("track_id"), "sentence")
-
-
-@query("word_count_filter_whole")
-def _(s, d):
-    own = quality.disposed(fixture(s, d, fx.RECORDS_WHOLE))
-    return own.filter("disposition <> 'bad_examples'").select("doc_id", "text")
-
-
-@query("disposition_counts_whole")
-def _(s, d):
-    own = quality.disposed(fixture(s, d, fx.RECORDS_WHOLE), ["der"], F.col("lang"))
-    return own.groupBy("disposition").agg(F.count("*").alias("records"))
-
-
-@query("best_transcript_per_stem_whole", ORACLE["best_transcript_per_stem"].replace(fx.TRANSCRIPTS, fx.TRANSCRIPTS_WHOLE).replace(fx.AUDIO, fx.AUDIO_WHOLE))
-def _(s, d):
-    found, _missing = subtitles.best_transcripts(fixture(s, d, fx.AUDIO_WHOLE), fixture(s, d, fx.TRANSCRIPTS_WHOLE))
-    return found.select("stem", F.col("transcript_format").alias("format"), F.col("transcript_file_id").alias("file_id"))
-
-
-@query("missing_transcripts_whole", f"SELECT stem FROM ({fx.AUDIO_WHOLE}) a WHERE stem NOT IN (SELECT stem FROM ({fx.TRANSCRIPTS_WHOLE}) t)")
-def _(s, d):
-    return subtitles.best_transcripts(fixture(s, d, fx.AUDIO_WHOLE), fixture(s, d, fx.TRANSCRIPTS_WHOLE))[1]
-
-
 # pipelines
 
 @query("pipeline_splitting")
 def _(s, d):
     own = dense(s, d).unionByName(messy(s, d).withColumn("track_id", F.concat(F.lit("m"), "track_id")))
     info = tracks(own).select("track_id", "audio_ms", F.concat(F.lit("dump/"), "track_id").alias("audio_path"), F.lit("de").alias("language"))
-    return split_recordings(own, info, Config(filter_words=["error"]), language=providers.hinted_language(text.french_hint(F.col("text")), text.english_hint(F.col("text"))))
+    return split_recordings(own, info, Config(filter_words=["error"]), language=providers.hinted_language(text.french_hint(F.col("text")), text.english_hint(F.col("text")))).drop("seg_start", "seg_end")
 
 
 @query("pipeline_fusion")

@@ -152,3 +152,21 @@ f AS (SELECT track_id, i, start_ms AS s, end_ms AS e, text AS t, CAST(0 AS bigin
   FROM (SELECT f.*, o.start_ms, o.end_ms, o.text, concat(regexp_replace(f.t, '\\s+$', ''), ' ', regexp_replace(o.text, '^\\s+', '')) AS joined, length(concat(regexp_replace(f.t, '\\s+$', ''), ' ', regexp_replace(o.text, '^\\s+', ''))) <= 42 AND o.end_ms - f.s <= 7000 AS fits
     FROM f JOIN o ON o.track_id = f.track_id AND o.i = f.i + 1) f JOIN o ON o.track_id = f.track_id AND o.i = f.i + 1)
 SELECT track_id, g AS cue_idx, max_by(s, i) AS start_ms, max_by(e, i) AS end_ms, max_by(t, i) AS text FROM f GROUP BY track_id, g"""
+
+#: One step a cue: what joins the next cue (ahead), the cue before as it came to stand (b), and the cues that stay.
+SANITIZED = f"""WITH RECURSIVE cues AS ({fx.CUES_MESSY}),
+a AS (SELECT *, CASE WHEN text IS NOT DISTINCT FROM lag(text) OVER w AND row_number() OVER w > 1 THEN 0 ELSE 1 END AS chg FROM cues WINDOW w AS (PARTITION BY track_id ORDER BY cue_idx)),
+b AS (SELECT *, sum(chg) OVER (PARTITION BY track_id ORDER BY cue_idx ROWS UNBOUNDED PRECEDING) AS run FROM a),
+c AS (SELECT *, count(*) OVER (PARTITION BY track_id, run) AS n FROM b),
+t AS (SELECT track_id, list({{'s': start_ms, 'e': end_ms, 't': text}} ORDER BY start_ms, cue_idx) AS l FROM c WHERE n < 3 AND length({strip("text")}) > 0 GROUP BY 1),
+w AS (SELECT track_id, CAST(0 AS bigint) AS i, CAST(NULL AS struct(s bigint, e bigint, t varchar)) AS ahead, CAST(NULL AS struct(s bigint, e bigint, t varchar)) AS bef, CAST([] AS struct(s bigint, e bigint, t varchar)[]) AS stay, false AS lost FROM t
+  UNION ALL
+  SELECT track_id, i + 1, CASE WHEN x.s >= x.e AND NOT near THEN x END, x,
+    CASE WHEN x.s < x.e THEN list_append(stay, x) WHEN near AND len(stay) > 0 THEN list_append(stay[:-2], {{'s': least(stay[-1].s, x.s), 'e': greatest(stay[-1].e, x.e), 't': concat(stay[-1].t, ' ', x.t)}}) ELSE stay END,
+    x.s >= x.e AND near AND len(stay) = 0
+  FROM (SELECT *, coalesce(x.s BETWEEN bef.s AND bef.e OR x.e BETWEEN bef.s AND bef.e, false) AS near
+    FROM (SELECT w.*, CASE WHEN ahead IS NULL THEN l[i + 1] ELSE {{'s': least(ahead.s, l[i + 1].s), 'e': greatest(ahead.e, l[i + 1].e), 't': concat(ahead.t, ' ', l[i + 1].t)}} END AS x
+      FROM w JOIN t USING (track_id) WHERE i < len(l) AND NOT lost) y) z),
+f AS (SELECT w.track_id, stay, lost OR ahead IS NOT NULL AS lost FROM w JOIN t USING (track_id) WHERE lost OR i = len(l))
+SELECT track_id, CAST(k - 1 AS bigint) AS cue_idx, stay[k].s AS start_ms, stay[k].e AS end_ms, stay[k].t AS text, CAST(NULL AS varchar) AS error FROM (SELECT *, unnest(range(1, len(stay) + 1)) AS k FROM f WHERE NOT lost) g
+UNION ALL SELECT track_id, NULL, NULL, NULL, NULL, 'a cue has nothing to join' FROM f WHERE lost"""

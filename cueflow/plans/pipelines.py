@@ -27,6 +27,7 @@ class Config:
     filter_french: bool = True
     filter_english: bool = False
     silence_every: int = 1
+    audio_format: str = "mp3"
     clips_per_sequence: int = 16
     maintain_speaker: int = 500_000
     overlap_chance: int = 500_000
@@ -65,11 +66,10 @@ def parse_args(args: Sequence[str] | None = None) -> argparse.Namespace:
 
 
 def sanitized_where_invalid(cues: DataFrame) -> DataFrame:
-    """Cues of valid tracks as they are, of others repaired; tracks beyond repair go."""
-    valid = cue_ops.track_validity(cues)
-    fine = cues.join(valid.filter("valid"), "track_id", "left_semi").select("track_id", "cue_idx", "start_ms", "end_ms", "text")
-    rest = cues.join(valid.filter("NOT valid"), "track_id", "left_semi").select("track_id", "cue_idx", "start_ms", "end_ms", "text")
-    return fine.unionByName(cue_ops.sanitize_cues(rest).filter("error IS NULL").drop("error"))
+    """Cues of valid tracks as they are, of others repaired; tracks beyond repair go.  Validity is a window over the shuffle that all later steps by track share."""
+    marked = cue_ops.with_validity(cues).select("track_id", "cue_idx", "start_ms", "end_ms", "text", "valid")
+    rest = cue_ops.sanitize_cues(marked.filter("NOT valid").drop("valid")).filter("error IS NULL").drop("error")
+    return marked.filter("valid").drop("valid").unionByName(rest)
 
 
 def split_recordings(cues: DataFrame, tracks: DataFrame, config: Config = Config(), language: Column | None = None) -> DataFrame:
@@ -87,15 +87,24 @@ def split_recordings(cues: DataFrame, tracks: DataFrame, config: Config = Config
     found = seg_ops.segment_records(placed, seg_ops.segment_boundaries(placed, config.cut_initial_audio)).filter("within")
     thinned = assembly.subsample_silence(found, config.silence_every, ["span_idx", "seg_idx"]) if config.silence_every > 1 else found
     own = thinned.join(tracks, "track_id")
-    path = F.concat_ws("/", "audio_path", F.concat(F.col("seg_start").cast("string"), F.lit(".mp3")))
-    records = own.select("track_id", "span_idx", "seg_idx", path.alias("audio_path"), "text", "language", "prompt")
+    path = F.concat_ws("/", "audio_path", F.concat(F.col("seg_start").cast("string"), F.lit(f".{config.audio_format}")))
+    records = own.select("track_id", "span_idx", "seg_idx", "seg_start", "seg_end", path.alias("audio_path"), "text", "language", "prompt")
     return quality.disposed(records, config.filter_words, language, config.filter_french, config.filter_english)
 
 
-def fuse_clips(clips: DataFrame, config: Config = Config()) -> DataFrame:
-    """Captions (seq_id, pos, clip_id, start_s, end_s, text) of sequences of clips (clip_id, sentence, client_id, dur_ms, vad_start_ms, vad_end_ms)."""
+def timed_clips(clips: DataFrame, config: Config = Config()) -> DataFrame:
+    """Clips (clip_id, sentence, client_id, dur_ms, vad_start_ms, vad_end_ms, ...) in sequences: adds seq_id, pos, overlap_ms, offset_ms, start_ms and end_ms."""
     runs = assembly.speaker_runs(clips, config.maintain_speaker, config.seed)
-    placed = assembly.joined_sequences(runs, config.clips_per_sequence)
-    timed = assembly.fused_offsets(assembly.draw_overlaps(placed, config.overlap_chance, config.max_overlap_chance, config.max_overlap_ms, config.seed))
-    captions = timed.select("seq_id", "pos", "clip_id", (F.col("start_ms") / 1000.0).cast("double").alias("start_s"), (F.col("end_ms") / 1000.0).cast("double").alias("end_s"), normalize(F.col("sentence")).alias("text"))
-    return cue_ops.repair_overlaps(captions)
+    placed = assembly.chunk_sequences(runs, config.clips_per_sequence)
+    return assembly.fused_offsets(assembly.draw_overlaps(placed, config.overlap_chance, config.max_overlap_chance, config.max_overlap_ms, config.seed))
+
+
+def sequence_captions(timed: DataFrame) -> DataFrame:
+    """Captions (seq_id, pos, clip_id, start_s, end_s, text) of clips in sequences."""
+    seconds = lambda c: (F.col(c) / 1000.0).cast("double")
+    return cue_ops.repair_overlaps(timed.select("seq_id", "pos", "clip_id", seconds("start_ms").alias("start_s"), seconds("end_ms").alias("end_s"), normalize(F.col("sentence")).alias("text")))
+
+
+def fuse_clips(clips: DataFrame, config: Config = Config()) -> DataFrame:
+    """Captions of sequences of clips."""
+    return sequence_captions(timed_clips(clips, config))

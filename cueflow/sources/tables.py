@@ -101,11 +101,18 @@ def write_diverted(cues: DataFrame, path: str) -> None:
 
 
 def write_dataset(records: DataFrame, path: str, split: str = "train") -> None:
-    """Parquet with audio as (path, bytes), in a folder for each split."""
-    audio = F.struct(F.col("audio").alias("path"), F.lit(None).cast("binary").alias("bytes"))
+    """Parquet with audio as (path, bytes), in a folder for each split; records whose ``audio`` is just a path have no bytes."""
+    bare = records.schema["audio"].dataType.typeName() == "string"
+    audio = F.struct(F.col("audio").alias("path"), F.lit(None).cast("binary").alias("bytes")) if bare else F.col("audio")
     records.withColumn("audio", audio).withColumn("split", F.lit(split)).write.partitionBy("split").parquet(path)
 
 
+def write_tsv(rows: DataFrame, path: str) -> None:
+    """Rows as tab-separated text with a header, without what can't be text."""
+    plain = [f.name for f in rows.schema.fields if f.dataType.typeName() not in ("binary", "array", "struct", "map")]
+    rows.select(*plain).write.option("sep", "\t").option("header", True).csv(path)
+
+
 def write_subtitles(texts: DataFrame, path: str) -> None:
     """(seq_id, srt) as text, a folder for each sequence."""
     texts.select("seq_id", F.col("srt").alias("value")).write.partitionBy("seq_id").text(path)

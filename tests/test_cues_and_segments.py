@@ -64,11 +64,11 @@ def test_prompts_are_the_suffix_that_reaches_the_limit(spark):
 
 
 def test_cut_initial_audio_and_invalid_segments():
-    row = lambda s, e, t, **x: {"start_ms": s, "end_ms": e, "text": t, "span_start": 0, "span_end": 90_000, "span_idx": 0} | x
-    assert next(segments.boundaries([row(5000, 6000, "a")], True))[0] == 4000 and next(segments.boundaries([row(5000, 6000, "a", span_idx=1)], True))[0] == 0
-    got = list(segments.boundaries([row(0, 1000, "a"), row(900, 2000, "b"), row(40_000, 41_000, "c")], False))
+    found = lambda cues, cut=False: list(segments.boundaries(*map(list, zip(*cues)), 0, 10**6, cut))
+    assert found([(5000, 6000, "a")], True)[0][0] == 4000 and found([(5000, 6000, "a")])[0][0] == 0
+    got = found([(0, 1000, "a"), (900, 2000, "b"), (40_000, 41_000, "c")])
     assert [(x[0], x[4], x[5]) for x in got] == [(0, False, 0), (30_000, True, 1)]
-    assert [x[4] for x in segments.boundaries([row(k * 1000, k * 1000 + 500, "a") for k in range(3)], False)] == [False]
+    assert [x[4] for x in found([(k * 1000, k * 1000 + 500, "a") for k in range(3)])] == [False]
 
 
 def test_spans(spark):

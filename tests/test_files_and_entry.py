@@ -110,7 +110,7 @@ def test_queries_equal_duckdb(spark):
         order = sorted(columns)
         mine = sorted(repr([plain(r[c]) for c in order]) for r in rows)
         theirs = sorted(repr([plain(r[columns.index(c)]) for c in order]) for r in other.fetchall())
-        if sorted(df.columns) != order or mine != theirs or not mine and name != "residual_check":
+        if sorted(df.columns) != order or mine != theirs or not mine:
             wrong.append(name)
     assert not wrong
 
@@ -126,16 +126,16 @@ def test_queries_see_what_comes_after_the_prefix(spark, tmp_path):
     assert run("normalize_documents")[0].result.endswith("wort das das geht geht 12'000 so zzz")
     assert run("collapse_ngrams")[0].result == "Hm bzw. etc. , x ? ! wort das geht [weg] 12 000 so zzz"
     assert run("srt_text")[0].srt.count(PAST) == 2
-    assert [r.word for r in run("record_filter_words_whole")] == ["zzz"]
-    assert run("residual_check_whole") == []
-    assert run("remove_brackets_whole")[0].result == start + PAST.replace("[weg]", "") + " zzz"
-    assert run("tokenize_text_whole")[0].result == "|".join((start + PAST + " zzz").split())
+    assert [r.word for r in run("record_filter_words")] == ["zzz"]
+    assert [r.word for r in run("residual_check")] == ["zzz"]
+    assert run("remove_brackets")[0].result == start + PAST.replace("[weg]", "") + " zzz"
+    assert run("tokenize_text")[0].result == "|".join((start + PAST + " zzz").split())
     for name in ("standardize_text", "triple_dots", "capitalization", "currencies", "comma_decimal", "abbreviations", "strip_text", "leading_space", "sentence_punctuation"):
-        assert run(f"{name}_whole")[0].result.rstrip(".").endswith("12 000 so zzz"), name
+        assert run(f"{name}")[0].result.rstrip(".").endswith("12 000 so zzz"), name
     for name in ("blank_drop", "silence_subsample"):
-        assert PAST in run(f"{name}_whole")[0].text, name
-    for name, column in (("fuse_captions", "text"), ("parse_subtitles", "text"), ("series_sentences", "sentence")):
-        assert PAST in run(f"{name}_whole")[0][column], name
+        assert PAST in run(f"{name}")[0].text, name
+    for name, column in (("fuse_long_captions", "text"), ("parse_subtitles", "text"), ("series_sentences", "sentence")):
+        assert PAST in run(f"{name}")[0][column], name
 
 
 def test_repetitive_and_short_records_are_bad_examples(spark, tmp_path):
@@ -150,17 +150,17 @@ def test_repetitive_and_short_records_are_bad_examples(spark, tmp_path):
 
     kept = {i for i, t in records if not bad(t)}
     assert kept == {2, 5, 6}
-    assert {r.doc_id for r in catalogue.QUERIES["word_count_filter_whole"](spark, str(tmp_path)).collect()} == kept
-    counts = {r.disposition: r.records for r in catalogue.QUERIES["disposition_counts_whole"](spark, str(tmp_path)).collect()}
+    assert {r.doc_id for r in catalogue.QUERIES["bad_records"](spark, str(tmp_path)).collect()} == {i for i, _ in records} - kept
+    counts = {r.disposition: r.records for r in catalogue.QUERIES["disposition_counts"](spark, str(tmp_path)).collect()}
     assert counts == {"bad_examples": len(records) - 3, "filtered_der_examples": 1, "kept": 2}
 
 
 def test_transcripts_of_all_stems(spark, tmp_path):
     spark.range(1000).selectExpr("id AS doc_id").write.parquet(f"{tmp_path}/documents.parquet")
     spark.range(600).selectExpr("id AS page_id").write.parquet(f"{tmp_path}/pages.parquet")
-    found = {r.stem: r.format for r in catalogue.QUERIES["best_transcript_per_stem_whole"](spark, str(tmp_path)).collect()}
+    found = {r.stem: r.format for r in catalogue.QUERIES["best_transcript_per_stem"](spark, str(tmp_path)).collect()}
     assert found == {str(i): "srt" if i % 2 else "vtt" for i in range(600)}
-    missing = [r.stem for r in catalogue.QUERIES["missing_transcripts_whole"](spark, str(tmp_path)).collect()]
+    missing = [r.stem for r in catalogue.QUERIES["missing_transcripts"](spark, str(tmp_path)).collect()]
     assert sorted(missing) == sorted(str(-1 - i) for i in range(0, 600, 5))
 
 

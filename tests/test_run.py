@@ -1,5 +1,6 @@
 """The pipelines over files."""
 
+import random
 import wave
 
 import numpy as np
@@ -30,8 +31,8 @@ def test_split(spark, tmp_path, manifest):
         (tmp_path / "m.tsv").write_text("\n".join(["srt_path\taudio_path\tlanguage", *rows, ""]))
         options["manifest"] = str(tmp_path / "m.tsv")
     found = sorted((r.audio_path, r.text, r.disposition) for r in run.split(spark, options).collect())
-    base = f"{tmp_path}/audio/a"
-    assert found == [(f"{base}/0.mp3", "<|1.00|> eins zwei drei vier fünf sechs<|4.00|>", "bad_examples"), (f"{base}/7000.mp3", "<|1.00|> sieben acht neun zehn elf zwölf<|3.00|>", "bad_examples")]
+    base = f"{tmp_path}/out/audio/a"
+    assert found == [(f"{base}/0.wav", "<|1.00|> eins zwei drei vier fünf sechs<|4.00|>", "bad_examples"), (f"{base}/7000.wav", "<|1.00|> sieben acht neun zehn elf zwölf<|3.00|>", "bad_examples")]
     assert spark.read.parquet(f"{tmp_path}/out/missing").count() == 1 and spark.read.parquet(f"{tmp_path}/out/parse_errors").count() == int(manifest)
     assert spark.read.option("sep", "\t").csv(f"{tmp_path}/out/diverted", header=True).first().text == "ein Geheimnis hier"
 
@@ -45,3 +46,47 @@ def test_fuse(spark, tmp_path):
     found = run.fuse(spark, options).collect()
     assert sorted(r.text for r in found) == [f"Satz {i}" for i in range(6)] and all(r.end_s > r.start_s for r in found)
     assert spark.read.text(f"{tmp_path}/out/srt").filter("value like '%-->%'").count() == 6
+    timed = spark.read.parquet(f"{tmp_path}/out/sequences").collect()
+    for seq in {r.seq_id for r in timed}:
+        with wave.open(f"{tmp_path}/out/audio/{seq}.wav") as w:
+            assert w.getframerate() == 16_000 and w.getnframes() == sum(r.dur_ms - r.overlap_ms for r in timed if r.seq_id == seq) * 16
+
+
+def test_split_writes_the_audio_of_kept_segments(spark, tmp_path):
+    (tmp_path / "audio").mkdir(), (tmp_path / "srt").mkdir()
+    write_wave(tmp_path / "audio/a.wav", 70)
+    pick = random.Random(1)
+    words = ["".join(pick.choice("abcdefghijklmnoprstuvwz") for _ in range(pick.randrange(3, 10))) for _ in range(120)]
+    cues = [f"{k + 1}\n00:00:{8 * k + 1:02d},000 --> 00:00:{8 * k + 7:02d},000\n{' '.join(words[12 * k : 12 * k + 12])}\n\n" for k in range(7)]
+    (tmp_path / "srt/a.srt").write_text("".join(cues))
+    options = {"out_folder": str(tmp_path / "out"), "transcripts_folder": str(tmp_path / "srt"), "audio_folder": str(tmp_path / "audio"), "fuse_captions": True}
+    kept = run.split(spark, options).filter("disposition = 'kept'").collect()
+    assert len(kept) >= 2
+    with wave.open(str(tmp_path / "audio/a.wav")) as w:
+        whole = np.frombuffer(w.readframes(w.getnframes()), "<i2").astype(float)
+    whole *= 32767 * 10 ** (-0.1 / 20) / np.abs(whole).max()
+    rows = {r.audio.path: r for r in spark.read.parquet(f"{tmp_path}/out/dataset").collect()}
+    for r in kept:
+        with wave.open(r.audio_path) as w:
+            own = np.frombuffer(w.readframes(w.getnframes()), "<i2")
+        want = whole[r.seg_start * 16 : min(r.seg_end * 16, r.seg_start * 16 + 480_000)]
+        assert len(own) == len(want) and np.abs(own - want).max() < 2
+        assert rows[r.audio_path].text == r.text and bytes(rows[r.audio_path].audio.bytes) == open(r.audio_path, "rb").read()
+    assert spark.read.parquet(f"{tmp_path}/out/cues_fused").count() == 7
+
+
+def test_series_files(spark, tmp_path):
+    from cueflow.sources import audio, subtitles, tables
+
+    for name in ("one/a", "one/b", "two/a"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / f"{name}.srt").write_text(SRT)
+        (tmp_path / f"{name}.mp3").write_bytes(b"x")
+    files, info = audio.series_files(spark, str(tmp_path))
+    got = {(r.series, r.audio.rsplit("/", 2)[-2:][1], r.sentence[:13]) for r in tables.series(subtitles.parse_cues(files), info).collect()}
+    assert got == {("one", "a.mp3", "eins zwei dre"), ("one", "b.mp3", "eins zwei dre"), ("two", "a.mp3", "eins zwei dre")}
+    tables.write_tsv(info, str(tmp_path / "tsv"))
+    assert spark.read.option("sep", "\t").option("multiLine", True).csv(str(tmp_path / "tsv"), header=True).count() == 3
+    (tmp_path / "two/a.mp3").unlink()
+    with pytest.raises(FileNotFoundError):
+        audio.series_files(spark, str(tmp_path))
