@@ -71,16 +71,19 @@ def quality_rules(rounds: int = rules.ROUNDS) -> str:
     each = range(1, k + 1)
     clip = lambda x: f"greatest(least({x}, 0.995), 0.005)"
     odds = "ln(prior / (1 - prior)) + " + " + ".join(f"CASE v{j} WHEN 1 THEN ln(g{j} / (1 - b{j})) WHEN -1 THEN ln((1 - g{j}) / b{j}) ELSE 0 END" for j in each)
-    share = lambda j, value, p: clip(f"(sum(CASE WHEN v{j} = {value} THEN n * {p} ELSE 0 END) + 1) / (sum(CASE WHEN v{j} <> 0 THEN n * {p} ELSE 0 END) + 2)")
+    rows_all = "greatest(sum(n), 1)"
+    share = lambda j, value, p, held: clip(f"(sum(CASE WHEN v{j} = {value} THEN n * {p} ELSE 0 END) + {rows_all} * ({rules.HOLD * held})) / (sum(CASE WHEN v{j} <> 0 THEN n * {p} ELSE 0 END) + {rows_all} * {rules.HOLD})")
     steps = "m0 AS (SELECT 0.8::double AS prior, " + ", ".join(f"0.9::double AS g{j}, 0.6::double AS b{j}" for j in each) + ")"
     for i in range(1, rounds + 1):
-        steps += f""", m{i} AS (SELECT {clip("sum(n * p) / greatest(sum(n), 1)")} AS prior, {", ".join(f"{share(j, 1, 'p')} AS g{j}, {share(j, -1, '(1 - p)')} AS b{j}" for j in each)}
+        steps += f""", m{i} AS (SELECT {clip("sum(n * p) / greatest(sum(n), 1)")} AS prior, {", ".join(f"{share(j, 1, 'p', rules.GOOD)} AS g{j}, {share(j, -1, '(1 - p)', rules.BAD)} AS b{j}" for j in each)}
 FROM (SELECT pat.*, 1 / (1 + exp(-({odds}))) AS p FROM pat, m{i - 1}) x)"""
     vote = lambda bad, good, j: f"CASE WHEN {bad} THEN -1 WHEN {good} THEN 1 ELSE 0 END AS v{j}"
     votes = [
-        ("n_words < 50", "n_words >= 100"), ("5 * n_repeat_words > n_words", "20 * n_repeat_words <= n_words"), ("4 * n_dup_lines > n_lines", "n_dup_lines = 0"), ("20 * n_symbols > n_words", "100 * n_symbols <= n_words"),
+        ("4 * n_dup_lines > n_lines", "n_dup_lines = 0"), ("20 * n_symbols > n_words", "100 * n_symbols <= n_words"), ("10 * n_symbol_ends > n_words", "100 * n_symbol_ends <= n_words"),
         ("2 * word_chars < 5 * n_words OR word_chars > 15 * n_words", "word_chars >= 3 * n_words AND word_chars <= 12 * n_words"), ("10 * n_capitals > 3 * word_chars", "10 * n_capitals <= word_chars"),
-        ("10 * n_exclamations > n_words", "50 * n_exclamations <= n_words"), ("n_words >= 100 AND n_stops = 0", "100 * n_stops >= n_words"),
+        ("5 * n_shouts > n_words", "50 * n_shouts <= n_words"), ("10 * n_exclamations > n_words", "50 * n_exclamations <= n_words"), ("10 * n_exclaimed_ends > n_words", "50 * n_exclaimed_ends <= n_words"),
+        ("n_words >= 50 AND (50 * n_sentence_ends < n_words OR 4 * n_sentence_ends > n_words)", "30 * n_sentence_ends >= n_words AND 5 * n_sentence_ends <= n_words"),
+        ("20 * n_punctuated_ends < n_words OR 3 * n_punctuated_ends > n_words", "12 * n_punctuated_ends >= n_words AND 4 * n_punctuated_ends <= n_words"), ("2 * n_distinct < n_words", "5 * n_distinct >= 3 * n_words"),
     ]
     count = lambda pattern: f"CAST(len(regexp_extract_all(t, '{pattern}')) AS bigint)"
     return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t, {_WORDS} AS w FROM documents),
@@ -89,7 +92,7 @@ r AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i+1], w[i+2]
 rep AS (SELECT doc_id, count(*) AS n FROM (SELECT DISTINCT doc_id, unnest(range(i, i + 3)) AS i FROM r WHERE c > 1) x GROUP BY 1),
 lin AS (SELECT doc_id, count(*) AS n, count(*) - count(DISTINCT line) AS dup FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d) x WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY 1),
 f AS (SELECT d.doc_id, CAST(len(w) AS bigint) AS n_words, CAST(length(array_to_string(w, '')) AS bigint) AS word_chars, {count("[#*$%&|<>]")} AS n_symbols, coalesce(lin.dup, 0) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words,
-  coalesce(lin.n, 0) AS n_lines, {count("\\p{Lu}")} AS n_capitals, {count("!")} AS n_exclamations, {count("[.!?]")} AS n_stops FROM d LEFT JOIN rep USING (doc_id) LEFT JOIN lin USING (doc_id)),
+  coalesce(lin.n, 0) AS n_lines, CAST(len(list_distinct(w)) AS bigint) AS n_distinct, {", ".join(f"{count(p)} AS {name}" for name, p in rules.COUNTS.items())} FROM d LEFT JOIN rep USING (doc_id) LEFT JOIN lin USING (doc_id)),
 v AS (SELECT *, {", ".join(vote(*x, j) for j, x in enumerate(votes, 1))} FROM f), pat AS (SELECT {", ".join(f"v{j}" for j in each)}, count(*)::double AS n FROM v GROUP BY ALL), {steps}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 1 / (1 + exp(-({odds}))) >= 0.5 AS kept FROM v, m{rounds}"""

@@ -2,8 +2,10 @@
 
 Each rule votes for (1) or against (-1) a document or abstains (0).  Expectation-maximisation estimates, without labels, the share
 of good documents and for each rule how often it votes for a good and against a bad one (Dawid and Skene, 1979); a
-document is kept when the posterior probability that it is good is one half or more.  Documents with equal votes have equal posteriors,
-so the estimate runs on the counts of vote patterns, ``3**8`` at most, and its size doesn't grow with the corpus.
+document is kept when the posterior probability that it is good is one half or more (a tie is kept).  Bad documents are of several kinds, each seen by a few rules, so without more
+the estimate would call just one kind bad: before any vote, each rule is held to be right for ``GOOD`` of the good and ``BAD`` of the bad, with ``HOLD`` of all rows' weight.
+The rules look at what the base counts don't: symbols, capitals, exclamations, how words end, how many differ.  Documents with equal votes have equal posteriors,
+so the estimate runs on the counts of vote patterns (some hundred, ``3**11`` at most), and its size doesn't grow with the corpus.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` of the whole text.  A null or empty text has no words and fails the base rules; very long
 texts cost their length times its logarithm; repeated rows are judged alike; other columns are not read; an empty table gives
@@ -22,19 +24,29 @@ from cueflow.llm.shared import materialise
 
 _GAP = "[\\x20\\x09-\\x0D]+"
 _COUNTED = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-RULES = ["length", "repeated_words", "repeated_lines", "symbols", "word_length", "capitals", "exclamations", "sentences"]
+RULES = ["repeated_lines", "symbols", "symbol_ends", "word_length", "capitals", "shouting", "exclamations", "exclaimed_ends", "sentences", "punctuation", "distinct"]
 ROUNDS = 25
+GOOD, BAD, HOLD = 0.97, 0.3, 0.05
+#: What follows a word's last character.
+END = "(?:[\\x20\\x09-\\x0D]|\\z)"
+
+
+#: What is counted in a text, besides symbols.
+COUNTS = {
+    "n_capitals": "\\p{Lu}", "n_shouts": "\\p{Lu}{2}", "n_exclamations": "!", "n_symbol_ends": "[#*$%&|<>]" + END, "n_exclaimed_ends": "!" + END, "n_sentence_ends": "[.!?]" + END,
+    "n_punctuated_ends": "[.,;:!?]" + END,
+}
 
 
 def repeated_words(words: Column) -> Column:
-    """How many words lie in a 3-word window that occurs at least twice: sorted windows equal a neighbour."""
+    """How many words lie in a 3-word window that occurs at least twice: of sorted windows, by 64-bit hash, equal ones are neighbours."""
 
     def covered(windows: Column) -> Column:
         same = lambda x, k: F.coalesce(x["w"] == F.get(windows, k - 1)["w"], F.lit(False)) | F.coalesce(x["w"] == F.get(windows, k + 1)["w"], F.lit(False))
         hit = F.filter(windows, same)
         return F.size(F.array_distinct(F.flatten(F.transform(hit, lambda x: F.array(x["i"], x["i"] + 1, x["i"] + 2)))))
 
-    window = lambda i: F.struct(F.concat_ws(" ", F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)).alias("w"), i.alias("i"))
+    window = lambda i: F.struct(F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)).alias("w"), i.alias("i"))
     windows = F.transform(F.sequence(F.lit(0), F.size(words) - 3), window)
     return F.when(F.size(words) > 3, let(F.sort_array(windows), covered)).otherwise(0)
 
@@ -45,7 +57,7 @@ def measures(docs: DataFrame) -> DataFrame:
 
     def of_words(words: Column) -> Column:
         return F.struct(
-            F.size(words).cast("long").alias("n_words"), F.length(F.array_join(words, "")).cast("long").alias("word_chars"), repeated_words(words).cast("long").alias("n_repeat_words")
+            F.size(words).cast("long").alias("n_words"), F.length(F.array_join(words, "")).cast("long").alias("word_chars"), F.size(F.array_distinct(words)).cast("long").alias("n_distinct"), repeated_words(words).cast("long").alias("n_repeat_words")
         )
 
     def of_lines(lines: Column) -> Column:
@@ -56,8 +68,9 @@ def measures(docs: DataFrame) -> DataFrame:
     count = lambda pattern: F.regexp_count(text, F.lit(pattern)).cast("long")
     return docs.select(
         "doc_id", let(words, of_words).alias("w"), let(lines, of_lines).alias("l"), count("[#*$%&|<>]").alias("n_symbols"),
-        count("\\p{Lu}").alias("n_capitals"), count("!").alias("n_exclamations"), count("[.!?]").alias("n_stops"),
-    ).select("doc_id", "w.*", "l.*", "n_symbols", "n_capitals", "n_exclamations", "n_stops")
+        *(count(pattern).alias(name) for name, pattern in COUNTS.items()),
+    ).select("doc_id", "w.*", "l.*", "n_symbols", *COUNTS)
+
 
 
 def vote(bad: Column, good: Column) -> Column:
@@ -68,14 +81,17 @@ def votes() -> Column:
     """The rules' votes, in the order of ``RULES``.  Ratios are compared by multiplication, in whole numbers."""
     n, c = F.col("n_words"), F.col
     return F.array(
-        vote(n < 50, n >= 100),
-        vote(5 * c("n_repeat_words") > n, 20 * c("n_repeat_words") <= n),
         vote(4 * c("n_dup_lines") > c("n_lines"), c("n_dup_lines") == 0),
         vote(20 * c("n_symbols") > n, 100 * c("n_symbols") <= n),
+        vote(10 * c("n_symbol_ends") > n, 100 * c("n_symbol_ends") <= n),
         vote((2 * c("word_chars") < 5 * n) | (c("word_chars") > 15 * n), (c("word_chars") >= 3 * n) & (c("word_chars") <= 12 * n)),
         vote(10 * c("n_capitals") > 3 * c("word_chars"), 10 * c("n_capitals") <= c("word_chars")),
+        vote(5 * c("n_shouts") > n, 50 * c("n_shouts") <= n),
         vote(10 * c("n_exclamations") > n, 50 * c("n_exclamations") <= n),
-        vote((n >= 100) & (c("n_stops") == 0), 100 * c("n_stops") >= n),
+        vote(10 * c("n_exclaimed_ends") > n, 50 * c("n_exclaimed_ends") <= n),
+        vote((n >= 50) & ((50 * c("n_sentence_ends") < n) | (4 * c("n_sentence_ends") > n)), (30 * c("n_sentence_ends") >= n) & (5 * c("n_sentence_ends") <= n)),
+        vote((20 * c("n_punctuated_ends") < n) | (3 * c("n_punctuated_ends") > n), (12 * c("n_punctuated_ends") >= n) & (4 * c("n_punctuated_ends") <= n)),
+        vote(2 * c("n_distinct") < n, 5 * c("n_distinct") >= 3 * n),
     )
 
 
@@ -90,7 +106,7 @@ def log_odds(v: Column, prior: Column, good: Column, bad: Column) -> Column:
 
 
 def estimate(patterns: DataFrame, rounds: int = ROUNDS) -> dict:
-    """prior, good, bad: the estimate from (votes, rows), one row a pattern; a single row of 17 numbers goes to the driver."""
+    """prior, good, bad: the estimate from (votes, rows), one row a pattern; a single row of 23 numbers goes to the driver."""
     k = len(RULES)
     table = patterns.agg(F.sort_array(F.collect_list(F.struct("votes", "rows"))).alias("all"))
 
@@ -102,15 +118,17 @@ def estimate(patterns: DataFrame, rounds: int = ROUNDS) -> dict:
         total = lambda weigh: F.aggregate(rows, F.lit(0.0), lambda s, x: s + weigh(x))
         is_good, is_bad = lambda x: x["n"] * x["p"], lambda x: x["n"] * (1 - x["p"])
 
-        def right(weigh, value):
+        rows_all = F.greatest(total(lambda x: x["n"]), F.lit(1.0))
+
+        def right(weigh, value, held):
             def share(j):
                 cast = total(lambda x: F.when(F.get(x["v"], j) != 0, weigh(x)).otherwise(0.0))
                 agree = total(lambda x: F.when(F.get(x["v"], j) == value, weigh(x)).otherwise(0.0))
-                return clip((agree + 1) / (cast + 2))  # one vote each way beforehand
+                return clip((agree + rows_all * (HOLD * held)) / (cast + rows_all * HOLD))
 
             return F.transform(F.sequence(F.lit(0), F.lit(k - 1)), share)
 
-        return F.struct(clip(total(is_good) / F.greatest(total(lambda x: x["n"]), F.lit(1.0))).alias("prior"), right(is_good, 1).alias("good"), right(is_bad, -1).alias("bad"))
+        return F.struct(clip(total(is_good) / rows_all).alias("prior"), right(is_good, 1, GOOD).alias("good"), right(is_bad, -1, BAD).alias("bad"))
 
     start = F.struct(F.lit(0.8).cast("double").alias("prior"), F.array_repeat(F.lit(0.9), k).alias("good"), F.array_repeat(F.lit(0.6), k).alias("bad"))
     got = table.select(F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, step).alias("m")).select("m.*").first()
