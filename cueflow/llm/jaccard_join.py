@@ -6,14 +6,15 @@ more.  The join loses no link between different components:
 1. Equal sets are one class.  Of each class a sample of its shingles, those with a hash below ``SAMPLE`` of the range (all of a short one's), is
    counted over all blocks.  A linked set lacks at most a fifth of the other's shingles, so one that has more than that among its sampled
    shingles which nothing else holds has no link; most documents end here.
-2. The others meet those with the same smallest shingle, under two orders, in groups of ``MEET`` at most.  What links there gets one label.  This costs
-   as much as there are sets, however many of them are near copies of one text, and is only to spare the next step work.
+2. The others are each compared with the most central set (the one with least that nothing else holds) of those with the same smallest shingle, under two orders.
+   What links there gets one label.  This costs as much as there are sets, however many of them are near copies of one text, and is only to spare the next steps work.
 3. All order their sampled shingles by frequency, the rarest first.  Of two linked sets, the prefixes that are one longer than a
    fifth of the set share a shingle, and their sizes are at most a quarter apart.  Where all sets of a shingle have one label nothing is left to find.  Sets of several labels that
    share a shingle and a band of sizes are brought together through the smallest that has both, and contracted to groups.
-4. Sets that meet, in either way, go into a trie in one global order (sampled shingles before others, the common ones first), so common parts are shared.  Each set
-   walks the trie with its overlap so far, and leaves a subtree when the remaining lengths cannot bring enough, or when it has one label with all
-   of it already.  A group beyond ``GROUP_BYTES`` or ``GROUP_ROWS`` is dealt into pieces, and each pair of pieces is a task of its own.
+4. Each group's sets go into a trie in one global order (sampled shingles before others, the common ones first), so common parts are shared.  Each set
+   but those of the label with most walks the trie with its overlap so far, and leaves a subtree when the remaining lengths cannot bring enough, or when it has one label with all
+   of it already.  A group beyond ``GROUP_BYTES`` or ``GROUP_ROWS`` is dealt into pieces, those of the label with most apart from the rest, and each pair of pieces that may have a link
+   is a task of its own.
 
 Texts have A-Z in lower case; words are ``[^\\x20\\x09-\\x0D]+``; fewer than five words are one shingle; without words or text the set is empty and
 links with nothing.  Ids may be of any type that has an order.  Rows that share a doc_id keep their own sets; a null doc_id is the smallest of a component only where all are null.  Other columns
@@ -39,10 +40,9 @@ SHINGLE, SAMPLE = 5, 0.4
 #: Two sets up to the first size are compared by all their shingles, other pairs by their samples.  Up to the second, as large as a
 #: partner of those can be, all are counted; from the third on, as small as a partner of larger ones, a set also has a prefix of its sample.
 SHORT, COUNTED, JOINT = 400, 500, 320
-#: Sets that meet by their smallest shingle, at most; and what a task compares with itself at once, or piece with piece.
-MEET, MEET_BYTES = 256, 8_000_000
-GROUP_ROWS, GROUP_BYTES = 4096, 16_000_000
-FOUND = "n_shingles long, node long, block long, bare boolean, prefix array<long>, low long, other_low long, tokens binary, levels binary"
+#: What a task compares with itself at once, or piece with piece.
+GROUP_ROWS, GROUP_BYTES = 1024, 16_000_000
+FOUND = "n_shingles long, node long, block long, bare boolean, prefix array<long>, spare double, low long, other_low long, tokens binary, levels binary"
 
 
 def shingle_sets(table: pa.Table) -> list[np.ndarray]:
@@ -91,47 +91,60 @@ def counted(sets: list[np.ndarray], first: dict[int, int], share: float) -> tupl
 
 
 class Trie:
-    """A static path-compressed trie of sets, each a sorted array of ranks.
+    """A static path-compressed trie of sets, each a sorted array of ranks, as arrays over its nodes, parents first.
 
-    A node has the ranks all its sets begin with (after its parent's), the sets that branch off alone, with their tails in one array, and
-    child nodes for those that share more.
+    A node has, in ``tokens[start:start + length]``, the ranks that all its sets have after its parent's; ``depth`` ranks lead to its end; ``low`` and ``high`` bound its
+    sets in ``order``, and ``least`` and ``most`` their sizes.  A leaf is one set, any other node has children, which follow each other.
     """
 
-    def __init__(self, sets: list[np.ndarray], members: list[int], depth: int):
-        one, two = sets[members[0]], sets[members[-1]]
-        n = min(len(one), len(two))
-        differ = np.flatnonzero(one[depth:n] != two[depth:n])
-        end = depth + int(differ[0]) if len(differ) else n
-        self.segment, self.depth = one[depth:end], end
-        self.members = np.array(members)
-        size = np.array([len(sets[m]) for m in members])
-        self.least, self.most = int(size.min()), int(size.max())
-        self.children, alone, i = [], [], 0
-        while i < len(members):
-            own, j = sets[members[i]], i + 1
-            if len(own) > end:
-                while j < len(members) and len(sets[members[j]]) > end and sets[members[j]][end] == own[end]:
-                    j += 1
-            if j - i == 1:
-                alone.append(members[i])
-            else:
-                self.children.append((members[i:j], end))
-            i = j
-        self.leaves = np.array(alone, dtype=np.int64)
-        self.sizes = np.array([len(sets[m]) for m in alone], dtype=np.int64)
-        self.tails = np.concatenate([np.zeros(0, np.int32), *(sets[m][end:] for m in alone)])
-        self.offsets = np.concatenate([[0], np.cumsum(self.sizes - end)]).astype(np.int64)
-
-    @staticmethod
-    def build(sets: list[np.ndarray]) -> Trie:
-        order = sorted(range(len(sets)), key=lambda m: sets[m].astype(">u4").tobytes())
-        root = Trie(sets, order, 0)
-        todo = [root]
-        while todo:
-            node = todo.pop()
-            node.children = [Trie(sets, *child) for child in node.children]
-            todo += node.children
-        return root
+    def __init__(self, sets: list[np.ndarray]):
+        size = np.array([len(s) for s in sets])
+        self.order = np.array(sorted(range(len(sets)), key=lambda m: sets[m].astype(">u4").tobytes()))
+        common = np.zeros(len(sets), np.int64)
+        for i, (m, k) in enumerate(zip(self.order, self.order[1:]), 1):
+            n = min(size[m], size[k])
+            differ = sets[m][:n] != sets[k][:n]
+            common[i] = differ.argmax() if differ.any() else n
+        nodes, segments, todo = [], [], [(0, len(sets), 0)]
+        for low, high, begin in todo:  # grows
+            own = sets[self.order[low]]
+            end = int(common[low + 1 : high].min()) if high > low + 1 else len(own)
+            cuts = [low, *(low + 1 + np.flatnonzero(common[low + 1 : high] == end)).tolist(), high] if high > low + 1 else []
+            nodes.append((low, high, end, len(todo), max(len(cuts) - 1, 0)))
+            segments.append(own[begin:end])
+            todo += [(i, j, end) for i, j in pairwise(cuts)]
+        self.low, self.high, self.depth, self.child, self.children = np.array(nodes).T
+        self.length = np.array([len(s) for s in segments])
+        self.start, self.tokens = np.cumsum(self.length) - self.length, np.concatenate(segments)
+        ordered = size[self.order]
+        self.least, self.most = (np.array([f(ordered[i:j]) for i, j in zip(self.low, self.high)]) for f in (np.min, np.max))
+
+    def walk(self, own: np.ndarray, has: np.ndarray, differs: np.ndarray) -> np.ndarray:
+        """The sets that link with ``own``, whose ranks ``has`` marks, among those that differ in label: a level of the trie at a time, without the subtrees that cannot."""
+        size = len(own)
+        shortest, longest = -(-size * 4 // 5), size * 5 // 4
+        left = np.concatenate([[0], np.cumsum(differs[self.order])])
+        at, overlap, found = np.zeros(1, np.int64), np.zeros(1, np.int64), []
+        while len(at):
+            stays = (self.most[at] >= shortest) & (self.least[at] <= longest) & (left[self.high[at]] > left[self.low[at]])
+            at, overlap = at[stays], overlap[stays]
+            length = self.length[at]
+            ends = np.cumsum(length)
+            held = np.concatenate([[0], np.cumsum(has[self.tokens[np.repeat(self.start[at] - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)]], dtype=np.int64)])
+            overlap = overlap + held[ends] - held[ends - length]
+            last = self.tokens[np.maximum(self.start[at] + length - 1, 0)]
+            after = np.where(self.depth[at] > 0, size - np.searchsorted(own, last, side="right"), size)
+            after = np.where(length > 0, after, size)
+            need = -(-4 * (size + np.maximum(self.least[at], shortest)) // 9)
+            stays = overlap + np.minimum(np.minimum(self.most[at], longest) - self.depth[at], after) >= need
+            at, overlap = at[stays], overlap[stays]
+            leaf = self.children[at] == 0
+            found.append(self.order[self.low[at[leaf]]][9 * overlap[leaf] >= 4 * (size + self.most[at[leaf]])])
+            at, overlap = at[~leaf], overlap[~leaf]
+            n = self.children[at]
+            overlap = np.repeat(overlap, n)
+            at = np.repeat(self.child[at] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        return np.concatenate(found) if found else at
 
 
 def trie_links(sets: list[np.ndarray], levels: list[np.ndarray] | None = None, labels: np.ndarray | None = None) -> list[tuple[int, int]]:
@@ -145,47 +158,34 @@ def trie_links(sets: list[np.ndarray], levels: list[np.ndarray] | None = None, l
     rank = np.empty(len(every), np.int32)
     rank[np.lexsort([every, -level])] = np.arange(len(every))
     ranked = [np.sort(rank[np.searchsorted(every, s)]) for s in sets]
-    root, links = Trie.build(ranked), []
+    trie, links = Trie(ranked), []
     label = np.arange(len(sets)) if labels is None else np.unique(labels, return_inverse=True)[1]
     members: dict[int, list[int]] = {}
     for x, own in enumerate(label.tolist()):
         members.setdefault(own, []).append(x)
     has = np.zeros(len(every), np.int8)
-    for x in sorted(range(len(sets)), key=lambda m: len(ranked[m])):
-        own = ranked[x]
-        has[own] = 1
-        size, longest = len(own), len(own) * 5 // 4  # partners as large or larger: the smaller ones have walked before
-
-        def link(y: int) -> None:
-            links.append((x, y))
-            few, many = sorted((int(label[x]), int(label[y])), key=lambda k: len(members[k]))
-            label[members[few]] = many  # the fewer change, so each changes as often as a logarithm of all
-            members[many] += members.pop(few)
-
-        todo = [(root, 0)]
-        while todo:
-            node, overlap = todo.pop()
-            if node.most < size or node.least > longest or (label[node.members] == label[x]).all():
-                continue
-            overlap += int(has[node.segment].sum())
-            after = size - int(np.searchsorted(own, node.segment[-1], side="right")) if len(node.segment) else size
-            need = -(-4 * (size + max(node.least, size)) // 9)
-            if overlap + min(min(node.most, longest) - node.depth, after) < need:
-                continue
-            if len(node.leaves):
-                fits = (label[node.leaves] != label[x]) & (node.sizes >= size) & (node.sizes <= longest)
-                fits &= overlap + np.minimum(node.sizes - node.depth, after) >= -(-4 * (size + node.sizes) // 9)
-                which = np.flatnonzero(fits)
-                for low in range(0, len(which), 64):
-                    some = which[low : low + 64]
-                    some = some[label[node.leaves[some]] != label[x]]
-                    if len(some):
-                        shared = np.array([has[node.tails[node.offsets[k] : node.offsets[k + 1]]].sum(dtype=np.int64) for k in some])
-                        for k in some[9 * (overlap + shared) >= 4 * (size + node.sizes[some])]:
-                            if label[node.leaves[k]] != label[x]:
-                                link(int(node.leaves[k]))
-            todo += [(child, overlap) for child in node.children]
-        has[own] = 0
+
+    def walk(x: int) -> None:
+        has[ranked[x]] = 1
+        for y in trie.walk(ranked[x], has, label != label[x]).tolist():
+            if label[x] != label[y]:
+                links.append((x, y))
+                few, many = sorted((int(label[x]), int(label[y])), key=lambda k: len(members[k]))
+                label[members[few]] = many  # the fewer change, so each changes as often as a logarithm of all
+                members[many] += members.pop(few)
+        has[ranked[x]] = 0
+
+    # central sets first, as others link with them rather than with each other; then all but those of the label with most, which are linked already
+    counts = np.bincount(np.concatenate(ranked), minlength=len(every))
+    alone = np.array([(counts[r] == 1).mean() for r in ranked])
+    order = np.argsort(alone, kind="stable").tolist()
+    early = min(len(order), 2 * int(len(order) ** 0.5))
+    for x in order[:early]:
+        walk(x)
+    most = max(members.values(), key=len)[0]
+    for x in order[early:]:
+        if label[x] != label[most]:
+            walk(x)
     return links
 
 
@@ -205,41 +205,23 @@ def linked(table: pa.Table) -> pa.Table:
     return links_table(out)
 
 
-def meetings(sets: DataFrame, key: str, seed: int) -> DataFrame:
-    """Links (a, b) between classes with the same ``key`` that come to stand within ``MEET`` of each other, in a random order.
-
-    Sorted by range of key and salt, a key of very many sets spans as many partitions as it needs.
-    """
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held, size, out = None, [], 0, []
-
-        def flush() -> None:
-            if len(held) > 1:
-                found = trie_links([np.frombuffer(t, np.uint64) for _, t, _ in held], [np.frombuffer(v, np.uint8) for _, _, v in held])
-                out.extend((held[i][0], held[j][0]) for i, j in found)
+def with_central(sets: DataFrame, key: str) -> DataFrame:
+    """Links (a, b) between each class and the most central one that has the same ``key``."""
+    central = sets.groupBy(key).agg(F.min(F.struct("spare", "node")).alias("central"), F.count("*").alias("rows")).filter("rows > 1")
+    central = central.select(key, F.col("central.node").alias("b"))
+    central = materialise(central.join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("other")), "b"), "central")
+    pairs = sets.select(key, F.col("node").alias("a"), "tokens").join(central, key).filter("a != b").select("a", "b", "tokens", "other")
 
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, nodes, tokens, levels = batch.column(0).to_numpy(), batch.column(2).to_numpy(), batch.column(3), batch.column(4)
-            cuts = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]]).tolist() if len(keys) else []
-            for first, last in pairwise(cuts):
-                if keys[first] != now:
-                    flush()
-                    now, held, size = keys[first], [], 0
-                for k in range(first, last):
-                    own = tokens[k].as_py()
-                    if len(held) >= MEET or held and size + len(own) > MEET_BYTES:
-                        flush()
-                        held, size = [], 0
-                    held.append((int(nodes[k]), own, levels[k].as_py()))
-                    size += len(own)
-            yield from links_table(out).to_batches()
-            out = []
-        flush()
-        yield from links_table(out).to_batches()
-
-    rows = sets.select(F.col(key).alias("key"), F.xxhash64(F.lit(seed), "node").alias("salt"), "node", "tokens", "levels")
-    return rows.repartitionByRange("key", "salt").sortWithinPartitions("key", "salt").mapInArrow(meet, "a long, b long")
+            keep = []
+            for one, two in zip(batch.column(2), batch.column(3)):
+                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (one, two))
+                short, long = sorted((len(x), len(y)))
+                keep.append(5 * short >= 4 * long and 9 * len(np.intersect1d(x, y, assume_unique=True)) >= 4 * (len(x) + len(y)))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return pairs.mapInArrow(verify, "a long, b long")
 
 
 def sift(docs: DataFrame, share: float) -> DataFrame:
@@ -258,7 +240,7 @@ def sift(docs: DataFrame, share: float) -> DataFrame:
         keys, _ = counted(sets, first, share)
         level = heard(back, 1, keys, bits)
         n = len(sets)
-        prefix, tokens, levels, lows, others = ([None] * n for _ in range(5))
+        prefix, spare, tokens, levels, lows, others = ([None] * n for _ in range(6))
         bare = np.zeros(n, bool)
         for i in first.values():
             size, lacks, shared = len(sets[i]), len(sets[i]) // 5, []
@@ -268,6 +250,7 @@ def sift(docs: DataFrame, share: float) -> DataFrame:
                 if (its > 0).sum() >= len(part) - lacks:
                     order = np.lexsort([part, its])[: lacks + 1]
                     shared.append(part[order][its[order] > 0])
+                    spare[i] = float((its == 0).mean())
             if sum(map(len, shared)):
                 prefix[i], tokens[i] = np.unique(np.concatenate(shared)).view(np.int64), sets[i].tobytes()
                 own = sets[i][: np.searchsorted(sets[i], np.uint64(below))]
@@ -275,7 +258,7 @@ def sift(docs: DataFrame, share: float) -> DataFrame:
                 lows[i], others[i] = int(sets[i][:1].view(np.int64)[0]), int(mix(sets[i].copy()).min().view(np.int64))
         node = pa.array(names, pa.int64(), mask=np.array([not len(s) for s in sets], bool))
         columns = [
-            table["doc_id"], pa.array([len(s) for s in sets], pa.int64()), node, table["block"], pa.array(bare), pa.array(prefix, pa.list_(pa.int64())),
+            table["doc_id"], pa.array([len(s) for s in sets], pa.int64()), node, table["block"], pa.array(bare), pa.array(prefix, pa.list_(pa.int64())), pa.array(spare, pa.float64()),
             pa.array(lows, pa.int64()), pa.array(others, pa.int64()), pa.array(tokens, pa.binary()), pa.array(levels, pa.binary()),
         ]
         return pa.table(columns, ["doc_id", *(f.split()[0] for f in FOUND.split(", "))])
@@ -290,7 +273,7 @@ def link_groups(found: DataFrame) -> DataFrame:
     named = found.filter("tokens IS NOT NULL")
     own = named.groupBy("node").agg(F.min("block").alias("block"))
     each = named.join(own, ["node", "block"], "left_semi")
-    labels = materialise(components(meetings(each, "low", 1).unionByName(meetings(each, "other_low", 2))), "labels")
+    labels = materialise(components(with_central(each, "low").unionByName(with_central(each, "other_low"))), "labels")
     label = F.coalesce("label", "node").alias("label")
     known = labels.select("node", F.col("root").alias("label"))
     postings = each.select("node", "n_shingles", "prefix").join(known, "node", "left").select("node", label, "n_shingles", F.explode("prefix").alias("token"))
@@ -303,16 +286,27 @@ def link_groups(found: DataFrame) -> DataFrame:
     groups = components(banded.join(hubs, ["token", "band"]).select(F.col("node").alias("a"), F.col("hub").alias("b")))
     groups = groups.unionByName(groups.select(F.col("root").alias("node"), "root").distinct())
     placed = materialise(groups, "groups")
-    sized = each.select("node", F.octet_length("tokens").alias("bytes")).join(placed, "node").groupBy("root").agg(F.sum("bytes").alias("bytes"), F.count("*").alias("rows"))
-    pieces = F.ceil(F.greatest(F.col("bytes") / F.lit(float(GROUP_BYTES)), F.col("rows") / F.lit(float(GROUP_ROWS)))).cast("int")
-    sized = materialise(sized.select("root", "bytes", pieces.alias("pieces")), "group_sizes")
+    where = placed.join(known, "node", "left").select("node", "root", label)
+    sizes = each.select("node", F.octet_length("tokens").alias("bytes")).join(where, "node").groupBy("root", "label").agg(F.sum("bytes").alias("bytes"), F.count("*").alias("rows"))
+    both = sizes.groupBy("root").agg(F.max(F.struct("rows", "label", "bytes")).alias("top"), F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes")).filter("rows > top.rows")
+    pieces = lambda rows, size: F.ceil(F.greatest(rows / F.lit(float(GROUP_ROWS)), size / F.lit(float(GROUP_BYTES)))).cast("int")
+    top, rest = pieces(F.col("top.rows"), F.col("top.bytes")), pieces(F.col("rows") - F.col("top.rows"), F.col("bytes") - F.col("top.bytes"))
+    sized = materialise(both.select("root", "bytes", F.col("top.label").alias("most"), pieces(F.col("rows"), F.col("bytes")).alias("all"), top.alias("top"), rest.alias("rest")), "group_sizes")
     total = sized.agg(F.sum("bytes")).first()[0] or 0
     tasks = max(4 * int(found.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // (GROUP_BYTES // 4))
-    where = materialise(placed.join(sized.drop("bytes"), "root"), "places").join(known, "node", "left").select("node", "root", "pieces", label)
-    dealt_to = each.select("node", "tokens", "levels").join(where, "node")
-    mine = F.pmod(F.hash("node"), F.col("pieces"))
-    task = F.when(F.col("pieces") == 1, F.array(F.pmod(F.hash("root"), F.lit(tasks)).cast("long"))).otherwise(
-        F.transform(F.sequence(F.lit(0), F.col("pieces") - 1), lambda k: F.xxhash64("root", F.least(k, mine), F.greatest(k, mine)))
+    own = materialise(where.join(sized.drop("bytes"), "root"), "places")
+    dealt_to = each.select("node", "tokens", "levels").join(own, "node")
+    every = lambda n: F.sequence(F.lit(0), n - 1)
+    in_top, in_rest = F.pmod(F.hash("node"), F.col("top")), F.pmod(F.hash("node"), F.col("rest"))
+    task = (
+        F.when(F.col("all") == 1, F.array(F.pmod(F.hash("root"), F.lit(tasks)).cast("long")))
+        .when(F.col("label") == F.col("most"), F.transform(every(F.col("rest")), lambda k: F.xxhash64("root", F.lit(0), in_top, k)))
+        .otherwise(
+            F.concat(
+                F.transform(every(F.col("top")), lambda k: F.xxhash64("root", F.lit(0), k, in_rest)),
+                F.transform(every(F.col("rest")), lambda k: F.xxhash64("root", F.lit(1), F.least(k, in_rest), F.greatest(k, in_rest))),
+            )
+        )
     )
     exact = dealt_to.select("root", "node", "label", "tokens", "levels", F.explode(task).alias("task")).groupBy("task").applyInArrow(linked, "a long, b long")
     return exact.unionByName(labels.select(F.col("node").alias("a"), F.col("root").alias("b")))
