@@ -21,11 +21,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cueflow.llm.labelled import ROWS_PER_CLASS, labelled_sample, remainder
-from cueflow.llm.words import Piece, pieces
+from cueflow.llm.words import Piece, pieces, trim
 
-BUCKETS, WIDTH, REST, CARE = 1 << 18, 4, 30, 1.25
+BITS = 18
+BUCKETS, WIDTH, REST, CARE = 1 << BITS, 4, 30, 1.25
 #: The least a parameter's gradient counts for in its rate, as a share of the largest; and bytes of text whose subwords are worked on at once.
 FLOOR, TRAIN_BYTES = 0.1, 250_000
+#: Shares are kept in two bytes each, times this, which keeps all there can be well within their range.
+SCALE = 1024
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -46,7 +49,7 @@ def subwords(piece: Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     marked[begin[:-1]], marked[begin[1:] - 1] = 0x01, 0x02
     of = np.repeat(np.arange(len(size), dtype=np.int32), size)
     left = np.repeat(begin[1:], size) - np.arange(len(marked))
-    ids, bags = [(words[index] >> np.uint64(46)).astype(np.int32)], [np.arange(len(size), dtype=np.int32)]
+    ids, bags = [(words[index] >> np.uint64(64 - BITS)).astype(np.int32)], [np.arange(len(size), dtype=np.int32)]
     code = np.zeros(len(marked), np.uint64)
     for n in range(6):
         if n:
@@ -54,7 +57,7 @@ def subwords(piece: Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
         code = (code * np.uint64(0x100000001B3)) ^ (marked[n:].astype(np.uint64) + np.uint64(1))
         if n >= 2:
             fits = left[: len(code)] > n
-            mixed = (code[fits] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(46)
+            mixed = (code[fits] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BITS)
             ids.append(mixed.astype(np.int32))
             bags.append(of[: len(code)][fits])
     return np.concatenate(ids), np.concatenate(bags), back, len(size)
@@ -81,7 +84,7 @@ class Rows:
         self.parts, self.n = [], 0
         for piece in texts:
             ids, shares, at = bags_of(piece)
-            self.parts.append((slice(self.n, self.n + piece.n), ids, shares, np.diff(at)))
+            self.parts.append((slice(self.n, self.n + piece.n), ids, (shares * SCALE).astype(np.float16), np.diff(at)))
             self.n += piece.n
 
     def having(self, labels: np.ndarray) -> np.ndarray:
@@ -95,7 +98,7 @@ class Rows:
 
     def weigh(self, weight: np.ndarray) -> None:
         for _, ids, shares, _ in self.parts:
-            shares *= weight[ids]
+            shares[:] = shares * weight[ids]
 
     def forward(self, table: np.ndarray) -> np.ndarray:
         out = np.empty((self.n, len(table)))
@@ -103,14 +106,14 @@ class Rows:
             of = np.repeat(np.arange(len(sizes)), sizes)
             for k, vector in enumerate(table):
                 out[rows, k] = np.bincount(of, vector[ids] * shares, len(sizes))
-        return out
+        return out / SCALE
 
     def backward(self, error: np.ndarray) -> np.ndarray:
         out = np.zeros((error.shape[1], BUCKETS))
         for rows, ids, shares, sizes in self.parts:
             for k in range(len(out)):
                 out[k] += np.bincount(ids, np.repeat(error[rows, k], sizes) * shares, BUCKETS)
-        return out
+        return out / SCALE
 
 
 def fit(texts: Iterable[Piece], labels: np.ndarray, rounds: int = 40, rate: float = 0.5, decay: float = 1e-5) -> tuple[np.ndarray, float]:
@@ -161,10 +164,12 @@ def trained(docs: DataFrame, labels: DataFrame, rows: int = ROWS_PER_CLASS):
 
     The sample's texts (see :mod:`cueflow.llm.labelled` for the bounds) go to the driver.
     """
-    sample = labelled_sample(docs, labels, "toxic", remainder(F.col("doc_id"), 5) != 0, rows)
-    got = sorted(sample.collect(), key=lambda r: (r["doc_id"], r["label"], r["text"]))
-    texts = pieces(pa.array([r["text"] for r in got], pa.large_string()), TRAIN_BYTES)
-    return docs.sparkSession.sparkContext.broadcast(fit(texts, np.array([r["label"] for r in got], dtype=int)))
+    sample = labelled_sample(docs, labels, "toxic", remainder(F.col("doc_id"), 5) != 0, rows).toArrow()
+    sample = sample.sort_by([(c, "ascending") for c in ("doc_id", "label", "text")])
+    model = fit(pieces(sample["text"], TRAIN_BYTES), sample["label"].to_numpy())
+    del sample
+    trim()
+    return docs.sparkSession.sparkContext.broadcast(model)
 
 
 def probabilities(texts: pa.Array, model: tuple[np.ndarray, float]) -> np.ndarray:
