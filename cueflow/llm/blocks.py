@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cueflow.llm.words import Piece, pieces
+from cueflow.llm.words import Piece, pieces, trim
 
 #: Text in a block, on average; keys that one part gathers; and the bits by which a sender splits its keys at most.
 BLOCK_BYTES = 6_000_000
@@ -49,8 +49,8 @@ class Dealt:
     partitions: int
 
     def bits(self, size: float) -> int:
-        """Bits of the key space for parts of ``PART_BYTES``, if all blocks send ``size`` bytes, and two parts a partition at least."""
-        return max(1, math.ceil(math.log2(max(size / PART_BYTES, 2 * self.partitions))))
+        """Bits of the key space for parts of ``PART_BYTES``, if all blocks send ``size`` bytes, and a part a partition at least."""
+        return max(1, math.ceil(math.log2(max(size / PART_BYTES, self.partitions))))
 
 
 def dealt(docs: DataFrame, carry: Sequence[str] = (), place: str | None = None) -> Dealt:
@@ -184,16 +184,21 @@ def heard(table: pa.Table, kind: int, keys: np.ndarray, bits: int, fan: int = FA
 
 
 def by_block(docs: DataFrame, function: Callable[[int, pa.Table], pa.Table], schema: str) -> DataFrame:
-    return docs.groupBy("block").applyInArrow(lambda table: function(table["block"][0].as_py(), table), schema)
+    return docs.groupBy("block").applyInArrow(lambda table: _then_trim(function(table["block"][0].as_py(), table)), schema)
 
 
 def with_replies(docs: DataFrame, answers: DataFrame, function: Callable[[int, pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
     """Each block's documents with the answers to it; a block without documents asked nothing."""
-    return docs.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lambda own, back: function(own["block"][0].as_py(), own, back), schema)
+    return docs.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lambda own, back: _then_trim(function(own["block"][0].as_py(), own, back)), schema)
 
 
 def by_part(sent: DataFrame, function: Callable[[pa.Table], pa.Table], schema: str = REPLY) -> DataFrame:
-    return sent.groupBy("part").applyInArrow(function, schema)
+    return sent.groupBy("part").applyInArrow(lambda table: _then_trim(function(table)), schema)
+
+
+def _then_trim(result: pa.Table) -> pa.Table:
+    trim()
+    return result
 
 
 class BlockWords:

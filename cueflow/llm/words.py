@@ -8,6 +8,7 @@ random byte values, then a finaliser, so equal words always have equal hashes, a
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -133,3 +134,12 @@ def pieces(column: pa.Array | pa.ChunkedArray, most: int = PIECE_BYTES) -> Itera
         last = min(last, rows, first + 50_000)
         yield Piece(data[bounds[first] : bounds[last]], bounds[first : last + 1] - bounds[first], first)
         first = last
+
+
+def trim() -> None:
+    """Gives memory that is free back to the system, where its allocators can: Python workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
