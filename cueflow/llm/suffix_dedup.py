@@ -253,7 +253,7 @@ def remove_long_repeats(docs: DataFrame, carry: Sequence[str] = (), as_text: boo
     kind = docs.schema["doc_id"].dataType.simpleString()
     out = f"doc_id {kind}, {OUT.replace('binary', 'string') if as_text else OUT}" + "".join(f", {c} {blocks.schema[c].dataType.simpleString()}" for c in more)
     # an anchor of about 75 bytes has two hashes, counts, and at most 350 bytes of context
-    bits, context_bits, window_bits = deal.bits(0.35 * deal.total), deal.bits(2.5 * deal.total), deal.bits(deal.total)
+    bits, context_bits, window_bits = deal.bits(0.35 * deal.total), deal.bits(8.0 * deal.total), deal.bits(deal.total)
 
     def verdict(total: np.ndarray, first: np.ndarray) -> np.ndarray:
         return np.where(total > 1, REPEATS, 0) | np.where(first, FIRST, 0) | np.where(total > hot, IS_HOT, 0)
