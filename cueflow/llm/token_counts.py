@@ -13,6 +13,7 @@ tokens; very long words cost their length; repeated rows are counted alike; othe
 from __future__ import annotations
 
 import json
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +38,9 @@ def printable_bytes() -> dict[str, int]:
 
 
 def load_vocabulary(path: str = VOCABULARY) -> list[bytes]:
-    """The pieces of a byte-level vocabulary file, without special tokens."""
+    """The pieces of a byte-level vocabulary file, without special tokens; the driver reads it, from a path of its own."""
+    if not os.path.isfile(path):
+        raise FileNotFoundError(f"{path}: pass the path of a byte-level tokenizer file (JSON with model.vocab) as the vocabulary")
     with open(path, encoding="utf-8") as file:
         content = json.load(file)
     special = {token["content"] for token in content.get("added_tokens", [])}

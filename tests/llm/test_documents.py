@@ -290,6 +290,8 @@ def test_token_counts(spark):
     assert got == {i: (len(words(t)), sum(map(greedy, words(t)))) for i, t in enumerate(texts)}
     with pytest.raises(ValueError):
         LongestMatch([b"a"])
+    with pytest.raises(FileNotFoundError, match="vocabulary"):
+        load_vocabulary("/no/such/file.json")
 
 
 def labelled(spark, bad, good):
