@@ -34,13 +34,38 @@ def replaced(text: Column, pairs: Mapping[str, str]) -> Column:
     return reduce(lambda t, pair: F.replace(t, F.lit(pair[0]), F.lit(pair[1])), pairs.items(), text)
 
 
-def expand_abbreviations(text: Column, pairs: Mapping[str, str] = fixed.ABBREVIATIONS) -> Column:
-    """Abbreviations that stand alone between white space, whatever their case, in the order of the table."""
+def unseen(pairs: Mapping[str, str]) -> set[str]:
+    """The abbreviations that one look at a text may miss: those that an earlier expansion may create, and those that share a word with one of several words."""
+    found, brought, gaps = set(), set(), False
+    for short, full in pairs.items():
+        own = set(short.lower().split())
+        shares = any(own & set(other.lower().split()) for other in pairs if other != short and max(len(own), len(other.split())) > 1)
+        if shares or brought & own or (gaps and len(own) > 1):
+            found.add(short)
+        brought |= set(full.lower().split())
+        gaps |= not full.strip()
+    return found
+
 
-    def one(t: Column, pair: tuple[str, str]) -> Column:
-        return F.regexp_replace(t, f"(?iuU)(^|\\s)\\Q{pair[0]}\\E(?=\\s|$)", "$1" + pair[1])
+def expand_abbreviations(text: Column, pairs: Mapping[str, str] = fixed.ABBREVIATIONS) -> Column:
+    """Abbreviations that stand alone between white space, whatever their case, in the order of the table.
 
-    return reduce(one, pairs.items(), text)
+    One pass finds which of them a text holds; only the patterns of these are applied.
+    """
+    if not pairs:
+        return text
+    literal = lambda t: "\\Q" + t + "\\E"
+    key = lambda t: F.lower(F.upper(F.translate(t, "\u0130", "i")))
+    steps = F.array(*(F.struct(F.lit(f"(?iuU)(^|\\s){literal(short)}(?=\\s|$)").alias("pattern"), F.lit("$1" + full.replace("\\", "\\\\").replace("$", "\\$")).alias("full")) for short, full in pairs.items()))
+    numbers_of: dict[str, list[int]] = {}
+    for k, short in enumerate(pairs):
+        numbers_of.setdefault(short.upper().lower(), []).append(k)
+    numbers_map = F.create_map(*(x for name, own in numbers_of.items() for x in (key(F.lit(name)), F.array(*map(F.lit, own)))))
+    every, late = F.array(*map(F.lit, range(len(pairs)))), unseen(pairs)
+    always = F.array(*(F.lit(k) for k, short in enumerate(pairs) if short in late)).cast("array<int>")
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?iuU)(?:^|\\s)({'|'.join(map(literal, pairs))})(?=\\s|$)"), 1))
+    due = F.array_sort(F.array_union(F.flatten(F.transform(found, lambda t: F.coalesce(numbers_map[key(t)], every))), always))
+    return F.aggregate(due, text, lambda t, k: F.regexp_replace(t, F.get(steps, k)["pattern"], F.get(steps, k)["full"]))
 
 
 def standardize(text: Column) -> Column:
@@ -52,7 +77,7 @@ def fix_capitals(text: Column) -> Column:
     """Words of over four letters with exactly two capitals get just the first; words end up a space apart."""
 
     def one(w: Column) -> Column:
-        odd = (F.length(w) > 4) & (F.regexp_count(w, F.lit("\\p{Lu}")) == 2)
+        odd = (F.length(w) > 4) & F.rlike(w, F.lit("^\\P{Lu}*(?:\\p{Lu}\\P{Lu}*){2}$"))
         return F.when(odd, F.concat(F.upper(F.substring(w, 1, 1)), F.lower(w.substr(F.lit(2), F.length(w))))).otherwise(w)
 
     return F.array_join(F.transform(words(text), one), " ")
