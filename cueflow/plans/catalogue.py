@@ -11,6 +11,7 @@ from cueflow.functions import fixed, providers, text, times
 from cueflow.operators import assembly, cues, quality, segments, spans
 from cueflow.plans import duck, fixtures as fx
 from cueflow.plans.pipelines import Config, fuse_clips, split_recordings
+from cueflow.session import scratch
 from cueflow.sources import audio, subtitles, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -378,9 +379,7 @@ def _(s, d):
     return audio.render_sequences(rows, audio.tones(rows)).select("seq_id", ((F.octet_length("bytes") - 44) / 2).cast("long").alias("samples"))
 
 
-# files
-
-
+# subtitle files
 
 @query("parse_subtitles", f"""WITH files AS ({fx.SRT_FILES}), l AS (SELECT track_id, format, string_split(CASE WHEN ends_with(content, chr(10)) THEN content[:-2] ELSE content END, chr(10)) AS lines FROM files),
 m AS (SELECT *, list_filter(range(1, len(lines) + 1), lambda i: contains(lines[i], ' --> ')) AS marks FROM l),
@@ -407,6 +406,81 @@ def _(s, d):
     return rows.select("track_id", providers.ring_activity(F.transform("all", lambda x: x["voiced"]), F.size("all") * 30, 30, 90).alias("v")).select("track_id", "v.*")
 
 
+# files: each is written below the shared folder, and read again
+
+def stored(s, write: Callable[[str], object]) -> str:
+    path = scratch(s, "files")
+    write(path)
+    return path
+
+
+_AUDIO = "concat('audio/d.', CAST(doc_id AS varchar), '.wav')"
+_FILES = "SELECT doc_id, lang, concat('audio/d.', CAST(doc_id AS string), '.wav') AS audio_path, text FROM documents"
+
+
+@query("jsonl_records", f"SELECT {_AUDIO} AS audio, text, lang AS language, '' AS prompt FROM documents")
+def _(s, d):
+    records = fixture(s, d, _FILES).select("audio_path", "text", F.col("lang").alias("language"), F.lit("").alias("prompt"))
+    return tables.as_audio(tables.read_records(s, stored(s, lambda path: tables.write_records(records, path))))
+
+
+@query("sentence_files", f"SELECT concat('clips/a/', path) AS path, sentence, client_id FROM ({fx.CLIPS}) c UNION ALL SELECT concat('b/', {_AUDIO}), text, '0' FROM documents")
+def _(s, d):
+    clips = stored(s, lambda path: tables.write_tsv(fixture(s, d, fx.CLIPS).select("path", "sentence", "client_id"), path))
+    docs = stored(s, lambda path: tables.write_tsv(fixture(s, d, _FILES).select(F.col("audio_path").alias("clip_path"), F.col("text").alias("sentence")), path))
+    return tables.read_clips(s, [(clips, "clips/a/", 1000), (docs, "b", 1000)]).select("path", "sentence", "client_id")
+
+
+@query("plain_lines", f"SELECT {_AUDIO} AS audio_path, text, 'de' AS language, '' AS prompt FROM (SELECT doc_id, regexp_replace(text, '\\s+', ' ', 'g') AS text FROM documents) x WHERE {duck.token_count('text')} <= 219")
+def _(s, d):
+    lines = fixture(s, d, _FILES).select(F.concat_ws("\t", "audio_path", F.regexp_replace("text", "\\s+", " ")).alias("value"))
+    return tables.read_plain(s, stored(s, lambda path: lines.write.text(path)))
+
+
+@query("manifest_join", f"SELECT concat('d.', CAST(doc_id AS varchar)) AS id, {_AUDIO} AS audio_path, coalesce(nullif(lang, 'en'), 'de') AS language, text AS srt FROM documents WHERE doc_id%3 > 0")
+def _(s, d):
+    rows = fixture(s, d, _FILES).withColumn("srt_path", F.concat(F.lit("srt/"), F.col("doc_id").cast("string")))
+    listed = rows.select("srt_path", "audio_path", F.nullif("lang", F.lit("en")).alias("language"))
+    manifest = tables.read_manifest(s, stored(s, lambda path: tables.write_tsv(listed, path)))
+    return manifest.join(rows.filter("doc_id%3 > 0").select("srt_path", F.col("text").alias("srt")), "srt_path").drop("srt_path")
+
+
+@query("metadata_transcripts", f"""SELECT CAST(c AS varchar) AS audio, srt FROM (SELECT conv_id AS c, string_agg(text, chr(10) ORDER BY turn) AS srt FROM conversations GROUP BY 1) x""")
+def _(s, d):
+    texts = table(s, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("all"))
+    files = texts.select(F.concat(F.lit("s/"), F.col("conv_id").cast("string"), F.lit(".srt")).alias("srt_path"), F.array_join(F.transform("all", lambda x: x["text"]), "\n").alias("srt"))
+    listed = texts.select(F.col("conv_id").cast("string").alias("path"), F.concat(F.lit("s/"), F.col("conv_id").cast("string"), F.lit(".srt")).alias("srt_path"), F.lit("x").alias("clip_path"))
+    return tables.read_metadata(s, stored(s, lambda path: tables.write_tsv(listed, path)), files).select("audio", "srt")
+
+
+@query("exported_sentences", f"""SELECT concat('d.', CAST(x.doc_id AS varchar), '.mp3') AS path, nullif(CASE WHEN length(b) > 0 AND right(b, 1) NOT IN ('.', '?', '!') THEN concat(b, '.') ELSE b END, '') AS sentence FROM (
+SELECT doc_id, CASE WHEN starts_with(text, '"') AND ends_with(text, '"') THEN substr(text, 2, greatest(length(text) - 2, 0)) ELSE text END AS b FROM ({fx.SENTENCES}) t) x""")
+def _(s, d):
+    rows = fixture(s, d, fx.SENTENCES).select(F.concat(F.lit("audio/d."), F.col("doc_id").cast("string"), F.lit(".wav")).alias("path"), F.col("text").alias("sentence"))
+    return tables.read_tsv(s, stored(s, lambda path: tables.write_tsv(tables.exported(rows), path)))
+
+
+@query("reject_files", f"""SELECT doc_id, lang, text, disposition FROM (SELECT doc_id, lang, text, CASE WHEN {duck.hints('text', fixed.FRENCH_WORDS, fixed.FRENCH_ELISIONS)} AND lang = 'fr' THEN 'french_examples'
+WHEN {duck.hints('text', fixed.ENGLISH_WORDS, fixed.ENGLISH_ELISIONS)} AND lang = 'en' THEN 'english_examples' WHEN contains(upper(text), 'DER') THEN 'filtered_der_examples' ELSE 'kept' END AS disposition FROM documents) x WHERE disposition <> 'kept'""")
+def _(s, d):
+    own = quality.disposed(table(s, d, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "lang", "text"), ["der"], F.col("lang"), bad=F.lit(False))
+    path = stored(s, lambda path: tables.write_rejects(own, path))
+    return tables.read_tsv(s, path).withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
+@query("diverted_files", f"SELECT track_id AS speech_id, start_ms, end_ms, text, matched_word FROM (SELECT *, {_DIVERT} AS matched_word FROM ({fx.CUES_DENSE}) c) x WHERE matched_word IS NOT NULL")
+def _(s, d):
+    path = stored(s, lambda path: tables.write_diverted(subtitles.split_diverted(dense(s, d), ["Click", "o 3"])[1], path))
+    return tables.read_tsv(s, path).select("speech_id", F.col("start_ms").cast("long").alias("start_ms"), F.col("end_ms").cast("long").alias("end_ms"), "text", "matched_word")
+
+
+@query("dataset_rows", f"SELECT {_AUDIO} AS path, true AS bare, text, 'test' AS split FROM documents")
+def _(s, d):
+    records = fixture(s, d, _FILES).select(F.col("audio_path").alias("audio"), "text")
+    found = s.read.parquet(stored(s, lambda path: tables.write_dataset(records, path, "test")))
+    return found.select("audio.path", F.isnull("audio.bytes").alias("bare"), "text", "split")
+
+
 # pipelines
 
 @query("pipeline_splitting")

@@ -12,10 +12,13 @@ from pyspark.sql import types as T
 from cueflow.functions.providers import token_count
 from cueflow.functions.text import finish_sentence, nfkc
 from cueflow.operators.assembly import exact_sample
-from cueflow.sources.subtitles import stem
+from cueflow.sources.subtitles import parse_cues, stem
 
 RECORD = T.StructType([T.StructField(n, T.StringType()) for n in ("audio_path", "text", "language", "prompt")])
 
+#: How tab-separated files are written, so that :func:`read_tsv` finds the same values; an empty one is read as null.
+TSV = {"sep": "\t", "header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
 
 def read_tsv(spark: SparkSession, path: str) -> DataFrame:
     """A tab-separated file with a header, all columns strings; rows that are short have nulls."""
@@ -67,11 +70,30 @@ def without_paths(rows: DataFrame) -> DataFrame:
     return rows.select(*[c for c in rows.columns if "path" not in c])
 
 
+def read_metadata(spark: SparkSession, path: str, files: DataFrame | None = None, audio_column: str = "path") -> DataFrame:
+    """Rows of a metadata file with their audio as ``audio``, each with its own transcript as ``srt``, and without columns of paths.
+
+    ``files`` (srt_path, srt) are joined where the rows have an ``srt_path``, null where there is none; rows that have neither
+    ``sentence`` nor ``text`` get the transcript's cues, a space apart, as ``sentence``.
+    """
+    rows = read_tsv(spark, path).withColumnRenamed(audio_column, "audio")
+    if files is not None and "srt_path" in rows.columns:
+        if not {"sentence", "text"} & set(rows.columns):
+            cues = parse_cues(files.select(F.col("srt_path").alias("track_id"), F.lit("srt").alias("format"), F.col("srt").alias("content")))
+            rows = rows.join(sentences(cues).withColumnRenamed("track_id", "srt_path"), "srt_path", "left")
+        rows = rows.join(files.select("srt_path", "srt"), "srt_path", "left")
+    return without_paths(rows)
+
+
+def sentences(cues: DataFrame) -> DataFrame:
+    """(track_id, sentence): the texts of a track's cues, a space apart."""
+    parts = F.array_sort(F.collect_list(F.struct("cue_idx", "text")))
+    return cues.groupBy("track_id").agg(F.array_join(F.transform(parts, lambda x: x["text"]), " ").alias("sentence"))
+
+
 def series(cues: DataFrame, files: DataFrame) -> DataFrame:
     """(audio, sentence, series, srt, language) of files (track_id, series, audio, srt, language): sentence is all their cues."""
-    parts = F.array_sort(F.collect_list(F.struct("cue_idx", "text")))
-    texts = cues.groupBy("track_id").agg(F.array_join(F.transform(parts, lambda x: x["text"]), " ").alias("sentence"))
-    return files.join(texts, "track_id").select("audio", "sentence", "series", "srt", "language")
+    return files.join(sentences(cues), "track_id").select("audio", "sentence", "series", "srt", "language")
 
 
 def exported(rows: DataFrame) -> DataFrame:
@@ -92,12 +114,12 @@ def write_records(records: DataFrame, path: str) -> None:
 
 def write_rejects(disposed: DataFrame, path: str) -> None:
     """What filters took, tab-separated, a folder for each; one pass."""
-    disposed.filter("disposition != 'kept'").write.partitionBy("disposition").option("sep", "\t").option("header", True).csv(path)
+    disposed.filter("disposition != 'kept'").write.partitionBy("disposition").options(**TSV).csv(path)
 
 
 def write_diverted(cues: DataFrame, path: str) -> None:
     """Cues taken out while parsing, a folder for each word."""
-    cues.write.partitionBy("matched_word").option("sep", "\t").option("header", True).csv(path)
+    cues.write.partitionBy("matched_word").options(**TSV).csv(path)
 
 
 def write_dataset(records: DataFrame, path: str, split: str = "train") -> None:
@@ -110,7 +132,7 @@ def write_dataset(records: DataFrame, path: str, split: str = "train") -> None:
 def write_tsv(rows: DataFrame, path: str) -> None:
     """Rows as tab-separated text with a header, without what can't be text."""
     plain = [f.name for f in rows.schema.fields if f.dataType.typeName() not in ("binary", "array", "struct", "map")]
-    rows.select(*plain).write.option("sep", "\t").option("header", True).csv(path)
+    rows.select(*plain).write.options(**TSV).csv(path)
 
 
 def write_subtitles(texts: DataFrame, path: str) -> None:

@@ -65,6 +65,26 @@ def test_tables(spark, tmp_path):
     assert tuple(tables.exported(spark.createDataFrame([("d/a.b.wav", "Ja")], "path string, sentence string")).first()) == ("a.b.mp3", "Ja.")
 
 
+def test_tab_separated_values_come_back(spark, tmp_path):
+    values = [' "a" ', "x\ty", "one\ntwo", '"', "\\", "\\\"", " lead", "trail ", "'", None, "äö"]
+    rows = spark.createDataFrame(list(enumerate(values)), "k int, text string")
+    tables.write_tsv(rows, f"{tmp_path}/rows")
+    assert {int(r.k): r.text for r in tables.read_tsv(spark, f"{tmp_path}/rows").collect()} == dict(enumerate(values))
+    tables.write_rejects(rows.withColumn("disposition", F.lit("bad_examples")), f"{tmp_path}/rejects")
+    assert {int(r.k): (r.text, r.disposition) for r in tables.read_tsv(spark, f"{tmp_path}/rejects").collect()} == {k: (t, "bad_examples") for k, t in enumerate(values)}
+
+
+def test_metadata_gets_each_row_its_own_transcript(spark, tmp_path):
+    (tmp_path / "m.tsv").write_text("file\tsrt_path\tclip_path\na.mp3\ts/1.srt\tx\nb.mp3\ts/2.srt\ty\nc.mp3\ts/3.srt\tz\n")
+    (tmp_path / "n.tsv").write_text("path\tsentence\tsrt_path\na.mp3\tJa\ts/1.srt\n")
+    files = spark.createDataFrame([("s/1.srt", SRT), ("s/2.srt", SRT.replace("Hallo", "Tag"))], "srt_path string, srt string")
+    rows = {r.audio: r for r in tables.read_metadata(spark, f"{tmp_path}/m.tsv", files, "file").collect()}
+    assert rows["a.mp3"].asDict() == {"audio": "a.mp3", "sentence": "Hallo Welt last line", "srt": SRT}
+    assert (rows["b.mp3"].sentence, rows["b.mp3"].srt) == ("Tag Welt last line", SRT.replace("Hallo", "Tag")) and (rows["c.mp3"].sentence, rows["c.mp3"].srt) == (None, None)
+    assert tables.read_metadata(spark, f"{tmp_path}/n.tsv", files).first().asDict() == {"audio": "a.mp3", "sentence": "Ja", "srt": SRT}
+    assert tables.read_metadata(spark, f"{tmp_path}/n.tsv").columns == ["audio", "sentence"]
+
+
 def test_stream(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in/x.json").write_text("\n".join(json.dumps({"audio_path": str(i), "text": t, "language": "de", "prompt": ""}) for i, t in enumerate(["kurz", "ein zwei drei vier fünf sechs sieben acht neun zehn"])))
