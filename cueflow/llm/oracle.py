@@ -9,6 +9,7 @@ from cueflow.llm import url_filters as urls
 from cueflow.llm.jaccard_join import SHINGLE
 from cueflow.llm.substring_dedup import WINDOW
 from cueflow.llm.suffix_dedup import LENGTH as _L
+from cueflow.llm.token_counts import VOCABULARY, printable_bytes
 
 _WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
 
@@ -66,6 +67,24 @@ n AS (SELECT host, trust / nullif(sum(trust) OVER (), 0) AS trust, distrust / nu
 SELECT page_id, j.host, path, rule, coalesce(own, CASE WHEN w.distrust > {urls.THRESHOLD} * (coalesce(w.trust, 0) + w.distrust) THEN 'block' END, 'allow') AS verdict FROM j LEFT JOIN n w ON w.host = j.host"""
 
 
+def token_counts(vocabulary: str = VOCABULARY) -> str:
+    """The longest piece that a word begins with is cut off, a piece a round, for all different words at once."""
+    names = ", ".join("'" + name.replace("'", "''") + "'" for name, _ in sorted(printable_bytes().items(), key=lambda x: x[1]))
+    space = next(name for name, byte in printable_bytes().items() if byte == 0x20)
+    return f"""WITH RECURSIVE file AS (SELECT json FROM read_json_objects('{vocabulary}')),
+special AS (SELECT unnest(CAST(json->'added_tokens' AS json[]))->>'content' AS piece FROM file),
+v AS (SELECT piece FROM (SELECT unnest(json_keys(json->'model'->'vocab')) AS piece FROM file) x WHERE piece NOT IN (SELECT piece FROM special)),
+d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents), each AS (SELECT r, unnest(w) AS word FROM d),
+h AS (SELECT word, hex(encode(word)) AS h FROM (SELECT DISTINCT word FROM each) x),
+b AS (SELECT word, concat('{space}', array_to_string(list_transform(range(0, len(h) // 2), lambda i: ([{names}])[CAST(concat('0x', substr(h, 2 * i + 1, 2)) AS integer) + 1]), '')) AS left_over FROM h),
+cut AS (SELECT word, left_over, 0 AS n FROM b UNION ALL
+  SELECT word, substr(any_value(left_over), CAST(max(size) AS bigint) + 1), any_value(n) + 1 FROM (
+    SELECT word, left_over, n, unnest(range(1, least(length(left_over), (SELECT max(length(piece)) FROM v)) + 1)) AS size FROM cut WHERE left_over <> '') c
+  JOIN v ON v.piece = substr(left_over, 1, size) GROUP BY word),
+counts AS (SELECT word, max(n) AS n FROM cut GROUP BY 1), found AS (SELECT r, count(*) AS words, sum(n) AS pieces FROM each JOIN counts USING (word) GROUP BY 1)
+SELECT doc_id, CAST(coalesce(words, 0) AS bigint) AS n_words, CAST(coalesce(pieces, 0) AS bigint) AS n_tokens FROM d LEFT JOIN found USING (r)"""
+
+
 def quality_rules(rounds: int = rules.ROUNDS) -> str:
     k = len(rules.RULES)
     each = range(1, k + 1)
@@ -98,4 +117,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_wo
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 1 / (1 + exp(-({odds}))) >= 0.5 AS kept FROM v, m{rounds}"""
 
 
-ORACLE = {"op3_quality_rules": quality_rules(), "op4_jaccard_join": JACCARD_JOIN, "op5_suffix_dedup": SUFFIX_DEDUP, "op6_url_filters": url_filters(), "op7_substring_dedup": SUBSTRING_DEDUP}
+ORACLE = {
+    "op3_quality_rules": quality_rules(), "op4_jaccard_join": JACCARD_JOIN, "op5_suffix_dedup": SUFFIX_DEDUP, "op6_url_filters": url_filters(),
+    "op7_substring_dedup": SUBSTRING_DEDUP, "op10_token_counts": token_counts(),
+}
