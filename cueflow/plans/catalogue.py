@@ -351,7 +351,8 @@ def _(s, d):
     return out.select("seq_id", "pos", "offset_ms", F.col("start_ms").cast("long").alias("start_ms"), F.col("end_ms").cast("long").alias("end_ms"))
 
 
-@query("srt_text")
+@query("srt_text", f"""SELECT track_id AS seq_id, string_agg(concat(CAST(n AS varchar), chr(10), {duck.stamp('start_ms')}, ' --> ', {duck.stamp('end_ms')}, chr(10), text, chr(10)), chr(10) ORDER BY n) AS srt
+FROM (SELECT *, row_number() OVER (PARTITION BY track_id ORDER BY cue_idx) AS n FROM ({fx.CUES_CONV}) c) x GROUP BY 1""")
 def _(s, d):
     own = fixture(s, d, fx.CUES_CONV).select(F.col("track_id").alias("seq_id"), F.col("cue_idx").alias("pos"), (F.col("start_ms") / F.lit(1000.0)).alias("start_s"), (F.col("end_ms") / F.lit(1000.0)).alias("end_s"), "text")
     return assembly.srt_texts(own)
@@ -399,7 +400,11 @@ def _(s, d):
     return tables.series(own, files).select(F.col("series").alias("track_id"), "sentence")
 
 
-@query("voice_activity_ring")
+@query("voice_activity_ring", """WITH RECURSIVE f AS (SELECT CAST(user_id AS varchar) AS track_id, list(event_id%5 < 3 ORDER BY event_id) AS v FROM events GROUP BY 1),
+run AS (SELECT track_id, v, 0 AS k, 0 AS since, false AS voiced, CAST(NULL AS bigint) AS first, CAST(NULL AS bigint) AS last FROM f UNION ALL
+  SELECT track_id, v, k + 1, CASE WHEN turns THEN k + 1 ELSE since END, voiced <> turns, CASE WHEN turns AND NOT voiced THEN coalesce(first, oldest * 30) ELSE first END, CASE WHEN turns AND voiced THEN k * 30 ELSE last END
+  FROM (SELECT *, greatest(since, k - 2) AS oldest, k - greatest(since, k - 2) = 2 AND NOT list_contains(v[greatest(since, k - 2) + 1 : k + 1], voiced) AS turns FROM run WHERE k < len(v)) x)
+SELECT track_id, coalesce(first, 0) AS start_ms, CASE WHEN voiced THEN CAST(len(v) * 30 AS bigint) ELSE last END AS end_ms FROM run WHERE k = len(v)""")
 def _(s, d):
     flags = F.array_sort(F.collect_list(F.struct("cue_idx", (F.col("event_id") % 5 < 3).alias("voiced"))))
     rows = fixture(s, d, "SELECT CAST(user_id AS string) AS track_id, event_id, event_id AS cue_idx FROM events").groupBy("track_id").agg(flags.alias("all"))
@@ -490,6 +495,12 @@ def _(s, d):
     return split_recordings(own, info, Config(filter_words=["error"]), language=providers.hinted_language(text.french_hint(F.col("text")), text.english_hint(F.col("text")))).drop("seg_start", "seg_end")
 
 
-@query("pipeline_fusion")
+@query("pipeline_fusion", f"""{_RUNS}, s AS (SELECT *, CAST(place // 16 AS varchar) AS seq_id, CAST(place % 16 AS bigint) AS pos FROM g),
+o AS (SELECT *, CAST(CASE WHEN pos > 0 AND {duck.draw('clip_id', 42)} < 500000 THEN CASE WHEN {duck.draw('clip_id', 43)} < 200000 THEN room ELSE floor(room * {duck.draw('clip_id', 44)} / 1000000.0) END ELSE 0 END AS bigint) AS overlap_ms
+  FROM (SELECT *, lag(dur_ms - vad_end_ms) OVER (PARTITION BY seq_id ORDER BY pos) + vad_start_ms + 200 AS room FROM s) x),
+m AS (SELECT *, coalesce(sum(dur_ms - overlap_ms) OVER (PARTITION BY seq_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) - overlap_ms AS shift FROM o),
+t AS (SELECT seq_id, pos, clip_id, sentence, CAST(vad_start_ms + shift AS bigint) / 1000.0::double AS s, CAST(CASE WHEN vad_end_ms > 0 THEN vad_end_ms ELSE dur_ms END + shift AS bigint) / 1000.0::double AS e FROM m),
+u AS (SELECT *, lag(e) OVER (PARTITION BY seq_id ORDER BY pos) AS p FROM t)
+SELECT seq_id, pos, clip_id, CASE WHEN s <= p THEN p + 0.02::double ELSE s END AS start_s, e AS end_s, {duck.normalize('sentence')} AS text FROM u""")
 def _(s, d):
     return fuse_clips(fixture(s, d, fx.CLIPS))

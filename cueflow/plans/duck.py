@@ -68,10 +68,10 @@ def comma(x: str) -> str:
 
 
 def numbers(x: str) -> str:
-    """For texts without fractions, leading zeros and more than three decimals."""
+    """For texts without fractions and more than three decimals."""
     for _ in range(3):
         x = sub(x, "(\\d)[ '](\\d{3})($|[^\\d\\p{L}_])", "\\1\\2\\3")
-    x = comma(currencies(x))
+    x = sub(comma(currencies(x)), "(^|[^\\d\\p{L}_.])0+(\\d+)($|[^\\d\\p{L}_])", "\\1\\2\\3")
     for _ in range(3):
         x = sub(x, "(\\d)(\\d{3})($|[^\\d\\p{L}_])", "\\1'\\2\\3")
     return x
@@ -90,6 +90,11 @@ def hints(x: str, vocabulary: list[str], elisions: list[str]) -> str:
     return f"regexp_matches({plain}, {lit(pattern)})"
 
 
+def stamp(ms: str) -> str:
+    """``HH:MM:SS.mmm`` of milliseconds within a day."""
+    return f"format('{{:02d}}:{{:02d}}:{{:02d}}.{{:03d}}', {ms} // 3600000, ({ms} // 60000) % 60, ({ms} // 1000) % 60, {ms} % 1000)"
+
+
 def token_count(x: str) -> str:
     return f"CAST(len(regexp_extract_all({x}, '[\\p{{L}}\\p{{N}}]+|[^\\p{{L}}\\p{{N}}\\s]')) AS bigint)"
 
