@@ -61,6 +61,19 @@ def test_abbreviations_as_a_pattern_at_a_time(spark):
     assert [t for _, t in sorted(got)] == want
 
 
+def test_abbreviations_that_make_or_share_others(spark):
+    pairs = {"a.": "b. x", "b.": "$c\\1", "x y": "", "y": "z", "A. b.": "a.", "e": "", "z z": "a."}
+    pick = random.Random(2)
+    texts = [pick.choice(" ").join(pick.choice(["a.", "A.", "b.", "x", "y", "X", "e", "z", "", "f"]) for _ in range(9)) for _ in range(300)] + ["", " "]
+    want = []
+    for t in texts:
+        for short, full in pairs.items():
+            t = re.sub(rf"(^|\s)({re.escape(short)})(?=\s|$)", lambda m: m[1] + full, t, flags=re.I)
+        want.append(t)
+    got = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", text.expand_abbreviations(F.col("t"), pairs)).collect()
+    assert [t for _, t in sorted(got)] == want
+
+
 def test_ring_speech():
     assert providers.ring_speech([False] * 5 + [True] * 12 + [False] * 12, 30, 150, 900) == (150, 630)
     assert providers.ring_speech([False] * 20, 30, 150, 600) == (0, None)
