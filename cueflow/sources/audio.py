@@ -5,7 +5,7 @@ Only PCM wave files are read and written, as nothing else can be decoded offline
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,10 +13,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cueflow.functions import fixed
-from cueflow.functions.providers import overlaid, peak_normalised, resampled, wav_samples, wave_bytes
+from cueflow.functions.providers import overlaid, peak_normalised, pcm16, resampled, wav_samples, wave_bytes, wave_header
 from cueflow.sources.subtitles import stem
 
 WAVES = "*.{wav,WAV}"
+BATCH = 1 << 22
+
+
+def in_batches(rows: Iterable[tuple[str, bytes]], *names: str) -> Iterator[pa.RecordBatch]:
+    """Rows (a name, bytes) as batches of about BATCH bytes, as an Arrow array can hold 2 GB at most."""
+    found, size = [], 0
+
+    def batch() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*found), (pa.string(), pa.binary()))], names=names)
+
+    for row in rows:
+        found.append(row)
+        size += len(row[1])
+        if size >= BATCH:
+            yield batch()
+            found, size = [], 0
+    if found:
+        yield batch()
 
 
 def read_waves(spark: SparkSession, folders: str | list[str]) -> DataFrame:
@@ -105,12 +123,29 @@ def series_files(spark: SparkSession, folder: str, language: str = "de") -> tupl
     return both.select("track_id", F.lit("srt").alias("format"), "content"), found
 
 
+def tone(length_ms: int, known: dict[int, bytes] | None = None) -> bytes:
+    """A wave file of a tone whose pitch depends on the length, made a block of samples at a time; ``known`` keeps the first 30 seconds of the few pitches there are."""
+
+    def made(begin: int, stop: int) -> bytes:
+        return pcm16((np.sin(np.arange(begin, stop) / pitch) * 0.5).astype(np.float32))
+
+    n, pitch, block, known = length_ms * 16, 5 + length_ms % 7, fixed.SEGMENT_MS * 16, {} if known is None else known
+    begun = known.get(pitch, b"")
+    if len(begun) < 2 * min(n, block):
+        begun = known[pitch] = begun + made(len(begun) // 2, min(n, block))
+    return b"".join([wave_header(2 * n), memoryview(begun)[: 2 * n], *(made(k, min(k + block, n)) for k in range(block, n, block))])
+
+
 def tones(rows: DataFrame, length_ms: str = "dur_ms") -> DataFrame:
-    """(path, content) of rows (path, and a length): wave files of a tone whose pitch depends on the length, as recordings where there are none."""
+    """(path, content) of rows (path, and a length): wave files of tones, as recordings where there are none.
+
+    Rows are small and can all lie in one partition, so they are dealt out before they become files; files leave in batches of bounded size.
+    """
 
     def play(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data = [wave_bytes((np.sin(np.arange(n * 16) / (5 + n % 7)) * 0.5).astype(np.float32)) for n in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_pydict({"path": batch.column(0), "content": data})
+        known: dict[int, bytes] = {}
+        yield from in_batches(((path, tone(n, known)) for batch in batches for path, n in zip(*(c.to_pylist() for c in batch.columns))), "path", "content")
 
-    return rows.select("path", F.col(length_ms).cast("long")).mapInArrow(play, "path string, content binary")
+    spark = rows.sparkSession
+    parts = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return rows.select("path", F.col(length_ms).cast("long")).repartition(parts).mapInArrow(play, "path string, content binary")
