@@ -3,6 +3,7 @@
 import io
 import wave
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from cueflow.functions import providers
@@ -23,3 +24,22 @@ def test_duration_needs_no_decoding(spark):
         w.writeframes(bytes(6 * 4_010))
     rows = spark.createDataFrame([(file.getvalue(),), (None,), (file.getvalue()[: 44 + 6 * 800],)], "content binary")
     assert [r.ms for r in rows.select(providers.wav_duration_ms("content").alias("ms")).collect()] == [501, None, 100]
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sequences_are_rendered_as_one_array_would_be():
+    made = np.random.default_rng(5)
+    clips = [made.uniform(-1, 1, n).astype(np.float32) for n in (800, 160, 1600, 0, 320, 4000, 16)]
+    for overlaps in ([0, 5, 40, 3, 0, 200, 1], [0] * 7, [7, 1000, 1000, 1000, 1000, 1000, 1000]):
+        assert bytes(providers.rendered(zip(clips, overlaps), max(overlaps))) == providers.wave_bytes(providers.overlaid(clips, overlaps))
+
+
+def test_files_of_sequences_are_not_broadcast(spark):
+    rows = spark.range(60).select((F.col("id") % 3).cast("string").alias("seq_id"), F.col("id").alias("pos"), F.col("id").cast("string").alias("path"), (100 + F.col("id")).alias("dur_ms"), (F.col("id") % 7).alias("overlap_ms"))
+    out = audio.render_sequences(rows, audio.tones(rows))
+    assert "BroadcastExchange" not in plan(out)
+    clips = {k: [providers.peak_normalised(providers.wav_samples(audio.tone(100 + x))[0]) for x in range(k, 60, 3)] for k in range(3)}
+    assert {r.seq_id: bytes(r.bytes) for r in out.collect()} == {str(k): providers.wave_bytes(providers.overlaid(own, [x % 7 for x in range(k, 60, 3)])) for k, own in clips.items()}
