@@ -43,3 +43,14 @@ def test_files_of_sequences_are_not_broadcast(spark):
     assert "BroadcastExchange" not in plan(out)
     clips = {k: [providers.peak_normalised(providers.wav_samples(audio.tone(100 + x))[0]) for x in range(k, 60, 3)] for k in range(3)}
     assert {r.seq_id: bytes(r.bytes) for r in out.collect()} == {str(k): providers.wave_bytes(providers.overlaid(own, [x % 7 for x in range(k, 60, 3)])) for k, own in clips.items()}
+
+
+def test_more_audio_than_an_array_holds(spark):
+    rows = spark.range(2300, numPartitions=1).select(F.col("id").cast("string").alias("track_id"), F.lit(30_000).alias("dur_ms"))
+    recordings = audio.tones(rows.withColumnRenamed("track_id", "path")).withColumnRenamed("path", "track_id")
+    assert recordings.agg(F.sum(F.octet_length("content"))).first()[0] == 2300 * (44 + 30_000 * 32)
+    cuts = rows.filter("track_id < 40").select("track_id", F.lit(29_000).alias("seg_start"), F.lit(31_000).alias("seg_end"), F.concat("track_id", F.lit(".wav")).alias("path"))
+    out = audio.segment_audio(cuts, recordings)
+    assert "BroadcastExchange" not in plan(out)
+    part = providers.wave_bytes(providers.peak_normalised(providers.wav_samples(audio.tone(30_000))[0])[29_000 * 16 :])
+    assert {r.path: bytes(r.bytes) for r in out.collect()} == {f"{k}.wav": part for k in range(40)}
