@@ -16,20 +16,26 @@ from cueflow.sources.subtitles import parse_cues, stem
 
 RECORD = T.StructType([T.StructField(n, T.StringType()) for n in ("audio_path", "text", "language", "prompt")])
 
-#: How tab-separated files are written, so that :func:`read_tsv` finds the same values; an empty one is read as null.
+#: How tab-separated files are written, so that :func:`read_tsv` finds the same values; an empty one is read as null unless told apart.
 TSV = {"sep": "\t", "header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
+#: No field of a file is this, so that only a field with nothing between its tabs, not even quotes, is null.
+_NO_FIELD = "\ufdd0null\ufdd0"
 
-def read_tsv(spark: SparkSession, path: str) -> DataFrame:
-    """A tab-separated file with a header, all columns strings; rows that are short have nulls."""
-    return spark.read.csv(path, sep="\t", header=True, quote='"', escape='"', multiLine=True, inferSchema=False)
+#: The reader drops this from quoted values, and U+0000 if not told another; a character that no text may hold.
+_NO_CHARACTER = "\ufdd1"
+
+
+def read_tsv(spark: SparkSession, path: str, empty: bool = False) -> DataFrame:
+    """A tab-separated file with a header, all columns strings; rows that are short have nulls.  With ``empty``, a quoted empty value stays empty."""
+    return spark.read.csv(path, sep="\t", header=True, quote='"', escape='"', multiLine=True, inferSchema=False, nullValue=_NO_FIELD if empty else None, charToEscapeQuoteEscaping=_NO_CHARACTER)
 
 
 def read_clips(spark: SparkSession, sources: Sequence[tuple[str, str, int]], seed: int = 1) -> DataFrame:
-    """(clip_id, path, sentence, client_id) of sentence files (path, clips folder, per mille to take)."""
+    """(clip_id, path, sentence, client_id) of sentence files (path, clips folder, per mille to take); an empty sentence stays one."""
     found = []
     for k, (path, folder, per_mille) in enumerate(sources):
-        rows = read_tsv(spark, path)
+        rows = read_tsv(spark, path, empty=True)
         name = "path" if "path" in rows.columns else "clip_path"
         client = F.col("client_id") if "client_id" in rows.columns else F.lit("0")
         own = rows.select(F.xxhash64(F.lit(k), name, "sentence").alias("clip_id"), F.concat_ws("/", F.lit(folder.rstrip("/")), name).alias("path"), "sentence", client.alias("client_id"))
