@@ -5,10 +5,11 @@ from __future__ import annotations
 import re
 import unicodedata
 import zlib
-from collections.abc import Mapping
+from collections.abc import Callable, Iterator, Mapping
 from functools import reduce
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -114,32 +115,58 @@ def join_groups(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, "[\u00a0\u202f]", " "), "(?U)(?<=\\d)[ '](?=\\d{3}\\b)", "")
 
 
-@F.pandas_udf(T.StringType())
-def _fractions(text: pd.Series) -> pd.Series:
+#: How many texts, or words of them, are Python objects at once.
+_ROWS, _WORDS = 64, 1 << 16
+
+
+def arrow_map(function: Callable, kind: pa.DataType = pa.string()) -> Callable[[pa.Array], pa.Array]:
+    """A function of a text as one of an Arrow array, with few texts as Python objects at a time: a batch can hold 64 MB, and several steps of a plan run side by side."""
+
+    def mapped(texts: pa.Array) -> pa.Array:
+        parts = (texts[k : k + _ROWS] for k in range(0, len(texts), _ROWS))
+        return joined((pa.array([function(t) if t is not None else None for t in part.to_pylist()], kind) for part in parts), kind)
+
+    return mapped
+
+
+def joined(parts: Iterator[pa.Array], kind: pa.DataType) -> pa.Array:
+    found = list(parts)
+    return pa.concat_arrays(found) if found else pa.array([], kind)
+
+
+_FRACTION, _NUMBER = re.compile(r"(\d+)[⁄/](\d+)"), re.compile(r"\b(\d+)(\.\d+)?\b")
+
+
+def number_forms(text: str) -> str:
+    """Fractions as decimals, currencies in words, decimal points, and thousands grouped."""
+
     def value(match: re.Match) -> str:
         above, below = int(match[1]), int(match[2])
         return str(above / below) if below else match[0]
 
-    return text.map(lambda t: re.sub(r"(\d+)[⁄/](\d+)", value, t), na_action="ignore")
+    text = _FRACTION.sub(value, text)
+    for old, new in fixed.CURRENCIES.items():
+        text = text.replace(old, new)
+    text = re.sub(r"(?<=\d),(?=\d)", ".", text)
+    return _NUMBER.sub(lambda m: f"{int(m[1]):,}".replace(",", "'") + (m[2] or ""), text)
 
 
-@F.pandas_udf(T.StringType())
-def _grouped(text: pd.Series) -> pd.Series:
-    whole = re.compile(r"\b(\d+)(\.\d+)?\b")
-    return text.map(lambda t: whole.sub(lambda m: f"{int(m[1]):,}".replace(",", "'") + (m[2] or ""), t), na_action="ignore")
+@F.arrow_udf(T.StringType())
+def _number_forms(text: pa.Array) -> pa.Array:
+    return arrow_map(number_forms)(text)
 
 
 def numbers(text: Column) -> Column:
     """Numbers in one form: groups joined, fractions as decimals, currencies in words, decimal points, thousands grouped.
 
-    A fraction over zero stays as it is.  Two steps need a function of what matched, and run on Arrow batches.
+    A fraction over zero stays as it is.  Two steps need a function of what matched, so all but the first run on Arrow batches, as one step with one worker.
     """
-    return _grouped(comma_decimals(currencies(_fractions(join_groups(text)))))
+    return _number_forms(join_groups(text))
 
 
-@F.pandas_udf(T.StringType())
-def nfkc(text: pd.Series) -> pd.Series:
-    return text.map(lambda t: t if t.isascii() else unicodedata.normalize("NFKC", t), na_action="ignore")
+@F.arrow_udf(T.StringType())
+def nfkc(text: pa.Array) -> pa.Array:
+    return arrow_map(lambda t: t if t.isascii() else unicodedata.normalize("NFKC", t))(text)
 
 
 def normalize(text: Column) -> Column:
@@ -195,9 +222,9 @@ def without_tags(text: Column) -> Column:
     return F.regexp_replace(text, "<\\|[^|]+\\|>", "")
 
 
-@F.pandas_udf(T.DoubleType())
-def _ratio(text: pd.Series) -> pd.Series:
-    return text.map(lambda t: len(t) / len(zlib.compress(t.encode())), na_action="ignore").astype("float64")
+@F.arrow_udf(T.DoubleType())
+def _ratio(text: pa.Array) -> pa.Array:
+    return arrow_map(lambda t: len(t) / len(zlib.compress(t.encode())), pa.float64())(text)
 
 
 def compression_ratio(text: Column) -> Column:
