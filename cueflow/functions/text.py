@@ -8,7 +8,6 @@ import zlib
 from collections.abc import Callable, Iterator, Mapping
 from functools import reduce
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -192,9 +191,27 @@ def collapsed(tokens: list[str], longest: int = 3) -> list[str]:
     return out
 
 
-@F.pandas_udf(T.StringType())
-def _collapse(found: pd.Series) -> pd.Series:
-    return found.map(lambda own: " ".join(collapsed(list(own))), na_action="ignore")
+def _pieces(lists: pa.ListArray) -> Iterator[pa.ListArray]:
+    """Parts of lists with about _WORDS words each, one list at least."""
+    ends, begin, words = lists.offsets.to_pylist(), 0, 0
+    for k in range(len(lists)):
+        words += ends[k + 1] - ends[k]
+        if words >= _WORDS or k + 1 == len(lists):
+            yield lists[begin : k + 1]
+            begin, words = k + 1, 0
+
+
+def _collapsed(lists: pa.ListArray) -> pa.Array:
+    words, at, found = lists.flatten().to_numpy(zero_copy_only=False).tolist(), 0, []
+    for n in lists.value_lengths().to_pylist():
+        found.append(" ".join(collapsed(words[at : at + n])) if n is not None else None)
+        at += n or 0
+    return pa.array(found, pa.string())
+
+
+@F.arrow_udf(T.StringType())
+def _collapse(found: pa.Array) -> pa.Array:
+    return joined(map(_collapsed, _pieces(found)), pa.string())
 
 
 def collapse_repeats(text: Column) -> Column:
